@@ -6,6 +6,8 @@ work stays inside whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,21 @@ def expired(valid_to, ts) -> Column:
     return F.to_date(_c(ts)) >= _c(valid_to)
 
 
+def ts_lit(value) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal (no time-zone conversion on the way)."""
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat() + " 00:00:00"
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def date_lit(value) -> Column:
+    if isinstance(value, dt.datetime):
+        value = value.date()
+    return F.lit(value.isoformat() if isinstance(value, dt.date) else value).cast("date")
+
+
 def as_interval(seconds: int) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
 
@@ -54,6 +71,15 @@ def within_interval(ts, lag_ts, seconds: int | None) -> Column:
 
 
 def file_date_from_name(name="file_name") -> Column:
-    """Batch day from a ``<kind>_DDMMYYYY.<ext>`` file name (NULL if absent)."""
-    digits = F.regexp_extract(_c(name), r"_(\d{8})\.", 1)
+    """Batch day from a ``<kind>_DDMMYYYY.<ext>`` file name or path (the last
+    such part of a path wins); NULL if absent or not a real date."""
+    digits = F.regexp_extract(_c(name), r".*_(\d{8})\.", 1)
     return F.when(digits != "", F.try_to_timestamp(digits, F.lit("ddMMyyyy")).cast("date"))
+
+
+def source_name(path="_metadata.file_path") -> Column:
+    """Logical daily file name of a path: the ``<kind>_DDMMYYYY.<ext>`` part
+    (a file, or a folder of part files written under that name), else the
+    last path component."""
+    named = F.regexp_extract(_c(path), r"([^/]+_\d{8}\.[^/.]+)(?:/[^/]*)?$", 1)
+    return F.when(named != "", named).otherwise(F.element_at(F.split(_c(path), "/"), -1))

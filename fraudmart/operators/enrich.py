@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fraudmart.functions import date_lit, ts_lit
+
 DOCUMENTED, OBSERVED = "documented", "observed"
 
 
@@ -45,8 +47,7 @@ class Batch:
         return cls(start, start + dt.timedelta(days=1), staged)
 
 
-def _ts(value) -> F.Column:
-    return F.lit(value).cast("timestamp_ntz")
+_ts = ts_lit
 
 
 def range_filter(df: DataFrame, start, end, ts: str = "trans_date",
@@ -59,9 +60,9 @@ def range_filter(df: DataFrame, start, end, ts: str = "trans_date",
         cond = cond & (F.col(ts) < _ts(end))
     if part and part in df.columns:
         if start is not None:
-            cond = cond & (F.col(part) >= F.lit(start).cast("date"))
+            cond = cond & (F.col(part) >= date_lit(start))
         if end is not None:
-            cond = cond & (F.col(part) <= F.lit(end).cast("date"))
+            cond = cond & (F.col(part) <= date_lit(end))
     return df.where(cond)
 
 

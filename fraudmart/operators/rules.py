@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.functions import EVENT_TYPES, expired, fio, within_interval
+from fraudmart.functions import EVENT_TYPES, expired, fio, ts_lit, within_interval
 from fraudmart.operators.enrich import (
     DOCUMENTED,
     OBSERVED,
@@ -44,7 +44,7 @@ DEFAULT_BUCKET_S = 3600
 def report_stamp(report_dt=None) -> F.Column:
     if report_dt is None:
         return F.current_timestamp().cast("timestamp_ntz")
-    return F.lit(report_dt).cast("timestamp_ntz")
+    return ts_lit(report_dt)
 
 
 def to_report(hits: DataFrame, event_type: str, report_dt=None,

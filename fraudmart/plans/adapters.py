@@ -22,12 +22,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudmart.functions import ts_lit
 from fraudmart.operators.enrich import Batch, Dims
 
 # Fixed values of the adapter (mirrored in the oracle SQL of __spark_entry__).
 CHAIN_BATCH = (dt.datetime(2000, 1, 1), dt.datetime(2000, 2, 1))
 CITY_BATCH = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))
-REPORT_DT = dt.datetime(2021, 3, 4, 0, 0, 0)
+REPORT_DT = dt.datetime(2021, 3, 4, 10, 30, 0)
 ACCOUNT_VALID_FROM, ACCOUNT_VALID_DAYS = "1999-07-01", 400     # valid_to = from + key % days
 PASSPORT_VALID_FROM, PASSPORT_VALID_DAYS = "1999-10-01", 200   # NULL for HOUSEHOLD segment
 NULL_PASSPORT_SEGMENT = "HOUSEHOLD"
@@ -133,7 +134,7 @@ def chain_batch(spark: SparkSession, sf_dir: str, staged: bool = False) -> Batch
     st = None
     if staged:
         st = lineitem_fact(spark, sf_dir).where(
-            (F.col("trans_date") >= F.lit(start)) & (F.col("trans_date") < F.lit(end))
+            (F.col("trans_date") >= ts_lit(start)) & (F.col("trans_date") < ts_lit(end))
         ).select(F.col("trans_date").alias("transaction_date"))
     return Batch(start, end, st)
 
@@ -143,7 +144,7 @@ def city_batch(spark: SparkSession, sf_dir: str, staged: bool = False) -> Batch:
     st = None
     if staged:
         st = events_fact(spark, sf_dir).where(
-            (F.col("trans_date") >= F.lit(start)) & (F.col("trans_date") < F.lit(end))
+            (F.col("trans_date") >= ts_lit(start)) & (F.col("trans_date") < ts_lit(end))
         ).select(F.col("trans_date").alias("transaction_date"))
     return Batch(start, end, st)
 
