@@ -46,12 +46,15 @@ def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
         return df.select("*", *[F.lag(c, k).over(w).alias(o) for o, (c, k) in lags.items()])
 
     depth = max(k for _, k in lags.values())
-    carried = sorted({c for c, _ in lags.values()})
     micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
     bucket = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)), F.lit(_NULL_BUCKET))
-    # One non-NULL struct key: NULL card numbers still meet their own group in
-    # the join below, and window + join share one hash partitioning.
-    x = df.withColumn("_key", F.struct(*by)).withColumn("_b", bucket)
+    # The partition columns travel inside one non-NULL struct key: NULL card
+    # numbers still meet their own group in the join below, window and join
+    # share one hash partitioning, and both branches read the same columns, so
+    # Spark reuses the single shuffle of the rows (ReusedExchange).
+    x = df.select(F.struct(*by).alias("_key"), bucket.alias("_b"),
+                  *[F.col(c) for c in df.columns if c not in by])
+    carried = [c for c in x.columns if c not in ("_key", "_b")]
 
     w_sorted = Window.partitionBy("_key", "_b").orderBy(*order)
     w_group = Window.partitionBy("_key", "_b")
@@ -73,4 +76,5 @@ def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
     for out, (c, k) in lags.items():
         from_prev = F.try_element_at(F.col("_prev"), F.col("_rn") - F.lit(k + 1)).getField(c)
         fills[out] = F.when(F.col("_rn") > F.lit(k), F.col(out)).otherwise(from_prev)
-    return y.withColumns(fills).drop("_key", "_b", "_rn", "_cnt", "_prev")
+    fills.update({b: F.col("_key").getField(b) for b in by})
+    return y.withColumns(fills).select(*df.columns, *lags)

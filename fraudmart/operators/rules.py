@@ -29,7 +29,6 @@ from fraudmart.operators.enrich import (
     select_batch,
     semi_join_batch,
     staged_times,
-    staging_nonempty,
     with_client,
     blacklisted,
 )
@@ -87,7 +86,11 @@ def hits_account_expired(fact: DataFrame, dims: Dims, batch: Batch | None,
 def _history(fact: DataFrame, batch: Batch | None, mode: str, limit_s: int | None,
              cols: list[str]) -> DataFrame:
     """The part of the fact a window rule must see for this batch."""
+    # NULL cards form their own LAG partition and never pass the inner card
+    # join, so they are dropped up front; this also keeps the filter Spark would
+    # infer from that join identical in both branches of the split LAG.
     src = fact.select(*cols, *([c for c in ("trans_dt",) if c in fact.columns]))
+    src = src.where(F.col("card_num").isNotNull())
     if batch is None:
         return src.select(*cols)
     if mode == DOCUMENTED and batch.start is not None and limit_s is not None:
@@ -160,13 +163,17 @@ def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DO
     if mode == OBSERVED:
         # The batch test binds to the outer row: every non-NULL row passes once
         # staging has a row, so all history is scanned and re-reported.
-        src = fact.select(*cols)
+        src = fact.select(*cols).where(F.col("card_num").isNotNull())
+        if batch is not None and batch.staged is not None:
+            # "staging is not empty" is one constant for all rows: applied to
+            # the input (both branches of the split LAG see the same plan).
+            src = src.where(batch.staged.exists())
     else:
         src = _history(fact, batch, mode, limit, cols)
     lagged = lag_columns(src, ["card_num"], ORDER, AMOUNT_LAGS, bucket_s)
     found = lagged.where(amount_pattern(limit))
     if mode == OBSERVED:
-        found = staging_nonempty(found, batch.staged) if batch is not None and batch.staged is not None else found
+        found = found.where(F.col("trans_date").isNotNull())
     else:
         found = _after_window_batch(found, batch, mode)
     return with_client(found, dims)
