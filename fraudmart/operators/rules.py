@@ -118,7 +118,8 @@ def _after_window_batch(df: DataFrame, batch: Batch | None, mode: str) -> DataFr
 
 
 def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
-              limit_s: int = CITY_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S) -> DataFrame:
+              limit_s: int = CITY_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S,
+              chain: bool = True) -> DataFrame:
     """Consecutive operations of a card in different cities within ``limit_s``.
 
     Transactions at terminals missing from the dimension drop out *before* the
@@ -133,7 +134,8 @@ def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCU
                          bucket_s)
     moved = lagged.where((F.col("terminal_city") != F.col("lag_city"))
                          & within_interval("trans_date", "lag_trans_date", limit))
-    return with_client(_after_window_batch(moved, batch, mode), dims)
+    found = _after_window_batch(moved, batch, mode)
+    return with_client(found, dims) if chain else found
 
 
 AMOUNT_LAGS = {
@@ -156,8 +158,10 @@ def amount_pattern(limit_s: int | None) -> F.Column:
 
 
 def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
-                limit_s: int = AMOUNT_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S) -> DataFrame:
-    """Amount guessing; the reported event is the SUCCESS closing the pattern."""
+                limit_s: int = AMOUNT_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S,
+                chain: bool = True) -> DataFrame:
+    """Amount guessing; the reported event is the SUCCESS closing the pattern.
+    ``chain=False`` returns the matches before the client chain join."""
     limit = limit_s if mode == DOCUMENTED else None
     cols = ["trans_id", "trans_date", "card_num", "amt", "oper_result"]
     if mode == OBSERVED:
@@ -176,7 +180,7 @@ def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DO
         found = found.where(F.col("trans_date").isNotNull())
     else:
         found = _after_window_batch(found, batch, mode)
-    return with_client(found, dims)
+    return with_client(found, dims) if chain else found
 
 
 # ------------------------------------------------------------------- extras

@@ -112,3 +112,17 @@ def test_passport_any_prefers_blocked(spark):
     d = micro.dims(spark, blacklist=("pass-c1",), passport_valid_to=dt.date(2021, 3, 1))
     got = {r["trans_id"]: r["event_type"] for r in R.hits_passport_any(f, d, None).collect()}
     assert got == {"x": "passport in blacklist", "y": "passport not valid"}
+
+
+@pytest.mark.parametrize("mode", [DOCUMENTED, OBSERVED])
+def test_fused_mart_equals_rule_by_rule(spark, mode):
+    from fraudmart.plans.mart import fraud_report
+    f = micro.fact(spark, micro.CITY_ROWS + micro.AMOUNT_ROWS + micro.DAY2_ROW)
+    d = micro.dims(spark, blacklist=("pass-c1", "pass-c3"), valid_to=dt.date(2021, 3, 1),
+                   passport_valid_to=dt.date(2021, 3, 2))
+    run = dt.datetime(2021, 3, 4, 10, 30)
+    for day in (dt.date(2021, 3, 1), dt.date(2021, 3, 2)):
+        b = Batch.day(day, micro.staged(spark, f, day))
+        fused = sorted(map(tuple, fraud_report(f, d, b, mode, run).collect()))
+        plain = sorted(map(tuple, fraud_report(f, d, b, mode, run, fused=False).collect()))
+        assert fused == plain and len(fused) > 0
