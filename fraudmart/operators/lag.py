@@ -78,3 +78,50 @@ def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
         fills[out] = F.when(F.col("_rn") > F.lit(k), F.col(out)).otherwise(from_prev)
     fills.update({b: F.col("_key").getField(b) for b in by})
     return y.withColumns(fills).select(*df.columns, *lags)
+
+
+_RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def running_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                    aggs: dict[str, tuple[str, F.Column]], bucket_seconds: int | None = 3600) -> DataFrame:
+    """Add running aggregates ``out = fn(expr) OVER (PARTITION BY by ORDER BY
+    order ROWS UNBOUNDED PRECEDING)`` for ``out -> (fn, expr)``, fn in
+    sum / max / min (associative, so the split form is exact).
+
+    Split form: the running value inside each ``(key, time bucket)`` plus the
+    aggregate of all earlier buckets of the key, taken from a window over the
+    per-bucket totals (one small row per bucket) — no key sorted in one task.
+    """
+    by, order = list(by), list(order)
+    if not bucket_seconds:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[_RUNNING[fn](e).over(w).alias(o) for o, (fn, e) in aggs.items()])
+
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    bucket = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)), F.lit(_NULL_BUCKET))
+    inputs = {f"_in_{o}": e for o, (_, e) in aggs.items()}
+    x = df.select(F.struct(*by).alias("_key"), bucket.alias("_b"),
+                  *[F.col(c) for c in df.columns if c not in by],
+                  *[e.alias(n) for n, e in inputs.items()])
+    w_local = Window.partitionBy("_key", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w_group = Window.partitionBy("_key", "_b")
+    x = x.select("*", *[_RUNNING[fn](F.col(f"_in_{o}")).over(w_local).alias(f"_loc_{o}")
+                        for o, (fn, _) in aggs.items()],
+                 *[_RUNNING[fn](F.col(f"_in_{o}")).over(w_group).alias(f"_tot_{o}")
+                   for o, (fn, _) in aggs.items()])
+    totals = x.groupBy("_key", "_b").agg(*[F.first(f"_tot_{o}").alias(f"_tot_{o}") for o in aggs])
+    w_before = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select("_key", "_b", *[_RUNNING[fn](F.col(f"_tot_{o}")).over(w_before).alias(f"_pre_{o}")
+                                          for o, (fn, _) in aggs.items()])
+    y = x.join(prefix, ["_key", "_b"], "left")
+    outs = {}
+    for o, (fn, _) in aggs.items():
+        loc, pre = F.col(f"_loc_{o}"), F.col(f"_pre_{o}")
+        if fn == "sum":
+            outs[o] = F.when(loc.isNull() & pre.isNull(), None).otherwise(
+                F.coalesce(loc, F.lit(0)) + F.coalesce(pre, F.lit(0)))
+        else:
+            outs[o] = (F.greatest if fn == "max" else F.least)(loc, pre)
+    outs.update({b: F.col("_key").getField(b) for b in by})
+    return y.withColumns(outs).select(*df.columns, *aggs)

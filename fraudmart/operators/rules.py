@@ -32,7 +32,7 @@ from fraudmart.operators.enrich import (
     with_client,
     blacklisted,
 )
-from fraudmart.operators.lag import lag_columns
+from fraudmart.operators.lag import lag_columns, running_columns
 
 ORDER = ["trans_date", "trans_id"]  # trans_id breaks timestamp ties deterministically
 CITY_LIMIT_S = 3600
@@ -202,6 +202,32 @@ def hits_passport_any(fact: DataFrame, dims: Dims, batch: Batch | None,
                    .drop("_blocked"))
 
 
+def amount_chains(fact: DataFrame, min_len: int = 4, bucket_s: int | None = DEFAULT_BUCKET_S) -> DataFrame:
+    """Length of every falling-amount chain closed by a SUCCESS ("more than 3
+    operations" of the requirements), by gaps and islands.
+
+    A row continues the chain of its predecessor when that one is a REJECT
+    with a larger amount; a chain therefore never passes a SUCCESS. For each
+    SUCCESS with ``chain_len >= min_len``: trans_id, card_num, event_dt,
+    chain_len, chain_start_dt. The last four rows of such a chain are exactly
+    what the amount rule matches. Positions and the last chain start are
+    running aggregates in split form (skew-safe, exact).
+    """
+    src = fact.select("trans_id", "trans_date", "card_num", "amt", "oper_result").where(
+        F.col("card_num").isNotNull())
+    lagged = lag_columns(src, ["card_num"], ORDER,
+                         {"_p_res": ("oper_result", 1), "_p_amt": ("amt", 1)}, bucket_s)
+    cont = F.coalesce((F.col("_p_res") == "REJECT") & (F.col("_p_amt") > F.col("amt")), F.lit(False))
+    flagged = lagged.withColumn("_cont", cont)
+    pos = running_columns(flagged, ["card_num"], ORDER, {"_pos": ("sum", F.lit(1))}, bucket_s)
+    start = F.when(~F.col("_cont"), F.struct(F.col("_pos").alias("pos"), F.col("trans_date").alias("ts")))
+    started = running_columns(pos, ["card_num"], ORDER, {"_start": ("max", start)}, bucket_s)
+    chain_len = F.col("_pos") - F.col("_start.pos") + 1
+    return (started.where((F.col("oper_result") == "SUCCESS") & F.col("_cont") & (chain_len >= min_len))
+                   .select("trans_id", "card_num", F.col("trans_date").alias("event_dt"),
+                           chain_len.alias("chain_len"), F.col("_start.ts").alias("chain_start_dt")))
+
+
 RULES = {
     "blacklist": hits_blacklist,
     "passport_expired": hits_passport_expired,

@@ -836,3 +836,16 @@ def read_insert_dump_check(spark, sf):
              .unionByName(_dump_statements(clients, "clients", [f.name for f in schemas.SEED_CLIENTS.fields])))
     stmts.write.mode("overwrite").text(path)
     return read_insert_dump(spark, path, "clients", schemas.SEED_CLIENTS)
+
+
+@check("amount_chain_length", Q.with_bank(
+    "l AS (SELECT *, LAG(oper_result) OVER w AS p_res, LAG(amt) OVER w AS p_amt, "
+    "ROW_NUMBER() OVER w AS pos FROM ev WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id))",
+    "b AS (SELECT *, CASE WHEN p_res = 'REJECT' AND p_amt > amt THEN 0 ELSE 1 END AS brk FROM l)",
+    "s AS (SELECT *, MAX(CASE WHEN brk = 1 THEN pos END) OVER (PARTITION BY card_num "
+    "ORDER BY trans_date, trans_id ROWS UNBOUNDED PRECEDING) AS start_pos FROM b)") + (
+    "SELECT s.trans_id, s.card_num, s.trans_date AS event_dt, s.pos - s.start_pos + 1 AS chain_len, "
+    "st.trans_date AS chain_start_dt FROM s JOIN s st ON s.card_num = st.card_num AND st.pos = s.start_pos "
+    "WHERE s.oper_result = 'SUCCESS' AND s.brk = 0 AND s.pos - s.start_pos + 1 >= 4"))
+def amount_chain_length(spark, sf):
+    return R.amount_chains(A.events_fact(spark, sf))

@@ -47,3 +47,25 @@ def test_split_lag_plan_shuffles_rows_once(spark):
     # the big side is hash-partitioned on (key, bucket) once; window and join reuse it
     assert plan.count("hashpartitioning(_key") >= 1
     assert F is not None
+
+
+def test_split_running_equals_plain(spark):
+    from fraudmart.operators.lag import running_columns
+    ev = A.events_fact(spark, SF_MID).select("trans_id", "trans_date", "card_num", "amt")
+    aggs = {"n": ("sum", F.lit(1)), "hi": ("max", F.col("amt")), "lo": ("min", F.col("amt")),
+            "s": ("sum", F.col("amt"))}
+    plain = running_columns(ev, ["card_num"], ORDER, aggs, None)
+    for bucket in (60, 86400):
+        split = running_columns(ev, ["card_num"], ORDER, aggs, bucket)
+        got = sorted((r["trans_id"], r["n"], r["hi"], r["lo"], round(r["s"], 6)) for r in split.collect())
+        want = sorted((r["trans_id"], r["n"], r["hi"], r["lo"], round(r["s"], 6)) for r in plain.collect())
+        assert got == want
+
+
+def test_amount_chains_match_amount_rule(spark):
+    from fraudmart.operators.enrich import OBSERVED
+    from fraudmart.operators.rules import amount_chains, hits_amount
+    ev = A.events_fact(spark, SF_MID)
+    chains = {r["trans_id"] for r in amount_chains(ev).collect()}
+    rule = {r["trans_id"] for r in hits_amount(ev, A.dims(spark, SF_MID), None, OBSERVED, chain=False).collect()}
+    assert chains == rule and chains
