@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from fraudmart import schemas
 from fraudmart.functions import date_lit, ts_lit, file_date_from_name
 from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims
-from fraudmart.operators.load import add_null_columns, insert_new, load_new
+from fraudmart.operators.load import RENAMES, add_null_columns, conform, insert_new, load_new, rename_columns
+from fraudmart.operators.scd import blacklist_increment, scd1_upsert, scd2_init, scd2_step
 from fraudmart.plans.mart import fraud_report
 from fraudmart.session import ensure_checkpoint_dir
 from fraudmart.sources.delimited import read_delimited
@@ -76,9 +77,42 @@ def ledger_rows(staged: DataFrame, kind: str, ts_col: str | None, loaded_at) ->
                           ts_lit(loaded_at).alias("loaded_at")))
 
 
+TERMINAL_ATTRS = ["terminal_type", "terminal_city", "terminal_address"]
+
+
+def load_blacklist_increment(wh: Warehouse, bl: DataFrame, batch_dt: dt.date) -> None:
+    """Month-to-date blacklist file: append only entries (passport, date) of
+    this month up to the file day that are not loaded yet."""
+    rows = rename_columns(bl, RENAMES["dwh_fact_passport_blacklist"])
+    rows = conform(rows, schemas.FACT_BLACKLIST)
+    new = blacklist_increment(wh.read("dwh_fact_passport_blacklist"), rows, batch_dt)
+    wh.append("dwh_fact_passport_blacklist", new)
+
+
+def load_terminals_scd(wh: Warehouse, term: DataFrame, batch_dt: dt.date) -> None:
+    """Full terminal snapshot: SCD1 current state (create_dt / update_dt) and
+    SCD2 history (effective_from / effective_to / deleted_flg), each written as
+    a new table version."""
+    snap = conform(term, schemas.DIM_TERMINALS).select("terminal_id", *TERMINAL_ATTRS)
+    current = scd1_upsert(wh.read("dwh_dim_terminals"), snap, "terminal_id", TERMINAL_ATTRS, batch_dt)
+    wh.write_version("dwh_dim_terminals", conform(current, schemas.DIM_TERMINALS))
+    hist_schema = schemas.scd2_schema(schemas.DIM_TERMINALS)
+    run_ts = dt.datetime(batch_dt.year, batch_dt.month, batch_dt.day)
+    if wh.current_version("dwh_dim_terminals_hist") is None:
+        hist = scd2_init(snap, "terminal_id", TERMINAL_ATTRS, run_ts)
+    else:
+        hist = scd2_step(wh.read("dwh_dim_terminals_hist", hist_schema), snap, "terminal_id",
+                         TERMINAL_ATTRS, run_ts)
+    wh.write_version("dwh_dim_terminals_hist", hist.select(*hist_schema.fieldNames()))
+
+
 def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.date,
             mode: str = DOCUMENTED, report_dt=None) -> None:
-    """Load one day and write its report partition (idempotent per day)."""
+    """Load one day and write its report partition (idempotent per day).
+
+    Documented mode keeps terminals as SCD1 + SCD2 (full snapshot) and loads
+    the blacklist month-to-date increment; observed mode loads new keys only.
+    """
     report_dt = report_dt or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     tx, term, bl = stage_day(spark, files)
     # Staging is written once and read back: the loads and the report see the
@@ -88,9 +122,14 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
 
     wh.append("dwh_fact_transactions",
               load_new(tx, wh.read("dwh_fact_transactions"), "dwh_fact_transactions"))
-    wh.append("dwh_fact_passport_blacklist",
-              load_new(bl, wh.read("dwh_fact_passport_blacklist"), "dwh_fact_passport_blacklist"))
-    wh.append("dwh_dim_terminals", load_new(term, wh.read("dwh_dim_terminals"), "dwh_dim_terminals"))
+    if mode == DOCUMENTED:
+        load_blacklist_increment(wh, bl, batch_dt)
+        load_terminals_scd(wh, term, batch_dt)
+    else:
+        # Insert-only loads keyed on passport / terminal id, as the original does.
+        wh.append("dwh_fact_passport_blacklist",
+                  load_new(bl, wh.read("dwh_fact_passport_blacklist"), "dwh_fact_passport_blacklist"))
+        wh.append("dwh_dim_terminals", load_new(term, wh.read("dwh_dim_terminals"), "dwh_dim_terminals"))
 
     dims = Dims(wh.read("dwh_dim_cards"), wh.read("dwh_dim_accounts"), wh.read("dwh_dim_clients"),
                 wh.read("dwh_dim_terminals"), wh.read("dwh_fact_passport_blacklist"))

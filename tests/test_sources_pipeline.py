@@ -177,3 +177,30 @@ def test_stream_ingest_exactly_once(spark, tmp_root):
     assert {r["batch_dt"] for r in out.collect()} == {dt.date(2021, 3, 1), dt.date(2021, 3, 2)}
     archived = [f for _, _, fs in os.walk(archive) for f in fs]
     assert "transactions_01032021.txt" in archived  # moved when the next batch started
+
+
+def test_daily_job_keeps_terminal_history(spark, tmp_root):
+    inbox = os.path.join(tmp_root, "in")
+    os.makedirs(inbox)
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
+    bootstrap_dims(spark, wh, dump)
+    tx = [["t1", "2021-03-01 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]]
+    d1 = _day_files(inbox, dt.date(2021, 3, 1), tx, [["A1", "POS", "Moscow", "a"], ["P2", "POS", "Kazan", "b"]],
+                    [[44256, "1234 567890"]])
+    d2 = _day_files(inbox, dt.date(2021, 3, 2), tx, [["A1", "POS", "Tver", "a"]],
+                    [[44256, "1234 567890"], [44256, "7777 777777"]])
+    run_day(spark, wh, d1, dt.date(2021, 3, 1), report_dt=dt.datetime(2021, 3, 4))
+    run_day(spark, wh, d2, dt.date(2021, 3, 2), report_dt=dt.datetime(2021, 3, 4))
+    cur = {r["terminal_id"]: r for r in wh.read("dwh_dim_terminals").collect()}
+    assert cur["A1"]["terminal_city"] == "Tver" and cur["A1"]["update_dt"] == dt.date(2021, 3, 2)
+    assert cur["A1"]["create_dt"] == dt.date(2021, 3, 1) and cur["P2"]["terminal_city"] == "Kazan"
+    hist = sorted((r["terminal_id"], r["terminal_city"], r["deleted_flg"], r["effective_to"].year)
+                  for r in wh.read("dwh_dim_terminals_hist", schemas.scd2_schema(schemas.DIM_TERMINALS)).collect())
+    assert hist == [("A1", "Moscow", False, 2021), ("A1", "Tver", False, 9999),
+                    ("P2", "Kazan", False, 2021), ("P2", "Kazan", True, 9999)]
+    # month-to-date file: a second passport dated the 1st arrives with the 2nd's file
+    bl = sorted(r["passport_num"] for r in wh.read("dwh_fact_passport_blacklist").collect())
+    assert bl == ["1234 567890", "7777 777777"]
