@@ -70,9 +70,19 @@ def staged_times(staged: DataFrame, ts: str = "trans_date") -> DataFrame:
     return staged.select(F.col("transaction_date").alias(ts)).where(F.col(ts).isNotNull())
 
 
-def semi_join_batch(df: DataFrame, staged: DataFrame, ts: str = "trans_date") -> DataFrame:
-    """Rows whose timestamp equals the timestamp of some staged row (IN subquery)."""
-    return df.join(staged_times(staged, ts), ts, "left_semi")
+def semi_join_batch(df: DataFrame, staged: DataFrame, ts: str = "trans_date",
+                    part: str = "trans_dt") -> DataFrame:
+    """Rows whose timestamp equals the timestamp of some staged row (IN subquery).
+
+    On a fact partitioned by day, a semi join on the staged *days* comes first:
+    equal timestamps have equal days, so it removes nothing the timestamp match
+    would keep, and Spark turns it into dynamic partition pruning of the scan.
+    """
+    times = staged_times(staged, ts)
+    if part in df.columns:
+        days = times.select(F.to_date(ts).alias(part)).distinct()
+        df = df.join(days, part, "left_semi")
+    return df.join(times, ts, "left_semi")
 
 
 def staging_nonempty(df: DataFrame, staged: DataFrame, ts: str = "trans_date") -> DataFrame:

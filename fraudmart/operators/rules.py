@@ -60,15 +60,21 @@ def to_report(hits: DataFrame, event_type: str, report_dt=None,
 
 
 # ---------------------------------------------------------------- chain rules
+def _check_mode(mode: str) -> None:
+    if mode not in (DOCUMENTED, OBSERVED):
+        raise ValueError(f"mode must be {DOCUMENTED!r} or {OBSERVED!r}, got {mode!r}")
+
+
 def hits_blacklist(fact: DataFrame, dims: Dims, batch: Batch | None,
                    mode: str = DOCUMENTED) -> DataFrame:
-    tx = select_batch(fact.select("trans_id", "trans_date", "card_num"), batch, mode)
+    _check_mode(mode)
+    tx = select_batch(fact, batch, mode).select("trans_id", "trans_date", "card_num")
     return blacklisted(with_client(tx, dims), dims.blacklist)
 
 
 def hits_passport_expired(fact: DataFrame, dims: Dims, batch: Batch | None,
                           mode: str = DOCUMENTED) -> DataFrame:
-    tx = select_batch(fact.select("trans_id", "trans_date", "card_num"), batch, mode)
+    tx = select_batch(fact, batch, mode).select("trans_id", "trans_date", "card_num")
     # Written as a left-outer chain originally; the WHERE on the last table makes
     # it inner, so inner is stated directly (Catalyst would convert only part).
     chained = with_client(tx, dims, "inner", extra=("passport_valid_to",))
@@ -77,7 +83,7 @@ def hits_passport_expired(fact: DataFrame, dims: Dims, batch: Batch | None,
 
 def hits_account_expired(fact: DataFrame, dims: Dims, batch: Batch | None,
                          mode: str = DOCUMENTED) -> DataFrame:
-    tx = select_batch(fact.select("trans_id", "trans_date", "card_num"), batch, mode)
+    tx = select_batch(fact, batch, mode).select("trans_id", "trans_date", "card_num")
     chained = with_client(tx, dims, "inner", extra=("valid_to",))
     return chained.where(expired("valid_to", "trans_date"))
 
@@ -125,6 +131,7 @@ def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCU
     Transactions at terminals missing from the dimension drop out *before* the
     window (inner join), so they are invisible to LAG. The later event is reported.
     """
+    _check_mode(mode)
     limit = limit_s if mode == DOCUMENTED else None
     src = _history(fact, batch, mode, limit, ["trans_id", "trans_date", "card_num", "terminal"])
     terminals = dims.terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
@@ -162,6 +169,7 @@ def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DO
                 chain: bool = True) -> DataFrame:
     """Amount guessing; the reported event is the SUCCESS closing the pattern.
     ``chain=False`` returns the matches before the client chain join."""
+    _check_mode(mode)
     limit = limit_s if mode == DOCUMENTED else None
     cols = ["trans_id", "trans_date", "card_num", "amt", "oper_result"]
     if mode == OBSERVED:
@@ -191,7 +199,7 @@ def hits_passport_any(fact: DataFrame, dims: Dims, batch: Batch | None,
     One pass over the chain with a blacklist flag (no union + dedup, so the
     surviving label is deterministic: blocked wins over expired).
     """
-    tx = select_batch(fact.select("trans_id", "trans_date", "card_num"), batch, mode)
+    tx = select_batch(fact, batch, mode).select("trans_id", "trans_date", "card_num")
     chained = with_client(tx, dims, "inner", extra=("passport_valid_to",))
     flags = dims.blacklist.select("passport_num").distinct().withColumn("_blocked", F.lit(True))
     flagged = chained.join(flags, "passport_num", "left")

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,8 +147,3 @@ def city_batch(spark: SparkSession, sf_dir: str, staged: bool = False) -> Batch:
         ).select(F.col("trans_date").alias("transaction_date"))
     return Batch(start, end, st)
 
-
-@dataclass
-class BankView:
-    fact: DataFrame
-    dims: Dims

@@ -33,7 +33,6 @@ from fraudmart.sources.tables import Warehouse, export_report
 from fraudmart.sources.workbook import read_workbook, write_workbook
 
 CHECKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 AMOUNT_CHECK_LIMIT_S = 3 * 86400  # the 20-minute default finds nothing in the test events
 DAYS = [dt.date(2000, 1, 1), dt.date(2000, 1, 2), dt.date(2000, 1, 3)]
 
@@ -49,10 +48,6 @@ def _bank(spark, sf):
     return A.lineitem_fact(spark, sf), A.events_fact(spark, sf), A.dims(spark, sf)
 
 
-def _stamp():
-    return ts_lit(A.REPORT_DT)
-
-
 def _tx_file_layout(fact: DataFrame) -> DataFrame:
     """A fact in the daily file's column layout (what the bank sends)."""
     return fact.select(
@@ -301,7 +296,7 @@ def load_fact_blacklist(spark, sf):
     f"FROM fact f JOIN chain ch ON f.card_num = ch.card_num WHERE {Q.on(Q.CHAIN_BATCH, 'f.trans_date')}"))
 def join_inner_chain(spark, sf):
     fact, _, dims = _bank(spark, sf)
-    tx = E.select_batch(fact.select("trans_id", "trans_date", "card_num"), A.chain_batch(spark, sf))
+    tx = E.select_batch(fact, A.chain_batch(spark, sf)).select("trans_id", "trans_date", "card_num")
     return E.with_client(tx, dims).select("trans_id", "trans_date", "card_num", "account_num",
                                           "client", "passport_num")
 
@@ -315,7 +310,7 @@ def join_inner_chain(spark, sf):
 def join_left_chain(spark, sf):
     """The left-outer form of rule 2: the WHERE on the client makes it inner."""
     fact, _, dims = _bank(spark, sf)
-    tx = E.select_batch(fact.select("trans_id", "trans_date", "card_num"), A.chain_batch(spark, sf))
+    tx = E.select_batch(fact, A.chain_batch(spark, sf)).select("trans_id", "trans_date", "card_num")
     chained = E.with_client(tx, dims, "left", extra=("passport_valid_to",))
     return (chained.where(R.expired("passport_valid_to", "trans_date"))
                    .select("trans_id", "trans_date", "passport_num", "passport_valid_to"))
@@ -527,7 +522,7 @@ def filter_within_interval(spark, sf):
 def alias_filter(spark, sf):
     """Rule 1 filtered on its output alias ``passport`` (project, then filter)."""
     fact, _, dims = _bank(spark, sf)
-    tx = E.select_batch(fact.select("trans_id", "trans_date", "card_num"), A.chain_batch(spark, sf))
+    tx = E.select_batch(fact, A.chain_batch(spark, sf)).select("trans_id", "trans_date", "card_num")
     rows = R.to_report(E.with_client(tx, dims), EVENT_TYPES["blacklist"], A.REPORT_DT)
     bl = dims.blacklist.select(F.col("passport_num").alias("passport"))
     return rows.join(bl, "passport", "left_semi")

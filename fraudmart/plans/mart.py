@@ -55,7 +55,7 @@ def _fused_report(fact, dims, batch, mode, report_dt, rules, window_fact, window
     """
     cands = []
     if any(r in CHAIN_RULES for r in rules):
-        tx = select_batch(fact.select("trans_id", "trans_date", "card_num"), batch, mode)
+        tx = select_batch(fact, batch, mode).select("trans_id", "trans_date", "card_num")
         cands.append(tx.select("trans_date", "card_num", F.lit(None).cast("string").alias("_hit")))
     for name in (r for r in rules if r in WINDOW_RULES):
         src = window_fact if window_fact is not None else fact
