@@ -20,12 +20,17 @@ DOCUMENTED, OBSERVED = "documented", "observed"
 
 @dataclass
 class Dims:
-    """Warehouse dimensions (bank column names)."""
+    """Warehouse dimensions (bank column names).
+
+    ``profile`` is an optional pre-joined card → account → client table (see
+    ``card_profile``); when present the chain is one join instead of three.
+    """
     cards: DataFrame
     accounts: DataFrame
     clients: DataFrame
     terminals: DataFrame | None = None
     blacklist: DataFrame | None = None
+    profile: DataFrame | None = None
 
 
 @dataclass
@@ -111,6 +116,8 @@ def with_client(df: DataFrame, dims: Dims, how: str = "inner",
     """
     acc_cols = ["account_num", "client"] + [c for c in extra if c == "valid_to"]
     cli_cols = CLIENT_COLS + [c for c in extra if c == "passport_valid_to"]
+    if dims.profile is not None:
+        return df.join(dims.profile.select("card_num", *acc_cols, *cli_cols), "card_num", how)
     cards = dims.cards.select("card_num", "account_num")
     accounts = dims.accounts.select(*acc_cols)
     clients = dims.clients.select(F.col("client_id").alias("client"), *cli_cols)
@@ -122,3 +129,16 @@ def with_client(df: DataFrame, dims: Dims, how: str = "inner",
 def blacklisted(df: DataFrame, blacklist: DataFrame, col: str = "passport_num") -> DataFrame:
     """Semi join on passport membership (entry date not looked at)."""
     return df.join(blacklist.select(F.col("passport_num").alias(col)), col, "left_semi")
+
+
+def card_profile(dims: Dims) -> DataFrame:
+    """Card → account → client, pre-joined once (inner, as the rules need it).
+
+    Rebuilt when the dimensions change and written as a table, it turns the
+    three-hop chain of every report into a single join on ``card_num``; worth
+    it when a day of transactions outweighs the dimensions.
+    """
+    cards = dims.cards.select("card_num", "account_num")
+    accounts = dims.accounts.select("account_num", "client", "valid_to")
+    clients = dims.clients.select(F.col("client_id").alias("client"), *CLIENT_COLS, "passport_valid_to")
+    return cards.join(accounts, "account_num").join(clients, "client")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.functions import date_lit, ts_lit, file_date_from_name
-from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims
+from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims, card_profile
 from fraudmart.operators.load import RENAMES, add_null_columns, conform, insert_new, load_new, rename_columns
 from fraudmart.operators.scd import blacklist_increment, scd1_upsert, scd2_init, scd2_step
 from fraudmart.plans.mart import fraud_report
@@ -107,11 +107,12 @@ def load_terminals_scd(wh: Warehouse, term: DataFrame, batch_dt: dt.date) -> Non
 
 
 def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.date,
-            mode: str = DOCUMENTED, report_dt=None) -> None:
+            mode: str = DOCUMENTED, report_dt=None, profile: bool = False) -> None:
     """Load one day and write its report partition (idempotent per day).
 
     Documented mode keeps terminals as SCD1 + SCD2 (full snapshot) and loads
     the blacklist month-to-date increment; observed mode loads new keys only.
+    ``profile=True`` materialises the card → client chain once for the report.
     """
     report_dt = report_dt or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     tx, term, bl = stage_day(spark, files)
@@ -133,6 +134,9 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
 
     dims = Dims(wh.read("dwh_dim_cards"), wh.read("dwh_dim_accounts"), wh.read("dwh_dim_clients"),
                 wh.read("dwh_dim_terminals"), wh.read("dwh_fact_passport_blacklist"))
+    if profile:
+        wh.replace("stg_card_profile", card_profile(dims))
+        dims.profile = spark.read.parquet(wh.path("stg_card_profile"))
     report = fraud_report(wh.read("dwh_fact_transactions"), dims, Batch.day(batch_dt, tx), mode,
                           report_dt)
     wh.overwrite_days("rep_fraud", report.withColumn("batch_dt", date_lit(batch_dt)))

@@ -126,3 +126,14 @@ def test_fused_mart_equals_rule_by_rule(spark, mode):
         fused = sorted(map(tuple, fraud_report(f, d, b, mode, run).collect()))
         plain = sorted(map(tuple, fraud_report(f, d, b, mode, run, fused=False).collect()))
         assert fused == plain and len(fused) > 0
+
+
+def test_profile_chain_equals_three_joins(spark):
+    from fraudmart.operators.enrich import card_profile
+    from fraudmart.plans.mart import fraud_report
+    f = micro.fact(spark, micro.CITY_ROWS + micro.AMOUNT_ROWS)
+    d = micro.dims(spark, blacklist=("pass-c1",), valid_to=dt.date(2021, 3, 1))
+    run = dt.datetime(2021, 3, 4)
+    plain = sorted(map(tuple, fraud_report(f, d, None, DOCUMENTED, run).collect()))
+    d.profile = card_profile(d)
+    assert sorted(map(tuple, fraud_report(f, d, None, DOCUMENTED, run).collect())) == plain

@@ -143,7 +143,7 @@ def test_daily_job_end_to_end(spark, tmp_root):
     run_dt = dt.datetime(2021, 3, 4, 12, 0, 0)
     run_day(spark, wh, d1, dt.date(2021, 3, 1), report_dt=run_dt)
     run_day(spark, wh, d2, dt.date(2021, 3, 2), report_dt=run_dt)
-    run_day(spark, wh, d2, dt.date(2021, 3, 2), report_dt=run_dt)  # rerun of a day: idempotent
+    run_day(spark, wh, d2, dt.date(2021, 3, 2), report_dt=run_dt, profile=True)  # rerun: idempotent
 
     assert wh.read("dwh_fact_transactions").count() == 4
     assert wh.read("dwh_fact_passport_blacklist").count() == 2
