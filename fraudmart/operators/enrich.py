@@ -72,7 +72,8 @@ def range_filter(df: DataFrame, start, end, ts: str = "trans_date",
 
 
 def staged_times(staged: DataFrame, ts: str = "trans_date") -> DataFrame:
-    return staged.select(F.col("transaction_date").alias(ts)).where(F.col(ts).isNotNull())
+    """Distinct staged timestamps (partial aggregation before any shuffle)."""
+    return staged.select(F.col("transaction_date").alias(ts)).where(F.col(ts).isNotNull()).distinct()
 
 
 def semi_join_batch(df: DataFrame, staged: DataFrame, ts: str = "trans_date",

@@ -10,12 +10,12 @@ from pyspark.sql import SparkSession
 
 # Settings the engine wants on any cluster. Shuffle partitions are left to the
 # caller (cluster size decides: set them high, e.g. 2-3x total cores); AQE then
-# coalesces them to ~128 MB by size, so one setting fits sf0.1 and 100 TB alike.
+# coalesces small ones (keeping the cluster's parallelism) and splits skewed ones
+# around the advisory size, so one setting fits sf0.1 and 100 TB alike.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
