@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
-from fraudmart.functions import date_lit, ts_lit, file_date_from_name
+from fraudmart.functions import date_lit, file_date_from_name, source_name, ts_lit
 from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims, card_profile
 from fraudmart.operators.load import RENAMES, add_null_columns, conform, insert_new, load_new, rename_columns
 from fraudmart.operators.scd import blacklist_increment, scd1_upsert, scd2_init, scd2_step
@@ -171,3 +171,39 @@ def run_days_frames(staged_days: list[tuple[Batch, DataFrame]], dims: Dims,
             "batch_dt", date_lit(batch.start))
         reports = day if reports is None else reports.unionByName(day)
     return reports
+
+
+KINDS = {"transactions": "transactions_*.txt", "terminals": "terminals_*.xlsx",
+         "passport_blacklist": "passport_blacklist_*.xlsx"}
+
+
+def pending_days(spark: SparkSession, wh: Warehouse, incoming: str) -> list[tuple[dt.date, DayFiles]]:
+    """Complete day file sets under ``incoming`` not recorded in the ledger,
+    oldest first. Only file paths are listed (``binaryFile`` with the content
+    column pruned); the driver receives one row per pending day."""
+    listed = None
+    for kind, pattern in KINDS.items():
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(incoming)
+                 .select("path", source_name(F.col("path")).alias("file_name"), F.lit(kind).alias("kind")))
+        listed = files if listed is None else listed.unionByName(files)
+    ledger = wh.read("meta_ingest_log").select("file_name")
+    todo = ledger_pending(ledger, listed)
+    days = (todo.groupBy("batch_dt").pivot("kind", list(KINDS)).agg(F.first("path"))
+                .where(F.col("batch_dt").isNotNull()).orderBy("batch_dt"))
+    out = []
+    for r in days.collect():  # one small row per day
+        if all(r[k] for k in KINDS):
+            out.append((r["batch_dt"], DayFiles(r["transactions"], r["terminals"], r["passport_blacklist"])))
+    return out
+
+
+def run_pending(spark: SparkSession, wh: Warehouse, incoming: str, mode: str = DOCUMENTED,
+                report_dt=None) -> list[dt.date]:
+    """Process every complete pending day in date order; returns the days run.
+    A crash leaves the ledger without the day, so the next call resumes there
+    (loads are insert-new and the report partition is overwritten)."""
+    done = []
+    for day, files in pending_days(spark, wh, incoming):
+        run_day(spark, wh, files, day, mode, report_dt)
+        done.append(day)
+    return done

@@ -204,3 +204,24 @@ def test_daily_job_keeps_terminal_history(spark, tmp_root):
     # month-to-date file: a second passport dated the 1st arrives with the 2nd's file
     bl = sorted(r["passport_num"] for r in wh.read("dwh_fact_passport_blacklist").collect())
     assert bl == ["1234 567890", "7777 777777"]
+
+
+def test_run_pending_days_in_order_once(spark, tmp_root):
+    from fraudmart.plans.pipeline import run_pending
+    inbox = os.path.join(tmp_root, "in")
+    os.makedirs(inbox)
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
+    bootstrap_dims(spark, wh, dump)
+    terms = [["A1", "POS", "Moscow", "a"], ["P2", "POS", "Kazan", "b"]]
+    _day_files(inbox, dt.date(2021, 3, 2), [["t2", "2021-03-02 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "P2"]],
+               terms, [[44256, "1234 567890"]])
+    _day_files(inbox, dt.date(2021, 3, 1), [["t1", "2021-03-01 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]],
+               terms, [[44256, "1234 567890"]])
+    _tx_file(os.path.join(inbox, "transactions_03032021.txt"), [])  # incomplete day: waits
+    assert run_pending(spark, wh, inbox, report_dt=dt.datetime(2021, 3, 4)) == [dt.date(2021, 3, 1), dt.date(2021, 3, 2)]
+    assert run_pending(spark, wh, inbox) == []
+    assert sorted(r["trans_id"] for r in wh.read("dwh_fact_transactions").collect()) == ["t1", "t2"]
+    assert {r["batch_dt"] for r in wh.read("rep_fraud").collect()} == {dt.date(2021, 3, 1), dt.date(2021, 3, 2)}
