@@ -225,3 +225,27 @@ def test_run_pending_days_in_order_once(spark, tmp_root):
     assert run_pending(spark, wh, inbox) == []
     assert sorted(r["trans_id"] for r in wh.read("dwh_fact_transactions").collect()) == ["t1", "t2"]
     assert {r["batch_dt"] for r in wh.read("rep_fraud").collect()} == {dt.date(2021, 3, 1), dt.date(2021, 3, 2)}
+
+
+def test_streaming_daily_reports(spark, tmp_root):
+    from fraudmart.streaming.ingest import foreach_day, report_each_batch
+    inbox = os.path.join(tmp_root, "in")
+    os.makedirs(inbox)
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
+    bootstrap_dims(spark, wh, dump)
+    wh.append("dwh_fact_passport_blacklist",
+              spark.createDataFrame([("1234 567890", dt.date(2021, 3, 1), None, None)], schemas.FACT_BLACKLIST))
+    _tx_file(os.path.join(inbox, "transactions_01032021.txt"),
+             [["t1", "2021-03-01 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]])
+    _tx_file(os.path.join(inbox, "transactions_02032021.txt"),
+             [["t2", "2021-03-02 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]])
+    handler = report_each_batch(wh, report_dt=dt.datetime(2021, 3, 4))
+    foreach_day(spark, inbox, os.path.join(tmp_root, "ckpt"), handler)
+    foreach_day(spark, inbox, os.path.join(tmp_root, "ckpt"), handler)  # nothing new
+    assert sorted(r["trans_id"] for r in wh.read("dwh_fact_transactions").collect()) == ["t1", "t2"]
+    rep = sorted((r["batch_dt"], r["event_type"]) for r in wh.read("rep_fraud").collect())
+    assert rep == [(dt.date(2021, 3, 1), "passport in blacklist"), (dt.date(2021, 3, 2), "account not valid"),
+                   (dt.date(2021, 3, 2), "passport in blacklist")]  # account valid to 2021-03-02
