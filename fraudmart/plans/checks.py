@@ -693,17 +693,18 @@ def file_date_from_name_check(spark, sf):
 @check("meta_ingest_log", Q.with_bank() + (
     "SELECT 'transactions_' || strftime(CAST(trans_date AS DATE), '%d%m%Y') || '.txt' AS file_name, "
     "'transactions' AS kind, CAST(trans_date AS DATE) AS batch_dt, COUNT(*) AS rows, "
+    "COUNT(*) FILTER (WHERE trans_id IS NULL OR trans_date IS NULL OR amt IS NULL) AS rejected, "
     f"MAX(trans_date) AS max_event_ts FROM fact WHERE {DAYS_SQL} GROUP BY 1, 2, 3"))
 def meta_ingest_log(spark, sf):
     """Ledger after loading days 1-2, then the pending day 3 is loaded too."""
     root = _write_day_files(spark, A.lineitem_fact(spark, sf), scratch_path(spark, "incoming"))
     staged = read_delimited(spark, f"{root}/transactions_*.txt")
     first = ledger_rows(staged.where(F.col("file_dt") < date_lit(DAYS[2])), "transactions",
-                        "transaction_date", A.REPORT_DT)
+                        "transaction_date", A.REPORT_DT, schemas.TRANSACTION_REQUIRED)
     files = staged.select("file_name").distinct()
     pending = files.join(first.select("file_name"), "file_name", "left_anti")
     rest = ledger_rows(staged.join(pending, "file_name", "left_semi"), "transactions",
-                       "transaction_date", A.REPORT_DT)
+                       "transaction_date", A.REPORT_DT, schemas.TRANSACTION_REQUIRED)
     return first.unionByName(rest).drop("loaded_at")
 
 

@@ -65,15 +65,26 @@ def ledger_pending(ledger: DataFrame, files: DataFrame) -> DataFrame:
                  .orderBy("batch_dt", "file_name"))
 
 
-def ledger_rows(staged: DataFrame, kind: str, ts_col: str | None, loaded_at) -> DataFrame:
-    """One ledger row per staged file: rows, last event time (high-water mark)."""
-    agg = [F.count(F.lit(1)).alias("rows")]
+def rejected(required=schemas.TRANSACTION_REQUIRED) -> F.Column:
+    """A staged row whose required fields did not parse (PERMISSIVE reads give NULL)."""
+    cond = F.lit(False)
+    for c in required:
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
+def ledger_rows(staged: DataFrame, kind: str, ts_col: str | None, loaded_at,
+                required: tuple[str, ...] = ()) -> DataFrame:
+    """One ledger row per staged file: rows, rejected rows, last event time
+    (the high-water mark)."""
+    agg = [F.count(F.lit(1)).alias("rows"),
+           F.count(F.when(rejected(required), 1)).alias("rejected")]
     agg.append(F.max(ts_col).alias("max_event_ts") if ts_col
                else F.lit(None).cast("timestamp_ntz").alias("max_event_ts"))
     return (staged.groupBy("file_name").agg(*agg)
                   .select("file_name", F.lit(kind).alias("kind"),
                           file_date_from_name("file_name").alias("batch_dt"),
-                          "rows", "max_event_ts",
+                          "rows", "rejected", "max_event_ts",
                           ts_lit(loaded_at).alias("loaded_at")))
 
 
@@ -120,9 +131,12 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
     # same rows even if the source files are replaced meanwhile.
     wh.replace("stg_transactions", tx)
     tx = spark.read.parquet(wh.path("stg_transactions"))
+    # Rows whose id, time or amount did not parse are kept aside, not loaded.
+    wh.replace("stg_rejects", tx.where(rejected()))
+    good = tx.where(~rejected())
 
     wh.append("dwh_fact_transactions",
-              load_new(tx, wh.read("dwh_fact_transactions"), "dwh_fact_transactions"))
+              load_new(good, wh.read("dwh_fact_transactions"), "dwh_fact_transactions"))
     if mode == DOCUMENTED:
         load_blacklist_increment(wh, bl, batch_dt)
         load_terminals_scd(wh, term, batch_dt)
@@ -137,11 +151,11 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
     if profile:
         wh.replace("stg_card_profile", card_profile(dims))
         dims.profile = spark.read.parquet(wh.path("stg_card_profile"))
-    report = fraud_report(wh.read("dwh_fact_transactions"), dims, Batch.day(batch_dt, tx), mode,
+    report = fraud_report(wh.read("dwh_fact_transactions"), dims, Batch.day(batch_dt, good), mode,
                           report_dt)
     wh.overwrite_days("rep_fraud", report.withColumn("batch_dt", date_lit(batch_dt)))
 
-    ledger = (ledger_rows(tx, "transactions", "transaction_date", report_dt)
+    ledger = (ledger_rows(tx, "transactions", "transaction_date", report_dt, schemas.TRANSACTION_REQUIRED)
               .unionByName(ledger_rows(term, "terminals", None, report_dt))
               .unionByName(ledger_rows(bl, "passport_blacklist", None, report_dt)))
     wh.append("meta_ingest_log", ledger)

@@ -45,7 +45,9 @@ FACT_BLACKLIST = _struct(("passport_num", S), ("entry_dt", D), ("create_dt", D),
 REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", S), ("report_dt", TS))
 META_INGEST = _struct(("file_name", S), ("kind", S), ("batch_dt", D), ("rows", T.LongType()),
-                      ("max_event_ts", TS), ("loaded_at", TS))
+                      ("rejected", T.LongType()), ("max_event_ts", TS), ("loaded_at", TS))
+# Columns a staged transaction must have (after typed parsing) to be loaded.
+TRANSACTION_REQUIRED = ("transaction_id", "transaction_date", "amount")
 
 WAREHOUSE = {
     "dwh_dim_cards": DIM_CARDS,

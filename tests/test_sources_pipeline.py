@@ -139,6 +139,7 @@ def test_daily_job_end_to_end(spark, tmp_root):
     d2 = _day_files(inbox, dt.date(2021, 3, 2), [
         ["t4", "2021-03-02 00:00:00", "5.00", C1, "PAYMENT", "SUCCESS", "A1"],
         ["t1", "2021-03-01 10:00:00", "100.00", C1, "PAYMENT", "SUCCESS", "A1"],  # delivered again
+        ["t9", "2021-03-02 25:61:00", "5,00.x", C1, "PAYMENT", "SUCCESS", "A1"],  # does not parse
     ], terms, [[44256, "1234 567890"], [44257, "5555 555555"]])
     run_dt = dt.datetime(2021, 3, 4, 12, 0, 0)
     run_day(spark, wh, d1, dt.date(2021, 3, 1), report_dt=run_dt)
@@ -159,6 +160,9 @@ def test_daily_job_end_to_end(spark, tmp_root):
     assert wh.read("rep_fraud").count() == 6
     ledger = wh.read("meta_ingest_log")
     assert ledger.where(F.col("kind") == "transactions").select("file_name").distinct().count() == 2
+    day2 = ledger.where(F.col("file_name") == "transactions_02032021.txt").first()
+    assert (day2["rows"], day2["rejected"]) == (3, 1)
+    assert [r["transaction_id"] for r in wh.read("stg_rejects", schemas.TRANSACTIONS_FILE).collect()] == ["t9"]
 
 
 def test_stream_ingest_exactly_once(spark, tmp_root):
