@@ -136,7 +136,9 @@ def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCU
     limit = limit_s if mode == DOCUMENTED else None
     src = _history(fact, batch, mode, limit, ["trans_id", "trans_date", "card_num", "terminal"])
     terminals = dims.terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
-    src = src.join(terminals, "terminal", "inner")
+    # The terminal id is not needed past this join; dropping it keeps both
+    # branches of the split LAG on the same columns (one shared row shuffle).
+    src = src.join(terminals, "terminal", "inner").drop("terminal")
     lagged = lag_columns(src, ["card_num"], ORDER,
                          {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)},
                          bucket_s)
