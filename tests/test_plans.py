@@ -43,12 +43,14 @@ def test_amount_lags_share_one_window(spark):
     assert len(windows) == 1 and windows[0].count("lag(") == 7
 
 
-def test_split_amount_rule_reuses_row_shuffle(spark):
+def test_split_window_rules_reuse_row_shuffle(spark):
+    """Both branches of the split LAG read one shuffle of the rows."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        f = micro.fact(spark, micro.AMOUNT_ROWS)
-        plan = _plan(R.hits_amount(f, micro.dims(spark), None))
-        assert "ReusedExchange" in plan
+        f = micro.fact(spark, micro.CITY_ROWS + micro.AMOUNT_ROWS)
+        for hits in (R.hits_amount(f, micro.dims(spark), None),
+                     R.hits_city(f, micro.dims(spark), Batch.day(dt.date(2021, 3, 1)))):
+            assert re.search(r"ReusedExchange \[_key", _plan(hits))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
