@@ -108,11 +108,14 @@ def _history(fact: DataFrame, batch: Batch | None, mode: str, limit_s: int | Non
     elif mode == OBSERVED and batch.staged is not None:
         # Key-restricted lookback: windows are per card, so only cards with a
         # staged transaction matter; nothing after the last staged second does.
-        cards = (semi_join_batch(src.select("card_num", "trans_date"), batch.staged)
+        part = [c for c in ("trans_dt",) if c in src.columns]
+        cards = (semi_join_batch(src.select("card_num", "trans_date", *part), batch.staged)
                  .select("card_num").distinct())
         src = src.join(cards, "card_num", "left_semi")
-        last = staged_times(batch.staged).agg(F.max("trans_date").alias("_m"))
-        src = src.where(F.col("trans_date") <= last.scalar())
+        last = staged_times(batch.staged).agg(F.max("trans_date").alias("_m")).scalar()
+        src = src.where(F.col("trans_date") <= last)
+        if part:  # the same bound on the day partitions (evaluated once, prunes the scan)
+            src = src.where(F.col("trans_dt") <= F.to_date(last))
     return src.select(*cols)
 
 

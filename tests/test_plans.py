@@ -62,3 +62,12 @@ def test_observed_batch_prunes_partitions_dynamically(spark, tmp_root):
     hits = R.hits_blacklist(fact, micro.dims(spark, blacklist=("pass-c1",)), Batch(staged=staged), OBSERVED)
     assert "dynamicpruningexpression" in _plan(hits)
     assert sorted(r["trans_id"] for r in hits.collect()) == ["06", "07"]
+
+
+def test_observed_window_rule_prunes_later_days(spark, tmp_root):
+    from fraudmart.operators.enrich import OBSERVED
+    fact = _warehouse_fact(spark, tmp_root)
+    staged = micro.staged(spark, fact, dt.date(2021, 3, 1))
+    hits = R.hits_city(fact, micro.dims(spark), Batch(staged=staged), OBSERVED)
+    assert re.search(r"PartitionFilters: \[[^\]]*trans_dt", _plan(hits))
+    assert sorted(r["trans_id"] for r in hits.collect()) == ["02", "03", "05"]
