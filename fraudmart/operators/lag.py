@@ -27,10 +27,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _NULL_BUCKET = -(2 ** 62)  # NULL timestamps sort first, so their bucket does too
 
 
+def time_bucket(df: DataFrame, col: str, seconds: int) -> F.Column:
+    """A bucket number that never decreases along ``col``'s sort order.
+
+    ``timestamp_ntz`` is bucketed on its wall clock (no time-zone conversion,
+    which would not be monotone across a daylight-saving change), ``timestamp``
+    on its instant, ``date`` on its day number. NULL gets the lowest bucket.
+    """
+    dtype = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+        secs = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
+    elif isinstance(dtype, T.DateType):
+        secs = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+    else:
+        secs = F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000))
+    return F.coalesce(F.floor(secs / F.lit(seconds)), F.lit(_NULL_BUCKET))
+
+
 def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
                 lags: dict[str, tuple[str, int]], bucket_seconds: int | None = 3600) -> DataFrame:
     """Add ``out = LAG(col, k) OVER (PARTITION BY by ORDER BY order)`` for each
@@ -38,7 +58,7 @@ def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
 
     ``bucket_seconds=None`` gives the plain single-window form (one task per
     partition key); any positive value gives the split form, with identical
-    results. ``order[0]`` must be a timestamp column.
+    results. ``order[0]`` must be a timestamp or date column.
     """
     by, order = list(by), list(order)
     if not bucket_seconds:
@@ -46,8 +66,7 @@ def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
         return df.select("*", *[F.lag(c, k).over(w).alias(o) for o, (c, k) in lags.items()])
 
     depth = max(k for _, k in lags.values())
-    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    bucket = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)), F.lit(_NULL_BUCKET))
+    bucket = time_bucket(df, order[0], bucket_seconds)
     # The partition columns travel inside one non-NULL struct key: NULL card
     # numbers still meet their own group in the join below, window and join
     # share one hash partitioning, and both branches read the same columns, so
@@ -98,8 +117,7 @@ def running_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[_RUNNING[fn](e).over(w).alias(o) for o, (fn, e) in aggs.items()])
 
-    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    bucket = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)), F.lit(_NULL_BUCKET))
+    bucket = time_bucket(df, order[0], bucket_seconds)
     inputs = {f"_in_{o}": e for o, (_, e) in aggs.items()}
     x = df.select(F.struct(*by).alias("_key"), bucket.alias("_b"),
                   *[F.col(c) for c in df.columns if c not in by],

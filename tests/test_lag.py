@@ -68,3 +68,19 @@ def test_amount_chains_match_amount_rule(spark):
     chains = {r["trans_id"] for r in amount_chains(ev).collect()}
     rule = {r["trans_id"] for r in hits_amount(ev, A.dims(spark, SF_MID), None, OBSERVED, chain=False).collect()}
     assert chains == rule and chains
+
+
+def test_split_lag_is_time_zone_independent(spark):
+    """Wall-clock buckets for timestamp_ntz: exact even in a daylight-saving zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2021, 3, 14, 1, 50)  # clocks jump 02:00 -> 03:00 that night
+        rows = [("c", base + dt.timedelta(minutes=5 * i), i, float(i)) for i in range(30)]
+        df = spark.createDataFrame(rows, "card string, ts timestamp_ntz, id long, v double")
+        lags = {"l1": ("v", 1), "l3": ("id", 3)}
+        plain = lag_columns(df, ["card"], ["ts", "id"], lags, None)
+        split = lag_columns(df, ["card"], ["ts", "id"], lags, 600)
+        assert _rows(plain, ["id", "l1", "l3"]) == _rows(split, ["id", "l1", "l3"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
