@@ -15,6 +15,11 @@ WINDOW_RULES = ("city", "amount")
 CHAIN_RULES = ("blacklist", "passport_expired", "account_expired")
 
 
+def run_date(stamp: F.Column) -> F.Column:
+    """Midnight of the run (rule 2 stamps ``current_date`` in observed mode)."""
+    return F.to_date(stamp).cast("timestamp_ntz")
+
+
 def fraud_report(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
                  report_dt=None, rules: tuple[str, ...] = tuple(RULES),
                  window_fact: DataFrame | None = None, window_batch: Batch | None = None,
@@ -40,7 +45,7 @@ def fraud_report(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = D
         src = window_fact if (windowed and window_fact is not None) else fact
         b = window_batch if (windowed and window_batch is not None) else batch
         hits = RULES[name](src, dims, b, mode, **options.get(name, {}))
-        st = F.date_trunc("day", stamp).cast("timestamp_ntz") if (mode == OBSERVED and name == "passport_expired") else stamp
+        st = run_date(stamp) if (mode == OBSERVED and name == "passport_expired") else stamp
         parts.append(to_report(hits, EVENT_TYPES[name], stamp=st))
     return reduce(DataFrame.unionByName, parts)
 
@@ -80,6 +85,6 @@ def _fused_report(fact, dims, batch, mode, report_dt, rules, window_fact, window
     stamp = report_stamp(report_dt)
     if mode == OBSERVED:
         stamp = F.when(F.col("event_type") == EVENT_TYPES["passport_expired"],
-                       F.date_trunc("day", stamp).cast("timestamp_ntz")).otherwise(stamp)
+                       run_date(stamp)).otherwise(stamp)
     return rows.select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
                        fio().alias("fio"), "phone", "event_type", stamp.alias("report_dt"))
