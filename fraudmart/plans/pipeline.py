@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.functions import date_lit, file_date_from_name, source_name, ts_lit
-from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims, card_profile
+from fraudmart.operators.enrich import DOCUMENTED, OBSERVED, Batch, Dims, card_profile
 from fraudmart.operators.load import RENAMES, add_null_columns, conform, insert_new, load_new, rename_columns
 from fraudmart.operators.scd import blacklist_increment, scd1_upsert, scd2_init, scd2_step
 from fraudmart.plans.mart import fraud_report
@@ -36,15 +36,24 @@ class DayFiles:
     blacklist: str
 
 
-def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str) -> dict[str, int]:
-    """Seed dimensions from the INSERT dump: new keys only (reruns add nothing)."""
-    added = {}
+def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str = OBSERVED,
+                   run_dt: dt.date | None = None) -> dict[str, int]:
+    """Load the bank's reference tables from the INSERT dump; returns row counts.
+
+    ``observed`` (the original load): new keys only, reruns add nothing.
+    ``documented``: each table is a full snapshot kept as SCD1 (current state,
+    ``create_dt`` / ``update_dt``) plus SCD2 history ``<table>_hist``.
+    """
+    counts = {}
     for seed, table in SEED_TARGETS.items():
         staged = read_insert_dump(spark, dump_path, seed, schemas.SEED[seed])
-        new = load_new(staged, wh.read(table), table)
-        wh.append(table, new)
-        added[table] = wh.read(table).count()
-    return added
+        if mode == DOCUMENTED:
+            rows = conform(rename_columns(staged, RENAMES[table]), schemas.WAREHOUSE[table])
+            load_dim_scd(wh, table, rows, run_dt or dt.date.today())
+        else:
+            wh.append(table, load_new(staged, wh.read(table), table))
+        counts[table] = wh.read(table).count()
+    return counts
 
 
 def stage_day(spark: SparkSession, files: DayFiles):
@@ -88,9 +97,6 @@ def ledger_rows(staged: DataFrame, kind: str, ts_col: str | None, loaded_at,
                           ts_lit(loaded_at).alias("loaded_at")))
 
 
-TERMINAL_ATTRS = ["terminal_type", "terminal_city", "terminal_address"]
-
-
 def load_blacklist_increment(wh: Warehouse, bl: DataFrame, batch_dt: dt.date) -> None:
     """Month-to-date blacklist file: append only entries (passport, date) of
     this month up to the file day that are not loaded yet."""
@@ -100,21 +106,27 @@ def load_blacklist_increment(wh: Warehouse, bl: DataFrame, batch_dt: dt.date) ->
     wh.append("dwh_fact_passport_blacklist", new)
 
 
-def load_terminals_scd(wh: Warehouse, term: DataFrame, batch_dt: dt.date) -> None:
-    """Full terminal snapshot: SCD1 current state (create_dt / update_dt) and
-    SCD2 history (effective_from / effective_to / deleted_flg), each written as
-    a new table version."""
-    snap = conform(term, schemas.DIM_TERMINALS).select("terminal_id", *TERMINAL_ATTRS)
-    current = scd1_upsert(wh.read("dwh_dim_terminals"), snap, "terminal_id", TERMINAL_ATTRS, batch_dt)
-    wh.write_version("dwh_dim_terminals", conform(current, schemas.DIM_TERMINALS))
-    hist_schema = schemas.scd2_schema(schemas.DIM_TERMINALS)
+def load_dim_scd(wh: Warehouse, table: str, snapshot: DataFrame, batch_dt: dt.date) -> None:
+    """A full snapshot of a dimension: SCD1 current state (create_dt /
+    update_dt) and SCD2 history ``<table>_hist`` (effective_from /
+    effective_to / deleted_flg), each written as a new table version."""
+    schema, key = schemas.WAREHOUSE[table], schemas.KEYS[table]
+    attrs = [f.name for f in schema.fields if f.name not in (key, "create_dt", "update_dt")]
+    snap = conform(snapshot, schema).select(key, *attrs)
+    current = scd1_upsert(wh.read(table), snap, key, attrs, batch_dt)
+    wh.write_version(table, conform(current, schema))
+    hist_table, hist_schema = f"{table}_hist", schemas.scd2_schema(schema)
     run_ts = dt.datetime(batch_dt.year, batch_dt.month, batch_dt.day)
-    if wh.current_version("dwh_dim_terminals_hist") is None:
-        hist = scd2_init(snap, "terminal_id", TERMINAL_ATTRS, run_ts)
+    if wh.current_version(hist_table) is None:
+        hist = scd2_init(snap, key, attrs, run_ts)
     else:
-        hist = scd2_step(wh.read("dwh_dim_terminals_hist", hist_schema), snap, "terminal_id",
-                         TERMINAL_ATTRS, run_ts)
-    wh.write_version("dwh_dim_terminals_hist", hist.select(*hist_schema.fieldNames()))
+        hist = scd2_step(wh.read(hist_table, hist_schema), snap, key, attrs, run_ts)
+    wh.write_version(hist_table, hist.select(*hist_schema.fieldNames()))
+
+
+def load_terminals_scd(wh: Warehouse, term: DataFrame, batch_dt: dt.date) -> None:
+    """The day's full terminal snapshot as SCD1 + SCD2."""
+    load_dim_scd(wh, "dwh_dim_terminals", term, batch_dt)
 
 
 def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.date,

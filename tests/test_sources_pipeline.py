@@ -253,3 +253,21 @@ def test_streaming_daily_reports(spark, tmp_root):
     rep = sorted((r["batch_dt"], r["event_type"]) for r in wh.read("rep_fraud").collect())
     assert rep == [(dt.date(2021, 3, 1), "passport in blacklist"), (dt.date(2021, 3, 2), "account not valid"),
                    (dt.date(2021, 3, 2), "passport in blacklist")]  # account valid to 2021-03-02
+
+
+def test_bootstrap_documented_keeps_dimension_history(spark, tmp_root):
+    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    counts = bootstrap_dims(spark, wh, dump, mode="documented", run_dt=dt.date(2021, 3, 1))
+    assert counts == {"dwh_dim_cards": 2, "dwh_dim_accounts": 2, "dwh_dim_clients": 2}
+    with open(dump, "w", encoding="utf-8") as f:  # next snapshot: a new phone number
+        f.write(SEED_DUMP.replace("+7 900 111-22-33", "+7 900 999-99-99"))
+    bootstrap_dims(spark, wh, dump, mode="documented", run_dt=dt.date(2021, 3, 2))
+    cli = {r["client_id"]: r for r in wh.read("dwh_dim_clients").collect()}
+    assert cli["1001"]["phone"] == "+7 900 999-99-99" and cli["1001"]["update_dt"] == dt.date(2021, 3, 2)
+    assert cli["VIP-1002"]["update_dt"] is None and cli["VIP-1002"]["create_dt"] == dt.date(2021, 3, 1)
+    hist = wh.read("dwh_dim_clients_hist", schemas.scd2_schema(schemas.DIM_CLIENTS))
+    assert sorted((r["client_id"], r["phone"]) for r in hist.collect()) == [
+        ("1001", "+7 900 111-22-33"), ("1001", "+7 900 999-99-99"), ("VIP-1002", "+7 900 444-55-66")]
