@@ -36,7 +36,7 @@ class DayFiles:
     blacklist: str
 
 
-def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str = OBSERVED,
+def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str = DOCUMENTED,
                    run_dt: dt.date | None = None) -> dict[str, int]:
     """Load the bank's reference tables from the INSERT dump; returns row counts.
 
