@@ -148,7 +148,7 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
     good = tx.where(~rejected())
 
     wh.append("dwh_fact_transactions",
-              load_new(good, wh.read("dwh_fact_transactions"), "dwh_fact_transactions"))
+              load_new(good, wh.keys_of("dwh_fact_transactions"), "dwh_fact_transactions"))
     if mode == DOCUMENTED:
         load_blacklist_increment(wh, bl, batch_dt)
         load_terminals_scd(wh, term, batch_dt)

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,46 @@ _VERSIONS = T.StructType([T.StructField("table", T.StringType()),
                           T.StructField("created_at", T.TimestampNTZType())])
 
 
+FACT = "dwh_fact_transactions"
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """Parquet tables under ``root``.
+
+    ``fact_buckets`` keeps the transaction fact as a catalog table bucketed by
+    ``trans_id`` (and partitioned by day): the daily insert-new check then reads
+    the fact already hash-partitioned on the key and only the day's keys are
+    shuffled, however large the warehouse grows. ``True`` uses the session's
+    ``spark.sql.shuffle.partitions`` — the bucket count must equal the shuffle
+    partitions of the other side, or Spark reshuffles the fact after all.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | bool | None = None):
         self.spark, self.root = spark, root.rstrip("/")
+        if fact_buckets is True:
+            fact_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fact_buckets = fact_buckets or None
+        self._fact_table: str | None = None
+
+    def fact_table(self) -> str | None:
+        """Catalog name of the bucketed fact (registered on first use)."""
+        if not self.fact_buckets:
+            return None
+        if self._fact_table is None:
+            name = "fm_fact_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.FACT_TRANSACTIONS.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY (trans_dt) "
+                f"CLUSTERED BY (trans_id) INTO {int(self.fact_buckets)} BUCKETS "
+                f"LOCATION '{self.path(FACT)}'")
+            self._fact_table = name
+        return self._fact_table
+
+    def keys_of(self, name: str) -> DataFrame:
+        """The table to check new keys against (the bucketed fact when set)."""
+        if name == FACT and self.fact_table():
+            return self.spark.table(self.fact_table())
+        return self.read(name)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -61,6 +99,9 @@ class Warehouse:
         return df
 
     def append(self, name: str, df: DataFrame) -> None:
+        if name == FACT and self.fact_table():
+            df.select(*schemas.FACT_TRANSACTIONS.fieldNames()).write.insertInto(self.fact_table())
+            return
         w = df.write.mode("append")
         if PARTITIONS.get(name):
             w = w.partitionBy(*PARTITIONS[name])

@@ -271,3 +271,39 @@ def test_bootstrap_documented_keeps_dimension_history(spark, tmp_root):
     hist = wh.read("dwh_dim_clients_hist", schemas.scd2_schema(schemas.DIM_CLIENTS))
     assert sorted((r["client_id"], r["phone"]) for r in hist.collect()) == [
         ("1001", "+7 900 111-22-33"), ("1001", "+7 900 999-99-99"), ("VIP-1002", "+7 900 444-55-66")]
+
+
+def test_bucketed_fact_same_results_without_fact_shuffle(spark, tmp_root):
+    inbox = os.path.join(tmp_root, "in")
+    os.makedirs(inbox)
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    terms = [["A1", "POS", "Moscow", "a"], ["P2", "POS", "Kazan", "b"]]
+    d1 = _day_files(inbox, dt.date(2021, 3, 1), [
+        ["t1", "2021-03-01 10:00:00", "100.00", C1, "PAYMENT", "SUCCESS", "A1"],
+        ["t2", "2021-03-01 10:30:00", "90.00", C1, "PAYMENT", "SUCCESS", "P2"]], terms, [[44256, "1234 567890"]])
+    d2 = _day_files(inbox, dt.date(2021, 3, 2), [
+        ["t3", "2021-03-02 09:00:00", "5.00", C2, "PAYMENT", "SUCCESS", "A1"],
+        ["t1", "2021-03-01 10:00:00", "100.00", C1, "PAYMENT", "SUCCESS", "A1"]], terms, [[44256, "1234 567890"]])
+    results = []
+    for buckets in (None, True):
+        wh = Warehouse(spark, os.path.join(tmp_root, f"wh{buckets}"), fact_buckets=buckets)
+        bootstrap_dims(spark, wh, dump, run_dt=dt.date(2021, 3, 1))
+        for files, day in ((d1, dt.date(2021, 3, 1)), (d2, dt.date(2021, 3, 2))):
+            run_day(spark, wh, files, day, report_dt=dt.datetime(2021, 3, 4))
+        fact = sorted(r["trans_id"] for r in wh.read("dwh_fact_transactions").collect())
+        rep = sorted(tuple(r) for r in wh.read("rep_fraud").collect())
+        results.append((fact, rep))
+        if buckets:
+            from fraudmart.operators.load import insert_new
+            staged = wh.read("dwh_fact_transactions").limit(0).unionByName(
+                wh.read("dwh_fact_transactions"))
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            try:
+                plan = insert_new(staged, wh.keys_of("dwh_fact_transactions"), "trans_id")._jdf \
+                    .queryExecution().executedPlan().toString()
+            finally:
+                spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            assert "Bucketed: true" in plan
+    assert results[0] == results[1] and results[0][0] == ["t1", "t2", "t3"]
