@@ -371,9 +371,14 @@ def _city_lagged(spark, sf):
                        {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)})
 
 
-def _amount_lagged(spark, sf):
-    ev = A.events_fact(spark, sf).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
-    return lag_columns(ev, ["card_num"], R.ORDER, R.AMOUNT_LAGS)
+def _amount_lagged(spark, sf, names=tuple(R.AMOUNT_LAGS)):
+    """The amount rule's lags; a check asking for some of them computes only
+    those (its columns then match in both branches of the split LAG)."""
+    lags = {n: R.AMOUNT_LAGS[n] for n in names}
+    cols = ["trans_id", "trans_date", "card_num"] + sorted(
+        {c for c, _ in lags.values()} - {"trans_id", "trans_date", "card_num"})
+    ev = A.events_fact(spark, sf).select(*cols)
+    return lag_columns(ev, ["card_num"], R.ORDER, lags)
 
 
 _CITY_LAG_SQL = Q.with_bank(Q.city_lagged())
@@ -392,17 +397,19 @@ def lag_event_time(spark, sf):
 
 @check("lag3_event_time", _AMT_LAG_SQL + "SELECT trans_id, trans_date, prev_date FROM lag_amt_w")
 def lag3_event_time(spark, sf):
-    return _amount_lagged(spark, sf).select("trans_id", "trans_date", "prev_date")
+    return _amount_lagged(spark, sf, ("prev_date",)).select("trans_id", "trans_date", "prev_date")
 
 
 @check("lag_amounts", _AMT_LAG_SQL + "SELECT trans_id, amt, prev_1_amt, prev_2_amt, prev_3_amt FROM lag_amt_w")
 def lag_amounts(spark, sf):
-    return _amount_lagged(spark, sf).select("trans_id", "amt", "prev_1_amt", "prev_2_amt", "prev_3_amt")
+    amts = ("prev_1_amt", "prev_2_amt", "prev_3_amt")
+    return _amount_lagged(spark, sf, amts).select("trans_id", "amt", *amts)
 
 
 @check("lag_results", _AMT_LAG_SQL + "SELECT trans_id, oper_result, prev_1_res, prev_2_res, prev_3_res FROM lag_amt_w")
 def lag_results(spark, sf):
-    return _amount_lagged(spark, sf).select("trans_id", "oper_result", "prev_1_res", "prev_2_res", "prev_3_res")
+    res = ("prev_1_res", "prev_2_res", "prev_3_res")
+    return _amount_lagged(spark, sf, res).select("trans_id", "oper_result", *res)
 
 
 @check("cte_lag", _AMT_LAG_SQL + (
