@@ -366,7 +366,8 @@ def in_outer_column(spark, sf):
 def _city_lagged(spark, sf):
     _, ev, dims = _bank(spark, sf)
     terms = dims.terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
-    src = ev.select("trans_id", "trans_date", "card_num", "terminal").join(terms, "terminal", "inner")
+    src = (ev.select("trans_id", "trans_date", "card_num", "terminal")
+             .join(terms, "terminal", "inner").drop("terminal"))
     return lag_columns(src, ["card_num"], R.ORDER,
                        {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)})
 
