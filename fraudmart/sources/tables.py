@@ -47,6 +47,7 @@ class Warehouse:
             fact_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.fact_buckets = fact_buckets or None
         self._fact_table: str | None = None
+        self._current: dict[str, int] | None = None
 
     def fact_table(self) -> str | None:
         """Catalog name of the bucketed fact (registered on first use)."""
@@ -121,11 +122,17 @@ class Warehouse:
         return self._read_path(f"{self.root}/_versions", _VERSIONS)
 
     def current_version(self, name: str) -> int | None:
-        v = self._versions()
-        if v is None:
-            return None
-        row = v.where(F.col("table") == name).agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        """Current version of a rewritten table (None if never versioned).
+
+        The ledger is read once per ``Warehouse`` as one row per table (its
+        size is bounded by the number of tables) and kept up to date by
+        ``write_version``.
+        """
+        if self._current is None:
+            v = self._versions()
+            rows = [] if v is None else v.groupBy("table").agg(F.max("version").alias("v")).collect()
+            self._current = {r["table"]: int(r["v"]) for r in rows}
+        return self._current.get(name)
 
     def write_version(self, name: str, df: DataFrame) -> int:
         """Write ``df`` as the next version of ``name`` and make it current.
@@ -138,6 +145,7 @@ class Warehouse:
         df.write.mode("overwrite").parquet(f"{self.path(name)}/_v={nxt}")
         ledger = self.spark.createDataFrame([(name, nxt, dt.datetime.now())], _VERSIONS)
         ledger.write.mode("append").parquet(f"{self.root}/_versions")
+        self._current[name] = nxt
         return nxt
 
 
