@@ -307,3 +307,20 @@ def test_bucketed_fact_same_results_without_fact_shuffle(spark, tmp_root):
                 spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             assert "Bucketed: true" in plan
     assert results[0] == results[1] and results[0][0] == ["t1", "t2", "t3"]
+
+
+def test_command_line_runs_seed_and_pending_days(spark, tmp_root):
+    from fraudmart.__main__ import main
+    inbox = os.path.join(tmp_root, "in")
+    os.makedirs(inbox)
+    dump = os.path.join(tmp_root, "seed.sql")
+    with open(dump, "w", encoding="utf-8") as f:
+        f.write(SEED_DUMP)
+    _day_files(inbox, dt.date(2021, 3, 1), [["t1", "2021-03-01 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]],
+               [["A1", "POS", "Moscow", "a"]], [[44256, "1234 567890"]])
+    root = os.path.join(tmp_root, "wh")
+    out = main(["--warehouse", root, "--incoming", inbox, "--seed", dump])
+    assert out == {"dimensions": {"dwh_dim_cards": 2, "dwh_dim_accounts": 2, "dwh_dim_clients": 2},
+                   "days": ["2021-03-01"]}
+    assert main(["--warehouse", root, "--incoming", inbox])["days"] == []
+    assert Warehouse(spark, root).read("rep_fraud").count() == 1
