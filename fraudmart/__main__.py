@@ -1,4 +1,4 @@
-"""Command line: load the bank reference tables, then every pending day.
+r"""Command line: load the bank reference tables, then every pending day.
 
     python -m fraudmart --warehouse hdfs:///bank/dwh --incoming hdfs:///bank/in \
         [--seed hdfs:///bank/in/seed_dump.sql] [--mode observed] [--fact-buckets]
@@ -7,8 +7,9 @@
 
 Days are the complete ``transactions_/terminals_/passport_blacklist_DDMMYYYY``
 file sets under ``--incoming`` that the ingest ledger has not seen, oldest
-first; each is loaded and reported as one committed step, so a rerun after a
-failure resumes at the first unfinished day.
+first. A day's writes are idempotent (insert-new loads, per-day report
+overwrite, new table versions) and its ledger rows are written last, so a rerun
+after a failure redoes exactly the unfinished day.
 """
 
 from __future__ import annotations
