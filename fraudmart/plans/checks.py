@@ -154,6 +154,24 @@ def rep_fraud(spark, sf):
 PIPE_DAYS = [dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 12)]
 
 
+_REP_OBS_SQL = (Q.with_bank(Q.hits_blacklist(), Q.hits_passport(), Q.hits_account(), Q.city_lagged(),
+                            Q.hits_city(False), Q.amount_lagged(), Q.hits_amount(None))
+                + " UNION ALL ".join([Q.report("h_bl", "blacklist"),
+                                      Q.report("h_pass", "passport_expired", Q.REPORT_DAY),
+                                      Q.report("h_acc", "account_expired"), Q.report("h_city", "city"),
+                                      Q.report("h_amt", "amount")]))
+
+
+@check("rep_fraud_observed", _REP_OBS_SQL)
+def rep_fraud_observed(spark, sf):
+    """The mart in observed mode: batch by staged timestamp values, limits reduced
+    to "a previous event exists", amount rule over all history, rule 2 stamped
+    with the run date."""
+    fact, ev, dims = _bank(spark, sf)
+    return fraud_report(fact, dims, A.chain_batch(spark, sf, staged=True), E.OBSERVED, A.REPORT_DT,
+                        window_fact=ev, window_batch=A.city_batch(spark, sf, staged=True))
+
+
 def _daily_sql():
     parts, ctes = [], [Q.city_lagged("ev"), Q.amount_lagged("ev")]
     for d in PIPE_DAYS:
