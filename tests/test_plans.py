@@ -71,3 +71,13 @@ def test_observed_window_rule_prunes_later_days(spark, tmp_root):
     hits = R.hits_city(fact, micro.dims(spark), Batch(staged=staged), OBSERVED)
     assert re.search(r"PartitionFilters: \[[^\]]*trans_dt", _plan(hits))
     assert sorted(r["trans_id"] for r in hits.collect()) == ["02", "03", "05"]
+
+
+def test_card_profile_makes_the_chain_one_join(spark):
+    from fraudmart.operators.enrich import card_profile, with_client
+    f = micro.fact(spark, micro.CITY_ROWS)
+    d = micro.dims(spark)
+    joins = lambda df: len(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[", _plan(df)))
+    three = joins(with_client(f, d))
+    d.profile = spark.createDataFrame(card_profile(d).collect(), card_profile(d).schema)  # as a written table
+    assert (three, joins(with_client(f, d))) == (3, 1)
