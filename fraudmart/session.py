@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,11 +50,14 @@ def get_spark(master: str | None = None, app: str = "fraudmart",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared filesystem; only when it is
-    unset (tests, a laptop) is a private folder created here.
+    On a cluster the operator sets it to a shared filesystem; an unset folder is
+    replaced by a private one for local masters only (tests, a laptop), and is an
+    error elsewhere.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="fraudmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -65,3 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir (never machine-local)."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "fraudmart-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per application, so that
+    jobs started outside the repository folder can import it there."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        base = os.path.join(tempfile.mkdtemp(prefix="fraudmart-ship-"), "fraudmart")
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "fraudmart"))
+        _SHIPPED.add(app)
