@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudmart.llm import op1_warc as op1
 from fraudmart.llm import op4_simhash_near_dup as op4
+from fraudmart.llm import op6_token_binary as op6
 from fraudmart.llm import op8_quality_rules as op8
 from fraudmart.llm.common import prepare, table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = op1.round_trip(table(spark, sf_dir, "pages"), min_bytes=1000)
+    key = lambda c: F.regexp_extract(c, r"<urn:page:(-?[0-9]+)>", 1).try_cast("long")
+    return got.select(key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      key("refers_to").alias("refers_to"), "status")
+
+
 def op4_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op4.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
 
 
+def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    vocab = public_tokenizers.path("word_bpe_49k.json")
+    return op6.round_trip(table(spark, sf_dir, "documents"), vocab, end_id=2).withColumnRenamed("id", "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     entries = op8.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -26,5 +41,5 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         op8.verdict("web-1").alias("kept"), "rule_bits")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dup, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc, op4_simhash_near_dup, op6_token_binary, op8_quality_rules)}
 ORACLES: dict[str, str] = {}
