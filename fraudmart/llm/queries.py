@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart.llm import op1_warc as op1
+from fraudmart.llm import op2_secret_scan as op2
 from fraudmart.llm import op4_simhash_near_dup as op4
 from fraudmart.llm import op6_token_binary as op6
+from fraudmart.llm import op7_collision_ann as op7
 from fraudmart.llm import op8_quality_rules as op8
 from fraudmart.llm.common import prepare, table
 
@@ -19,6 +21,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       key("refers_to").alias("refers_to"), "status")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op2.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(op2.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        op2.as_text(F.col("spans")).alias("spans"))
+
+
 def op4_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op4.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -31,6 +41,11 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.round_trip(table(spark, sf_dir, "documents"), vocab, end_id=2).withColumnRenamed("id", "doc_id")
 
 
+def op7_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return op7.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     entries = op8.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -41,5 +56,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         op8.verdict("web-1").alias("kept"), "rule_bits")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_simhash_near_dup, op6_token_binary, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_scan, op4_simhash_near_dup, op6_token_binary, op7_collision_ann,
+                                 op8_quality_rules)}
 ORACLES: dict[str, str] = {}
