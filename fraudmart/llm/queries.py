@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart.llm import op1_warc as op1
+from fraudmart.llm import op10_mixing as op10
 from fraudmart.llm import op2_secret_scan as op2
+from fraudmart.llm import op3_license_scan as op3
 from fraudmart.llm import op4_simhash_near_dup as op4
+from fraudmart.llm import op5_lm_scoring as op5
 from fraudmart.llm import op6_token_binary as op6
 from fraudmart.llm import op7_collision_ann as op7
 from fraudmart.llm import op8_quality_rules as op8
+from fraudmart.llm import op9_sentencepiece as op9
 from fraudmart.llm.common import prepare, table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = op1.round_trip(table(spark, sf_dir, "pages"), min_bytes=1000)
@@ -29,16 +37,33 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         op2.as_text(F.col("spans")).alias("spans"))
 
 
+def derived_paths(docs: DataFrame) -> DataFrame:
+    """The documents as a file tree: source/language/hundreds of 64/file; the first file
+    of each leaf directory is its licence file (whether it holds a licence or not)."""
+    leaf = F.floor(F.col("doc_id") / 64)
+    name = F.when(F.col("doc_id") % 64 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return docs.withColumn("path", F.concat_ws("/", "source", "lang", (leaf / 100).cast("long"), leaf, name))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return op3.scan(derived_paths(docs), keep=["doc_id"])
+
+
 def op4_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op4.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = op5.fit(docs, op5.good_ids(table(spark, sf_dir, "labels")))
+    return op5.score(docs, model).withColumnRenamed("id", "doc_id").withColumn("selected", F.col("ce_diff") < 0)
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-    vocab = public_tokenizers.path("word_bpe_49k.json")
-    return op6.round_trip(table(spark, sf_dir, "documents"), vocab, end_id=2).withColumnRenamed("id", "doc_id")
+    return op6.round_trip(table(spark, sf_dir, "documents"), WORDS, end_id=2).withColumnRenamed("id", "doc_id")
 
 
 def op7_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +81,30 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         op8.verdict("web-1").alias("kept"), "rule_bits")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_scan, op4_simhash_near_dup, op6_token_binary, op7_collision_ann,
-                                 op8_quality_rules)}
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+
+
+#: Target shares of the token total, by domain.
+SHARES = {"clean": 0.9, "low": 0.08, "toxic": 0.02}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the label table."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low")
+                         .when((F.col("quality") == 1) & (F.col("toxic") == 0), "clean").alias("domain"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs, names = table(spark, sf_dir, "documents").select("doc_id", "text"), list(SHARES)
+    model = op10.fit_classifier(docs, domains(table(spark, sf_dir, "labels")), names)
+    mixed = op10.mix(docs, model, SHARES, names)
+    return mixed.select("doc_id", "n_tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(names)],
+                        "rate", op10.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_warc, op2_secret_scan, op3_license_scan, op4_simhash_near_dup, op5_lm_scoring, op6_token_binary,
+    op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing)}
 ORACLES: dict[str, str] = {}
