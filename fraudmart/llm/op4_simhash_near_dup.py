@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from fraudmart.llm.common import prepare, stored
 
 SEED = 42
+CROWD = 16  # members from which a bucket of one component is set aside
 
 
 def simhash(text: str | None, shingle: int = 4) -> int:
@@ -93,6 +94,17 @@ def _near(a: Column, b: Column, max_bits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
 
+def _first_shared(diff: Column, bit: Column, max_bits: int) -> Column:
+    """True for one of the keys that a pair shares, so that it is found once: in the
+    first segment with at most one differing bit, at that bit (or the segment's first)."""
+    out = F.lit(False)
+    for first, width in reversed(segments(max_bits)):
+        ones = F.bit_count(diff.bitwiseAND(F.lit(_signed(((1 << width) - 1) << first))))
+        here = bit.between(first, first + width - 1) & ((ones == 1) | (bit == first))
+        out = F.when(ones <= 1, here).otherwise(out)
+    return out
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node of an edge list (a, b): root is the smallest node.
 
@@ -127,17 +139,18 @@ def link(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     star = (v.join(least, ["bit", "masked"]).filter((F.col("fp") != F.col("m")) & _near(F.col("fp"), F.col("m"), max_bits))
             .select(F.col("fp").alias("a"), F.col("m").alias("b")).distinct())
     first = stored(components(star, "simhash-star").select(F.col("node").alias("fp"), "root"), "simhash-first")
-    # 2. pairs of different components only
+    # 2. pairs of different components only; crowded buckets of one component are done
     rooted = stored(nodes.select("fp").join(first, "fp", "left")
                     .select("fp", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     v = variants(rooted, max_bits)
-    mixed = (v.groupBy("bit", "masked").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("bit", "masked"))
-    v = stored(v.join(mixed, ["bit", "masked"]), "simhash-open")
+    done = stored(v.groupBy("bit", "masked").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+                  .filter(f"lo = hi and n > {CROWD}").select("bit", "masked"), "simhash-done")
+    v = v.join(done, ["bit", "masked"], "left_anti")
     x, y = v.alias("x"), v.alias("y")
     cross = (x.join(y, (F.col("x.bit") == F.col("y.bit")) & (F.col("x.masked") == F.col("y.masked"))
                     & (F.col("x.root") < F.col("y.root"))
-                    & _near(F.col("x.fp"), F.col("y.fp"), max_bits))
+                    & _near(F.col("x.fp"), F.col("y.fp"), max_bits)
+                    & _first_shared(F.col("x.fp").bitwiseXOR(F.col("y.fp")), F.col("x.bit"), max_bits))
              .select(F.col("x.root").alias("b"), F.col("y.root").alias("a")).distinct())
     second = components(cross, "simhash-cross")
     ends = (first.select("root").union(second.select(F.col("node").alias("root"))).distinct()
