@@ -115,6 +115,7 @@ class Model:
         # every head of a piece; -inf where it is none itself
         self.table = {h: self.scores[h][1] if h in self.scores else -np.inf for h in heads}
         self.cache: dict[str, bytes] = {}
+        self.known: dict[str, tuple[list[int], float]] = {}
 
     def arcs(self, s: str, at: int, end: int) -> list[tuple[int, int, float]]:
         """(end, id, score) of the pieces that start at a position; id -1: bytes."""
@@ -170,8 +171,8 @@ class Model:
     def marked(self, text: str | None) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
 
-    def part(self, s: str) -> list[int]:
-        """Ids of a short part: ``segment`` without its bookkeeping."""
+    def part(self, s: str) -> tuple[list[int], float]:
+        """Ids and score of a short part: ``segment`` without its bookkeeping."""
         n, get, single, unknown = len(s), self.table.get, self.single, self.unknown
         best, came = [0.0] + [-np.inf] * n, [0] * (n + 1)
         for at in range(n):
@@ -189,7 +190,7 @@ class Model:
             at = came[n]
             steps.append((at, n, scores[s[at:n]][0] if n - at > 1 or s[at] in single else -1))
             n = at
-        return self.spell(s, steps[::-1])
+        return self.spell(s, steps[::-1]), best[len(s)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian int32 bytes, part by part."""
@@ -199,7 +200,7 @@ class Model:
             self.cache.clear()
             new = {p for ps in split for p in ps}
         for p in new:
-            ids = self.part(p)
+            ids, _ = self.part(p)
             self.cache[p] = struct.pack(f"<{len(ids)}i", *ids)
         return [b"".join(map(self.cache.__getitem__, ps)) for ps in split]
 
@@ -210,8 +211,25 @@ class Model:
     # chunks of giant texts: ``s`` runs from the cut to ``longest - 1`` characters
     # beyond the next cut, ``size`` is the distance between the cuts
 
-    def matrix(self, s: str, size: int) -> np.ndarray:
-        """[entry, exit] best scores between boundary states."""
+    # Between the first forced boundary behind the entry states and the last one
+    # before the cut, every path is the same parts; only the ends are searched.
+
+    def inner(self, s: str, size: int) -> tuple[int, int, list[str]] | None:
+        """(first, last forced boundary, parts between them) of a chunk, if any."""
+        found = [m for m in self.parts.finditer(s[:size + 1]) if self.longest <= m.start() <= size]
+        if not found:
+            return None
+        return found[0].start(), found[-1].start(), [m.group() for m in found[:-1]]
+
+    def scored(self, part: str) -> tuple[list[int], float]:
+        if part not in self.known:
+            if len(self.known) >= CACHE // 4:
+                self.known.clear()
+            self.known[part] = self.part(part)
+        return self.known[part]
+
+    def columns(self, s: str, size: int) -> np.ndarray:
+        """best[position, entry] of every position that a piece from before ``size`` reaches."""
         states, n = self.longest, len(s)
         best = np.full((n + states + 1, states), -np.inf)
         best[np.arange(states), np.arange(states)] = 0.0
@@ -221,21 +239,48 @@ class Model:
                 continue
             for e, _, score in self.arcs(s, at, n):
                 np.maximum(best[e], row + score, out=best[e])
-        out = best[size:size + states].T.copy()
+        return best
+
+    def matrix(self, s: str, size: int) -> np.ndarray:
+        """[entry, exit] best scores between boundary states."""
+        states, n, inner = self.longest, len(s), self.inner(s, size)
+        if inner is None:
+            out = self.columns(s, size)[size:size + states].T.copy()
+        else:
+            first, last, parts = inner
+            head = self.columns(s[:first], first)[first]
+            best, _ = self.forward(s[last:], [0.0], size - last)
+            tail = np.full(states, -np.inf)
+            ends = best[size - last:size - last + states]
+            tail[:len(ends)] = ends
+            out = (head + sum(self.scored(p)[1] for p in parts))[:, None] + tail
         out[:, n - size + 1:] = -np.inf  # no text there
         return out
 
     def exits(self, s: str, size: int, entry: np.ndarray) -> np.ndarray:
         """For each exit state, the entry state its best path comes from (-1: none)."""
-        best, came = self.forward(s, list(entry), size)
+        inner = self.inner(s, size)
         out = np.full(self.longest, -1, np.int16)
+        if inner is not None:  # every path leaves through the first forced boundary
+            out[:] = self.back(self.forward(s[:inner[0]], list(entry), inner[0])[1], inner[0])[0]
+            return out
+        best, came = self.forward(s, list(entry), size)
         for j in range(min(self.longest, len(s) - size + 1)):
             if best[size + j] != -np.inf:
                 out[j] = self.back(came, size + j)[0]
         return out
 
     def chunk_ids(self, s: str, size: int, entry: np.ndarray, leave: int) -> list[int]:
-        return self.spell(s, self.back(self.forward(s, list(entry), size)[1], size + leave)[1])
+        """Ids of the pieces that start in the chunk, given where it is left."""
+        path = lambda s, entry, stop, end: self.spell(s, self.back(self.forward(s, entry, stop)[1], end)[1])
+        inner = self.inner(s, size)
+        if inner is None:
+            return path(s, list(entry), size, size + leave)
+        first, last, parts = inner
+        out = path(s[:first], list(entry), first, first)
+        for p in parts:
+            out += self.scored(p)[0]
+        return out + path(s[last:], [0.0], size - last, size - last + leave)
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -347,8 +392,8 @@ def giant_ids(texts: DataFrame, model, chunk: int) -> DataFrame:
     return stored(done.groupBy("key").agg(whole.alias("__ids")), "piece-giants")
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", giant: int = 1 << 15,
-           chunk: int = 1 << 12) -> DataFrame:
+def encode(docs: DataFrame, model_file: str, text: str = "text", giant: int = 1 << 16,
+           chunk: int = 1 << 14) -> DataFrame:
     """Input columns with ``n_tokens`` and ``ids`` (little-endian int32)."""
     spark = docs.sparkSession
     prepare(spark)
