@@ -30,22 +30,24 @@ from fraudmart.llm.common import prepare, stored
 
 HASH_BITS = 18
 SHAPES = 6
+STEM = 4
 SAMPLE = 8192  # labelled documents that the classifier is fitted on, at most
 CACHE = 1 << 19
 CORE = re.compile(r"\w+")
 
 
 def _piece(word: bytes) -> int:
-    """Feature of one word: hashed core (lower case) and shape, packed."""
+    """Features of one word: hashed core (lower case), hashed stem and shape, packed."""
     text = word.decode("utf-8", "replace")
     core = "".join(CORE.findall(text)).lower()
     shape = (0 if not core else 1 if any(c in "#*$%&|<>" for c in text) else 2 if len(core) > 1 and text.upper() == text
              and text.lower() != text else 3 if any(c.isdigit() for c in text) else 4 if text.endswith("!") else 5)
-    return (zlib.crc32(core.encode()) >> (32 - HASH_BITS)) | shape << HASH_BITS
+    slot = lambda x: zlib.crc32(x.encode()) >> (32 - HASH_BITS)
+    return slot(core) | slot("^" + core[:STEM]) << HASH_BITS | shape << 2 * HASH_BITS
 
 
 class Features:
-    """Words of a text -> (count of words, distinct hashed cores, shape shares)."""
+    """Words of a text -> (count of words, distinct hashed cores and stems, shape shares)."""
 
     def __init__(self):
         self.cache: dict[bytes, int] = {}
@@ -58,8 +60,10 @@ class Features:
         for w in set(words).difference(cache):
             cache[w] = _piece(w)
         packed = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-        cores = np.unique(packed & ((1 << HASH_BITS) - 1))
-        shapes = np.bincount(packed >> HASH_BITS, minlength=SHAPES) / max(1, len(words))
+        packed, n = np.unique(packed, return_counts=True)
+        slots = (1 << HASH_BITS) - 1
+        cores = np.unique(np.concatenate([packed & slots, packed >> HASH_BITS & slots]))
+        shapes = np.bincount(packed >> 2 * HASH_BITS, n, minlength=SHAPES) / max(1, len(words))
         return len(words), cores, shapes
 
 
@@ -80,25 +84,32 @@ class Softmax:
         return e / e.sum()
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, rate: float = 0.3,
-            penalty: float = 1e-4, least: int = 5) -> Softmax:
-        """Full-batch AdaGrad; words in fewer than ``least`` sample documents stay at zero."""
+            penalty: float = 1e-4, least: int = 5, telling: float = 30.0) -> Softmax:
+        """Full-batch AdaGrad over the words that are in ``least`` sample documents and
+        depend on the domain (chi-squared above ``telling``); others stay at zero."""
         if not rows:
             return self
-        y = np.array([r[2] for r in rows])
-        df = np.bincount(np.concatenate([r[0] for r in rows]), minlength=1 << HASH_BITS)
-        cores = [r[0][df[r[0]] >= least] for r in rows]
-        flat = np.concatenate(cores)
-        names, flat = np.unique(flat, return_inverse=True)
-        at = np.repeat(np.arange(len(rows)), [len(c) for c in cores])
-        shapes, k = 10 * np.array([r[1] for r in rows]), self.b.size
-        self.b = np.log(np.bincount(y, minlength=k) + 1.0) - np.log(len(y) + k)
+        y, n, k = np.array([r[2] for r in rows]), len(rows), self.b.size
+        flat = np.concatenate([r[0] for r in rows])
+        at = np.repeat(np.arange(n), [len(r[0]) for r in rows])
+        per = np.stack([np.bincount(flat[y[at] == j], minlength=1 << HASH_BITS) for j in range(k)], 1)
+        df, size = per.sum(1), np.bincount(y, minlength=k)
+        expect = np.maximum(df[:, None] * (size + 1e-9) / n, 1e-9)
+        chi = ((per - expect) ** 2 / expect).sum(1) / np.maximum(1 - df / n, 1 / n)
+        names = np.flatnonzero((df >= least) & (chi > telling))
+        place = np.full(1 << HASH_BITS, -1)
+        place[names] = np.arange(len(names))
+        used = place[flat] >= 0
+        flat, at = place[flat[used]], at[used]
+        shapes = 10 * np.array([r[1] for r in rows])
+        self.b = np.log(size + 1.0) - np.log(n + k)
         w, gw, gs, gb = np.zeros((len(names), k)), 1e-8, 1e-8, 1e-8
         for _ in range(rounds):
-            z = np.stack([np.bincount(at, w[flat, j], len(rows)) for j in range(k)], 1) + shapes @ self.s + self.b
+            z = np.stack([np.bincount(at, w[flat, j], n) for j in range(k)], 1) + shapes @ self.s + self.b
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            p[np.arange(len(y)), y] -= 1
-            p /= len(y)
+            p[np.arange(n), y] -= 1
+            p /= n
             dw = np.stack([np.bincount(flat, p[at, j], len(names)) for j in range(k)], 1) + penalty * w
             ds, db = shapes.T @ p + penalty * self.s, p.sum(0)
             gw, gs, gb = gw + dw * dw, gs + ds * ds, gb + db * db

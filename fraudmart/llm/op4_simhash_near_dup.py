@@ -86,6 +86,8 @@ def _key(fp: Column, max_bits: int) -> Column:
 
 
 def variants(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """One row per key; dealt out first, since a small file grows 64-fold here."""
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     return (nodes.select("*", F.explode(_key(F.col("fp"), max_bits)).alias("k"))
             .select("k.bit", "k.masked", *nodes.columns))
 
