@@ -20,8 +20,9 @@ from fraudmart.llm.common import prepare, stored, table
 from fraudmart.llm.queries import PIECES, domains
 
 POLICY = "web-1"
-#: Targets as multiples of each domain's present expected tokens.
-SCALE = {"clean": 1.0, "low": 0.5, "toxic": 0.0}
+#: Targets as multiples of each domain's present expected tokens (the rules have
+#: taken out what is low, so what looks like it here stays).
+SCALE = {"clean": 1.0, "low": 1.0, "toxic": 0.0}
 #: No copies are made here: a rate is the chance to stay.
 MOST = 1.0
 
