@@ -46,25 +46,53 @@ def _piece(word: bytes) -> int:
     return slot(core) | slot("^" + core[:STEM]) << HASH_BITS | shape << 2 * HASH_BITS
 
 
-class Features:
-    """Words of a text -> (count of words, distinct hashed cores and stems, shape shares)."""
+PLAIN = 5
 
-    def __init__(self):
-        self.cache: dict[bytes, int] = {}
+
+def features(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
+    """(words, distinct hashed cores and stems, shares of the shapes among distinct words)."""
+    words = (text or "").encode("utf-8", "replace").split()
+    packed = np.array([_piece(w) for w in set(words)], np.int64)
+    slots = (1 << HASH_BITS) - 1
+    cores = np.unique(np.concatenate([packed & slots, packed >> HASH_BITS & slots]))
+    return len(words), cores, np.bincount(packed >> 2 * HASH_BITS, minlength=SHAPES) / max(1, len(packed))
+
+
+class Reader:
+    """The same for a fitted model: only words that weigh anything are looked at, by set
+    operations with the words seen so far (a bounded cache)."""
+
+    def __init__(self, model: Softmax):
+        self.live = model.w.any(axis=1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: set[bytes] = set()
+        self.telling: dict[bytes, list[int]] = {}
+        self.odd: dict[bytes, int] = {}
+        self.telling_words: set[bytes] = set()
+        self.odd_words: set[bytes] = set()
 
     def __call__(self, text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
         words = (text or "").encode("utf-8", "replace").split()
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        for w in set(words).difference(cache):
-            cache[w] = _piece(w)
-        packed = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-        packed, n = np.unique(packed, return_counts=True)
-        slots = (1 << HASH_BITS) - 1
-        cores = np.unique(np.concatenate([packed & slots, packed >> HASH_BITS & slots]))
-        shapes = np.bincount(packed >> 2 * HASH_BITS, n, minlength=SHAPES) / max(1, len(words))
-        return len(words), cores, shapes
+        own = set(words)
+        if len(self.known) > CACHE:
+            self.forget()
+        new, slots = own.difference(self.known), (1 << HASH_BITS) - 1
+        for w in new:
+            packed = _piece(w)
+            slots_of = [x for x in {packed & slots, packed >> HASH_BITS & slots} if self.live[x]]
+            if slots_of:
+                self.telling[w] = slots_of
+                self.telling_words.add(w)
+            if packed >> 2 * HASH_BITS != PLAIN:
+                self.odd[w] = packed >> 2 * HASH_BITS
+                self.odd_words.add(w)
+        self.known |= new
+        cores = {x for w in own & self.telling_words for x in self.telling[w]}
+        odd = np.bincount(np.array([self.odd[w] for w in own & self.odd_words], np.int64), minlength=SHAPES).astype(float)
+        odd[PLAIN] = len(own) - odd.sum()
+        return len(words), np.array(sorted(cores), np.int64), odd / max(1, len(own))
 
 
 class Softmax:
@@ -132,15 +160,14 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], id_co
         F.broadcast(stored(picked, "mix-sample")), "__id")
 
     @F.arrow_udf("struct<cores:array<int>,shapes:array<double>>")
-    def features(texts: pa.Array) -> pa.Array:
-        f = Features()
-        made = [f(t) for t in texts.to_pylist()]
+    def sampled(texts: pa.Array) -> pa.Array:
+        made = [features(t) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([m[1].astype(np.int32) for m in made], pa.list_(pa.int32())),
              pa.array([m[2] for m in made], pa.list_(pa.float64()))], ["cores", "shapes"])
 
     # repeated document rows: the limit bounds what comes to the driver
-    got = rows.select("__id", "__y", features("t").alias("f")).orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample).collect()
+    got = rows.select("__id", "__y", sampled("t").alias("f")).orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample).collect()
     return Softmax(len(domains)).fit([(np.array(r.f.cores, np.int64), np.array(r.f.shapes), r["__y"] - 1) for r in got])
 
 
@@ -150,7 +177,8 @@ def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame
 
     @F.arrow_udf("struct<n_tokens:bigint,posterior:array<double>>")
     def predict(texts: pa.Array) -> pa.Array:
-        f, m, n, p = _features(), sent.value, [], []
+        m, n, p = sent.value, [], []
+        f = _reader(m)
         for t in texts.to_pylist():
             words, cores, shapes = f(t)
             n.append(words)
@@ -163,14 +191,14 @@ def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame
     return rows.select(*[F.col(f"`{c}`") for c in kept], "__p.n_tokens", "__p.posterior")
 
 
-_FEATURES: list[Features] = []
+_READER: list = []
 
 
-def _features() -> Features:
-    """One word cache per worker process."""
-    if not _FEATURES:
-        _FEATURES.append(Features())
-    return _FEATURES[0]
+def _reader(model: Softmax) -> Reader:
+    """One word cache per worker process and model."""
+    if not _READER or _READER[0] is not model:
+        _READER[:] = [model, Reader(model)]
+    return _READER[1]
 
 
 def fit_rates(members: DataFrame, targets: list[float], start: float = 1.0, most: float | None = None,
