@@ -9,7 +9,9 @@ it. Shards are read by memory map (local or mounted folders) or an open file.
 
 Encoding: the tokenizer drops white space and splits at it before anything
 else, so texts are cut at ASCII white space and each distinct piece is encoded
-by the library once per task (a bounded cache); this equals encoding the text.
+by the library once per worker (a bounded cache); this equals encoding the text.
+That holds for tokenizers that fold case and split letters from full stops and
+commas, like the public word-level file used here.
 
 Cases: a null or blank text has only the end id; null ids come first; equal ids
 are ordered by a hash of the text (equal texts have equal ids); an empty table
@@ -19,6 +21,7 @@ gives no shards; other columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,30 +36,47 @@ from pyspark.sql import functions as F
 from fraudmart.llm.common import filesystem, join_path, prepare, stored
 from fraudmart.session import scratch_path
 
-CACHE = 1 << 19  # distinct pieces kept per task
+CACHE = 1 << 20  # distinct pieces kept per worker process
+
+
+_ENCODERS: dict[str, tuple] = {}
 
 
 def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
-    """(texts -> ids as raw little-endian bytes, dtype) for a tokenizer file."""
+    """(texts -> ids as raw little-endian bytes, dtype) for a tokenizer file; one per
+    worker process."""
+    if vocab in _ENCODERS:
+        return _ENCODERS[vocab]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(vocab)
     dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    kind = "H" if dtype == "<u2" else "I"
     cache: dict[bytes, bytes] = {}
 
+    def learn(words: set[bytes]) -> None:
+        # a last full stop or comma behind a letter is a token of its own
+        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        plain = list((words.difference(stems) | set(stems.values()) | {b".", b","}).difference(cache))
+        for at in range(0, len(plain), 1 << 14):
+            part = plain[at:at + (1 << 14)]
+            made = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            cache.update(zip(part, (struct.pack(f"<{len(e.ids)}{kind}", *e.ids) for e in made)))
+        cache.update((w, cache[stem] + cache[w[-1:]]) for w, stem in stems.items())
+
     def encode(texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = list({w for ws in words for w in ws}.difference(cache))
+        raw = [(t or "").encode("utf-8", "replace") for t in texts]
+        # the tokenizer ignores case, but for its special tokens
+        words = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        new = {w for ws in words for w in ws}.difference(cache)
         if len(cache) + len(new) > CACHE:
             cache.clear()
-            new = list({w for ws in words for w in ws})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at:at + (1 << 14)]
-            ids = tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            cache.update(zip(part, (np.array(e.ids, dtype).tobytes() for e in ids)))
+            new = {w for ws in words for w in ws}
+        learn(new)
         return [b"".join(map(cache.__getitem__, ws)) for ws in words]
 
-    return encode, dtype
+    _ENCODERS[vocab] = encode, dtype
+    return _ENCODERS[vocab]
 
 
 def write_shards(docs: DataFrame, folder: str, vocab: str, end_id: int, id_col: str = "doc_id",
