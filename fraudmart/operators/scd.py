@@ -30,12 +30,19 @@ def _changed(attrs, left: str = "o", right: str = "n") -> F.Column:
     return cond
 
 
+def one_per_key(snapshot: DataFrame, key: str, attrs) -> DataFrame:
+    """One row per key of a delivered snapshot: of repeated keys the row with the
+    largest attributes (in order); rows without a key are left out."""
+    return (snapshot.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.max(F.struct(*attrs)).alias("__row")).select(key, "__row.*"))
+
+
 def snapshot_delta(current: DataFrame, snapshot: DataFrame, key: str, attrs) -> DataFrame:
     """Every key of either side with ``change`` in new / changed / gone / same.
 
     Columns: key, the snapshot's attributes (the current ones for ``gone``), change.
     """
-    o, n = current.select(key, *attrs).alias("o"), snapshot.select(key, *attrs).alias("n")
+    o, n = current.select(key, *attrs).alias("o"), one_per_key(snapshot, key, attrs).alias("n")
     j = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     change = (F.when(F.col(f"o.{key}").isNull(), "new")
                .when(F.col(f"n.{key}").isNull(), "gone")
@@ -55,7 +62,7 @@ def scd1_upsert(current: DataFrame, staged: DataFrame, key: str, attrs, run_dt)
     """
     run = date_lit(run_dt)
     o = current.select(key, *attrs, "create_dt", "update_dt").alias("o")
-    n = staged.select(key, *attrs).alias("n")
+    n = one_per_key(staged, key, attrs).alias("n")
     j = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     is_new, only_old = F.col(f"o.{key}").isNull(), F.col(f"n.{key}").isNull()
     changed = ~is_new & ~only_old & _changed(attrs)
@@ -82,7 +89,7 @@ def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts) ->
     is_open = F.col("effective_to") == end
     closed = hist.where(~is_open)
     o = hist.where(is_open).alias("o")
-    n = snapshot.select(key, *attrs).alias("n")
+    n = one_per_key(snapshot, key, attrs).alias("n")
     j = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     old_k, new_k, was_deleted = F.col(f"o.{key}"), F.col(f"n.{key}"), F.col("o.deleted_flg")
     same = old_k.isNotNull() & new_k.isNotNull() & ~was_deleted & ~_changed(attrs)
@@ -91,28 +98,24 @@ def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts) ->
     opens = new_k.isNotNull() & ~same                       # new, changed or back again
     closes = old_k.isNotNull() & ~same & ~still_gone        # old open row ends now
 
-    old_cols = [F.col(f"o.{key}").alias(key)] + [F.col(f"o.{a}").alias(a) for a in attrs]
-    new_cols = [F.col(f"n.{key}").alias(key)] + [F.col(f"n.{a}").alias(a) for a in attrs]
-    keep = j.where(same | still_gone).select(*old_cols, "o.effective_from", "o.effective_to",
-                                             "o.deleted_flg")
-    closed_now = j.where(closes).select(*old_cols, "o.effective_from",
-                                        (ts - F.expr("INTERVAL 1 SECOND")).alias("effective_to"),
-                                        "o.deleted_flg")
-    opened = j.where(opens).select(*new_cols, ts.alias("effective_from"), end.alias("effective_to"),
-                                   F.lit(False).alias("deleted_flg"))
-    deleted = j.where(gone).select(*old_cols, ts.alias("effective_from"), end.alias("effective_to"),
-                                   F.lit(True).alias("deleted_flg"))
+    def version(side: str, start: F.Column, until: F.Column, deleted: F.Column) -> F.Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in (key, *attrs)], start.alias("effective_from"),
+                        until.alias("effective_to"), deleted.alias("deleted_flg"))
+
+    before = ts - F.expr("INTERVAL 1 SECOND")
+    versions = F.array(  # of one joined row: at most two
+        F.when(same | still_gone, version("o", F.col("o.effective_from"), F.col("o.effective_to"), was_deleted)),
+        F.when(closes, version("o", F.col("o.effective_from"), before, was_deleted)),
+        F.when(opens, version("n", ts, end, F.lit(False))),
+        F.when(gone, version("o", ts, end, F.lit(True))))
     cols = [key, *attrs, "effective_from", "effective_to", "deleted_flg"]
-    parts = [closed.select(*cols), keep, closed_now, opened, deleted]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stepped = j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
+    return closed.select(*cols).unionByName(stepped.select(*cols))
 
 
 def scd2_init(snapshot: DataFrame, key: str, attrs, run_ts) -> DataFrame:
     """History from a first snapshot: every row one open version."""
-    return snapshot.select(key, *attrs,
+    return one_per_key(snapshot, key, attrs).select(key, *attrs,
                            ts_lit(run_ts).alias("effective_from"),
                            ts_lit(OPEN_END).alias("effective_to"),
                            F.lit(False).alias("deleted_flg"))

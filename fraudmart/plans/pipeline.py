@@ -165,7 +165,7 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
         dims.profile = spark.read.parquet(wh.path("stg_card_profile"))
     report = fraud_report(wh.read("dwh_fact_transactions"), dims, Batch.day(batch_dt, good), mode,
                           report_dt)
-    wh.overwrite_days("rep_fraud", report.withColumn("batch_dt", date_lit(batch_dt)))
+    wh.overwrite_days("rep_fraud", report, batch_dt)
 
     ledger = (ledger_rows(tx, "transactions", "transaction_date", report_dt, schemas.TRANSACTION_REQUIRED)
               .unionByName(ledger_rows(term, "terminals", None, report_dt))

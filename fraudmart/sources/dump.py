@@ -1,7 +1,8 @@
 """Seed tables from a SQL ``INSERT`` dump, read as data (never executed).
 
-The text is split into statements on ``;`` by the text source itself (so a
-large dump is split across tasks), the INSERT statements of one table are
+The text is cut at ``;`` and line end by the text source itself (so a large dump
+is split across tasks) and into statements by a pattern that knows quotes; a
+literal that runs over such a cut is an error, never a lost row. The INSERT statements of one table are
 picked by a pattern, and their literal lists are turned into typed columns.
 """
 
@@ -14,13 +15,20 @@ from pyspark.sql import types as T
 # Fixed patterns of the dump grammar: INSERT header, one parenthesised tuple,
 # one literal (quoted text with '' escapes, or a bare token such as null / 12).
 INSERT_RE = r"(?is)insert\s+into\s+(\w+)\s*\(([^)]*)\)\s*values\s*(.*)$"
-TUPLE_RE = r"\(((?:[^()']|'(?:[^']|'')*')*)\)"
-LITERAL_RE = r"'(?:[^']|'')*'|[^,\s]+"
+# Possessive, so that long literals need no regex stack.
+QUOTED = r"'(?:[^']++|'')*+'"
+TUPLE_RE = rf"\(((?:[^()']++|{QUOTED})*+)\)"
+LITERAL_RE = rf"{QUOTED}|[^,\s]++"
+STATEMENT_RE = rf"(?:[^';]++|{QUOTED})++"
 
 
 def read_insert_dump(spark: SparkSession, path, table: str, schema: T.StructType) -> DataFrame:
     """Rows of ``table`` in an INSERT dump, typed by ``schema`` (``try_cast``)."""
-    stmts = spark.read.option("lineSep", ";").text(path)
+    cut = spark.read.option("lineSep", ";\n").text(path)
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit("'"), F.lit("")))
+    whole = F.when(quotes % 2 == 0, F.col("value")).otherwise(
+        F.raise_error(F.lit("a quoted literal holds ';' and a line end: not readable in parts")))
+    stmts = cut.select(F.explode(F.regexp_extract_all(whole, F.lit(STATEMENT_RE), F.lit(0))).alias("value"))
     m = stmts.select(
         F.lower(F.regexp_extract("value", INSERT_RE, 1)).alias("tbl"),
         F.regexp_extract("value", INSERT_RE, 2).alias("cols"),

@@ -84,7 +84,9 @@ class Warehouse:
             if schema is not None:
                 reader = reader.schema(schema)
             return reader.parquet(path)
-        except AnalysisException:
+        except AnalysisException as e:  # only a table that was never written is empty
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return None
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -108,8 +110,13 @@ class Warehouse:
             w = w.partitionBy(*PARTITIONS[name])
         w.parquet(self.path(name))
 
-    def overwrite_days(self, name: str, df: DataFrame) -> None:
-        """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
+    def overwrite_days(self, name: str, df: DataFrame, day=None) -> None:
+        """Replace exactly the partitions present in ``df`` (dynamic overwrite); with
+        ``day`` the frame is that one day, which is replaced even by no rows."""
+        if day is not None:
+            part = PARTITIONS[name][0]
+            df.drop(part).write.mode("overwrite").parquet(f"{self.path(name)}/{part}={day:%Y-%m-%d}")
+            return
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
 

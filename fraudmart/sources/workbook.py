@@ -110,12 +110,14 @@ def read_workbook(spark: SparkSession, path, columns: list[str], sheets: str = "
 
 
 def excel_date(c) -> Column:
-    """A workbook date cell: a day number (days since 1899-12-30) or ISO text."""
+    """A workbook date cell: a day number (days since 1899-12-30), ISO text or
+    ``DD.MM.YYYY``; anything else is NULL."""
     col = F.col(c) if isinstance(c, str) else c
     as_num = col.try_cast("double")
     return F.when(as_num.isNotNull(),
                   F.date_add(F.lit("1899-12-30").cast("date"), F.floor(as_num).cast("int"))
-                  ).otherwise(F.to_date(F.substring(col, 1, 10)))
+                  ).otherwise(F.coalesce(
+                      col.try_cast("date"), F.try_to_timestamp(col, F.lit("dd.MM.yyyy")).cast("date")))
 
 
 def write_workbook(path: str, sheets: dict[str, list[list]]) -> None:

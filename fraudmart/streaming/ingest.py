@@ -80,5 +80,5 @@ def report_each_batch(wh, mode: str = "documented", report_dt=None):
             day = row["batch_dt"]
             staged = batch_df.where(F.col("batch_dt") == F.lit(day))
             report = fraud_report(wh.read(fact), dims, Batch.day(day, staged), mode, report_dt)
-            wh.overwrite_days("rep_fraud", report.withColumn("batch_dt", F.lit(day)))
+            wh.overwrite_days("rep_fraud", report, day)
     return handle
