@@ -107,4 +107,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scan, op3_license_scan, op4_simhash_near_dup, op5_lm_scoring, op6_token_binary,
     op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+     m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, 'ok' AS status
+FROM m"""}
