@@ -18,9 +18,6 @@ named like the result are replaced.
 
 from __future__ import annotations
 
-import re
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,126 +25,129 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm.common import prepare, stored
 
-HASH_BITS = 18
 SHAPES = 6
-STEM = 4
+STEM = 4  # leading bytes of a word
 SAMPLE = 8192  # labelled documents that the classifier is fitted on, at most
-CACHE = 1 << 19
-CORE = re.compile(r"\w+")
-
-
-def _piece(word: bytes) -> int:
-    """Features of one word: hashed core (lower case), hashed stem and shape, packed."""
-    text = word.decode("utf-8", "replace")
-    core = "".join(CORE.findall(text)).lower()
-    shape = (0 if not core else 1 if any(c in "#*$%&|<>" for c in text) else 2 if len(core) > 1 and text.upper() == text
-             and text.lower() != text else 3 if any(c.isdigit() for c in text) else 4 if text.endswith("!") else 5)
-    slot = lambda x: zlib.crc32(x.encode()) >> (32 - HASH_BITS)
-    return slot(core) | slot("^" + core[:STEM]) << HASH_BITS | shape << 2 * HASH_BITS
-
-
-PLAIN = 5
-
-
-def features(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
-    """(words, distinct hashed cores and stems, shares of the shapes among distinct words)."""
-    words = (text or "").encode("utf-8", "replace").split()
-    packed = np.array([_piece(w) for w in set(words)], np.int64)
-    slots = (1 << HASH_BITS) - 1
-    cores = np.unique(np.concatenate([packed & slots, packed >> HASH_BITS & slots]))
-    return len(words), cores, np.bincount(packed >> 2 * HASH_BITS, minlength=SHAPES) / max(1, len(packed))
-
-
-class Reader:
-    """The same for a fitted model: only words that weigh anything are looked at, by set
-    operations with the words seen so far (a bounded cache)."""
-
-    def __init__(self, model: Softmax):
-        self.live = model.w.any(axis=1)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: set[bytes] = set()
-        self.telling: dict[bytes, list[int]] = {}
-        self.odd: dict[bytes, int] = {}
-        self.telling_words: set[bytes] = set()
-        self.odd_words: set[bytes] = set()
-
-    def __call__(self, text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
-        words = (text or "").encode("utf-8", "replace").split()
-        own = set(words)
-        if len(self.known) > CACHE:
-            self.forget()
-        new, slots = own.difference(self.known), (1 << HASH_BITS) - 1
-        for w in new:
-            packed = _piece(w)
-            slots_of = [x for x in {packed & slots, packed >> HASH_BITS & slots} if self.live[x]]
-            if slots_of:
-                self.telling[w] = slots_of
-                self.telling_words.add(w)
-            if packed >> 2 * HASH_BITS != PLAIN:
-                self.odd[w] = packed >> 2 * HASH_BITS
-                self.odd_words.add(w)
-        self.known |= new
-        cores = {x for w in own & self.telling_words for x in self.telling[w]}
-        odd = np.bincount(np.array([self.odd[w] for w in own & self.odd_words], np.int64), minlength=SHAPES).astype(float)
-        odd[PLAIN] = len(own) - odd.sum()
-        return len(words), np.array(sorted(cores), np.int64), odd / max(1, len(own))
+NAMES = 1 << 16  # words and stems of the fitted model, at most
+PIECE = 1 << 22  # bytes of text whose word shapes are counted at once
+
+# Kinds of bytes; white space is none. Bytes beyond ASCII count as lower case.
+LOWER, UPPER, DIGIT, SYMBOL, BANG, OTHER = (1 << i for i in range(6))
+KINDS = np.array([
+    0 if c in b" \t\n\r\v\f" else LOWER if c > 127 or c == ord("_") or chr(c).islower() else UPPER if chr(c).isupper()
+    else DIGIT if chr(c).isdigit() else SYMBOL if c in b"#*$%&|<>" else BANG if c == ord("!") else OTHER
+    for c in range(256)], np.uint8)
+NOT_CORE = bytes(c for c in range(128) if KINDS[c] >= SYMBOL)
+SMALL = bytes(range(256)).lower()
+
+
+def cores(text: bytes) -> set[bytes]:
+    """Distinct words in lower case, without ASCII punctuation."""
+    return set(text.translate(SMALL, NOT_CORE).split())
+
+
+def shapes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, its words and their shares of the shapes: no core, symbols, capitals,
+    digits, exclamation, other."""
+    n, share = np.zeros(len(texts), np.int64), np.zeros((len(texts), SHAPES))
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= PIECE or i == len(texts) - 1:
+            n[first:i + 1], share[first:i + 1] = _shapes(texts[first:i + 1])
+            first, size = i + 1, 0
+    return n, share
+
+
+def _shapes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    kind = KINDS[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    edge = np.diff((kind > 0).astype(np.int8), prepend=np.int8(0))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(start):
+        return np.zeros(len(texts), np.int64), np.zeros((len(texts), SHAPES))
+    bits = np.bitwise_or.reduceat(kind, start)
+    shape = np.select([bits & (LOWER | UPPER | DIGIT) == 0, bits & SYMBOL > 0,
+                       (bits & (LOWER | UPPER) == UPPER) & (end - start > 1), bits & DIGIT > 0, kind[end - 1] == BANG],
+                      [0, 1, 2, 3, 4], 5)
+    doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+    counts = np.bincount(doc * SHAPES + shape, minlength=len(texts) * SHAPES).reshape(-1, SHAPES)
+    n = counts.sum(1)
+    return n, counts / np.maximum(1, n)[:, None]
+
+
+def _bytes(texts: pa.Array) -> list[bytes]:
+    return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
 
 
 class Softmax:
-    """Multinomial logistic regression over sets of hashed words and shape shares."""
+    """Multinomial logistic regression over named words and stems and shape shares."""
 
-    def __init__(self, domains: int):
-        self.w = np.zeros((1 << HASH_BITS, domains))
+    def __init__(self, domains: int, names: list[str] = ()):
+        self.w = np.zeros((len(names), domains))
         self.s = np.zeros((SHAPES, domains))
         self.b = np.zeros(domains)
-
-    def scores(self, cores: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        return self.w[cores].sum(axis=0) + 10 * shapes @ self.s + self.b
-
-    def posterior(self, cores: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        z = self.scores(cores, shapes)
+        self.place = {name: i for i, name in enumerate(names)}
+        self.words = {name.encode(): i for i, name in enumerate(names) if name[0] != "^"}
+        self.stems = {name[1:].encode(): i for i, name in enumerate(names) if name[0] == "^"}
+        self.word_set, self.stem_set = set(self.words), set(self.stems)
+
+    def named(self, text: bytes) -> list[int]:
+        """Places of the model's words and stems that are in the text."""
+        own = cores(text)
+        return sorted([self.words[x] for x in own & self.word_set]
+                      + [self.stems[x] for x in {x[:STEM] for x in own} & self.stem_set])
+
+    def posterior(self, found: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        z = self.w[found].sum(axis=0) + 10 * shares @ self.s + self.b
         e = np.exp(z - z.max())
         return e / e.sum()
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, rate: float = 0.3,
-            penalty: float = 1e-4, least: int = 5, telling: float = 30.0) -> Softmax:
-        """Full-batch AdaGrad over the words that are in ``least`` sample documents and
-        depend on the domain (chi-squared above ``telling``); others stay at zero."""
+            penalty: float = 1e-4) -> Softmax:
+        """Full-batch AdaGrad over (found, shares, domain) rows."""
         if not rows:
             return self
         y, n, k = np.array([r[2] for r in rows]), len(rows), self.b.size
-        flat = np.concatenate([r[0] for r in rows])
+        flat = np.concatenate([np.asarray(r[0], np.int64) for r in rows])
         at = np.repeat(np.arange(n), [len(r[0]) for r in rows])
-        per = np.stack([np.bincount(flat[y[at] == j], minlength=1 << HASH_BITS) for j in range(k)], 1)
-        df, size = per.sum(1), np.bincount(y, minlength=k)
-        expect = np.maximum(df[:, None] * (size + 1e-9) / n, 1e-9)
-        chi = ((per - expect) ** 2 / expect).sum(1) / np.maximum(1 - df / n, 1 / n)
-        names = np.flatnonzero((df >= least) & (chi > telling))
-        place = np.full(1 << HASH_BITS, -1)
-        place[names] = np.arange(len(names))
-        used = place[flat] >= 0
-        flat, at = place[flat[used]], at[used]
-        shapes = 10 * np.array([r[1] for r in rows])
-        self.b = np.log(size + 1.0) - np.log(n + k)
-        w, gw, gs, gb = np.zeros((len(names), k)), 1e-8, 1e-8, 1e-8
+        share = 10 * np.array([r[1] for r in rows])
+        self.b = np.log(np.bincount(y, minlength=k) + 1.0) - np.log(n + k)
+        gw, gs, gb = 1e-8, 1e-8, 1e-8
         for _ in range(rounds):
-            z = np.stack([np.bincount(at, w[flat, j], n) for j in range(k)], 1) + shapes @ self.s + self.b
+            z = np.stack([np.bincount(at, self.w[flat, j], n) for j in range(k)], 1) + share @ self.s + self.b
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(n), y] -= 1
             p /= n
-            dw = np.stack([np.bincount(flat, p[at, j], len(names)) for j in range(k)], 1) + penalty * w
-            ds, db = shapes.T @ p + penalty * self.s, p.sum(0)
+            dw = np.stack([np.bincount(flat, p[at, j], len(self.w)) for j in range(k)], 1) + penalty * self.w
+            ds, db = share.T @ p + penalty * self.s, p.sum(0)
             gw, gs, gb = gw + dw * dw, gs + ds * ds, gb + db * db
-            w -= rate * dw / np.sqrt(gw)
+            self.w -= rate * dw / np.sqrt(gw)
             self.s -= rate * ds / np.sqrt(gs)
             self.b -= rate * db / np.sqrt(gb)
-        self.w[names] = w
         return self
 
 
+def telling_names(sample: DataFrame, domains: int, least: int = 5, telling: float = 30.0,
+                  most: int = NAMES) -> list[str]:
+    """Words and stems in ``least`` rows of the sample or more that depend on the domain
+    (chi-squared above ``telling``; the ``most`` highest)."""
+    here = [F.count_if(F.col("__y") == j + 1).alias(f"c{j}") for j in range(domains)]
+    size = [x or 0 for x in sample.agg(*here).first()]
+    if not sum(size):
+        return []
+    n = float(sum(size))
+    seen = sample.select("__y", F.explode("f.names").alias("name")).groupBy("name").agg(
+        F.count(F.lit(1)).cast("double").alias("df"), *here).filter(F.col("df") >= least)
+    chi = F.lit(0.0)
+    for j in range(domains):
+        expect = F.greatest(F.col("df") * F.lit(size[j] / n), F.lit(1e-9))
+        chi = chi + (F.col(f"c{j}") - expect) * (F.col(f"c{j}") - expect) / expect
+    chi = chi / F.greatest(1 - F.col("df") / n, F.lit(1 / n))
+    picked = seen.select("name", chi.alias("chi")).filter(F.col("chi") > telling).orderBy(F.desc("chi"), "name")
+    return [r["name"] for r in picked.limit(most).collect()]
+
+
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str = "doc_id",
                    text: str = "text", domain: str = "domain", sample: int = SAMPLE) -> Softmax:
     """Fit on the ``sample`` labelled documents with the smallest hashed ids."""
@@ -159,30 +159,49 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], id_co
     rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("t")).join(
         F.broadcast(stored(picked, "mix-sample")), "__id")
 
-    @F.arrow_udf("struct<cores:array<int>,shapes:array<double>>")
+    @F.arrow_udf("struct<names:array<string>,shares:array<double>>")
     def sampled(texts: pa.Array) -> pa.Array:
-        made = [features(t) for t in texts.to_pylist()]
-        return pa.StructArray.from_arrays(
-            [pa.array([m[1].astype(np.int32) for m in made], pa.list_(pa.int32())),
-             pa.array([m[2] for m in made], pa.list_(pa.float64()))], ["cores", "shapes"])
+        raw = _bytes(texts)
+        names = []
+        for t in raw:
+            own = cores(t)
+            # a stem that cuts a character has no name
+            every = [x.decode("utf-8", "ignore") for x in own] + ["^" + x.decode() for x in {x[:STEM] for x in own} if _whole(x)]
+            names.append(every)
+        return pa.StructArray.from_arrays([pa.array(names, pa.list_(pa.string())),
+                                           pa.array(shapes(raw)[1].tolist(), pa.list_(pa.float64()))], ["names", "shares"])
+
+    seen = stored(rows.select("__id", "__y", sampled.asNondeterministic()("t").alias("f")), "mix-features")
+    model = Softmax(len(domains), telling_names(seen, len(domains)))
+    place = model.place
+
+    @F.arrow_udf("array<int>")
+    def found(names: pa.Array) -> pa.Array:
+        return pa.array([sorted(place[x] for x in own if x in place) for own in names.to_pylist()], pa.list_(pa.int32()))
 
     # repeated document rows: the limit bounds what comes to the driver
-    got = rows.select("__id", "__y", sampled("t").alias("f")).orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample).collect()
-    return Softmax(len(domains)).fit([(np.array(r.f.cores, np.int64), np.array(r.f.shapes), r["__y"] - 1) for r in got])
+    got = (seen.select("__id", "__y", found("f.names").alias("found"), "f.shares")
+           .orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample).collect())
+    return model.fit([(r["found"], r["shares"], r["__y"] - 1) for r in got])
+
+
+def _whole(x: bytes) -> bool:
+    try:
+        x.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame:
     """Input columns with ``n_tokens`` and ``posterior`` (array, domain order)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2^HASH_BITS rows
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # NAMES rows, at most
 
     @F.arrow_udf("struct<n_tokens:bigint,posterior:array<double>>")
     def predict(texts: pa.Array) -> pa.Array:
-        m, n, p = sent.value, [], []
-        f = _reader(m)
-        for t in texts.to_pylist():
-            words, cores, shapes = f(t)
-            n.append(words)
-            p.append(m.posterior(cores, shapes))
+        m, raw = sent.value, _bytes(texts)
+        n, share = shapes(raw)
+        p = [m.posterior(m.named(t), x) for t, x in zip(raw, share)]
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.float64()))],
                                           ["n_tokens", "posterior"])
 
@@ -191,16 +210,6 @@ def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame
     return rows.select(*[F.col(f"`{c}`") for c in kept], "__p.n_tokens", "__p.posterior")
 
 
-_READER: list = []
-
-
-def _reader(model: Softmax) -> Reader:
-    """One word cache per worker process and model."""
-    if not _READER or _READER[0] is not model:
-        _READER[:] = [model, Reader(model)]
-    return _READER[1]
-
-
 def fit_rates(members: DataFrame, targets: list[float], start: float = 1.0, most: float | None = None,
               rounds: int = 40, close: float = 1e-4) -> list[tuple[float, np.ndarray]]:
     """The rounds of the projected gradient, each one pass over (n_tokens, posterior)."""
