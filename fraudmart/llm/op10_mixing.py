@@ -29,6 +29,7 @@ SHAPES = 6
 STEM = 4  # leading bytes of a word
 SAMPLE = 8192  # labelled documents that the classifier is fitted on, at most
 NAMES = 1 << 16  # words and stems of the fitted model, at most
+ROWS = 1 << 14  # narrow rows of one task and Arrow batch in a round of the gradient
 PIECE = 1 << 22  # bytes of text whose word shapes are counted at once
 
 # Kinds of bytes; white space is none. Bytes beyond ASCII count as lower case.
@@ -217,15 +218,17 @@ def fit_rates(members: DataFrame, targets: list[float], start: float = 1.0, most
 
     p = [F.get("posterior", F.lit(j)) for j in range(k)]
     n = F.col("n_tokens").cast("double")
-    gram = members.agg(*[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]).first()
+    *gram, rows = members.agg(*[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
+                              F.count(F.lit(1)).alias("rows")).first()
     gram = np.array([x or 0.0 for x in gram], float).reshape(k, k)
+    narrow = members.select("n_tokens", "posterior").coalesce(max(1, -(-rows // ROWS)))  # a round's tasks are short
     top = float(np.linalg.eigvalsh(gram)[-1])
     past: list[tuple[float, np.ndarray]] = []
     if top <= 0:
         return past
     t, before = 1.0, np.full(k, np.inf)
     for _ in range(rounds):
-        totals = _totals(members, past, start, most, k)
+        totals = _totals(narrow, past, start, most, k)
         residual = totals - goal
         small = close * max(1.0, goal.sum())
         if np.abs(residual).max() <= small or np.abs(residual - before).max() <= small / 100:
@@ -248,7 +251,13 @@ def _totals(members: DataFrame, past, start: float, most: float | None, k: int)
             total += (fold_rates(p, past, start, most)[1] * np.asarray(b.column(0), float)) @ p
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"t{j}" for j in range(k)])
 
-    got = members.select("n_tokens", "posterior").mapInArrow(add, schema).agg(*[F.sum(f"t{j}") for j in range(k)]).first()
+    conf, key = members.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(ROWS))  # no texts in these rows
+    try:
+        got = members.select("n_tokens", "posterior").mapInArrow(add, schema).agg(*[F.sum(f"t{j}") for j in range(k)]).first()
+    finally:
+        conf.set(key, before)
     return np.array([x or 0.0 for x in got])
 
 
