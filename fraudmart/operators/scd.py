@@ -82,10 +82,15 @@ def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts) ->
     a changed key closes its version at ``run_ts - 1 s`` and opens a new one; a
     key missing from the snapshot closes and gets an open ``deleted_flg`` row; a
     key coming back after a deletion opens a fresh version. Closed versions pass
-    through untouched, so only open rows take part in the join.
+    through untouched, so only open rows take part in the join. A snapshot of the
+    same ``run_ts`` replaces the one before: its versions go and those it closed
+    are open again. Steps must not go back in time (``load_dim_scd`` refuses).
     """
     ts = ts_lit(run_ts)
     end = ts_lit(OPEN_END)
+    before = ts - F.expr("INTERVAL 1 SECOND")
+    hist = hist.where(F.col("effective_from") != ts).withColumn(
+        "effective_to", F.when(F.col("effective_to") == before, end).otherwise(F.col("effective_to")))
     is_open = F.col("effective_to") == end
     closed = hist.where(~is_open)
     o = hist.where(is_open).alias("o")
@@ -102,7 +107,6 @@ def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts) ->
         return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in (key, *attrs)], start.alias("effective_from"),
                         until.alias("effective_to"), deleted.alias("deleted_flg"))
 
-    before = ts - F.expr("INTERVAL 1 SECOND")
     versions = F.array(  # of one joined row: at most two
         F.when(same | still_gone, version("o", F.col("o.effective_from"), F.col("o.effective_to"), was_deleted)),
         F.when(closes, version("o", F.col("o.effective_from"), before, was_deleted)),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.functions import date_lit, file_date_from_name, source_name, ts_lit
-from fraudmart.operators.enrich import DOCUMENTED, Batch, Dims, card_profile
+from fraudmart.operators.enrich import DOCUMENTED, OBSERVED, Batch, Dims, card_profile
 from fraudmart.operators.load import RENAMES, add_null_columns, conform, insert_new, load_new, rename_columns
 from fraudmart.operators.scd import blacklist_increment, scd1_upsert, scd2_init, scd2_step
 from fraudmart.plans.mart import fraud_report
@@ -31,9 +31,10 @@ SEED_TARGETS = {"cards": "dwh_dim_cards", "accounts": "dwh_dim_accounts", "clien
 
 @dataclass
 class DayFiles:
-    transactions: str
-    terminals: str
-    blacklist: str
+    """A path, or all paths of the day, per kind."""
+    transactions: str | list[str]
+    terminals: str | list[str]
+    blacklist: str | list[str]
 
 
 def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str = DOCUMENTED,
@@ -56,13 +57,15 @@ def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str
     return counts
 
 
-def stage_day(spark: SparkSession, files: DayFiles):
-    """The three staging frames of one day, typed."""
+def stage_day(spark: SparkSession, files: DayFiles, mode: str = DOCUMENTED):
+    """The three staging frames of one day, typed. Documented mode reads every sheet
+    of a workbook; the observed load replaced its table sheet by sheet (last one)."""
+    sheets = "all" if mode == DOCUMENTED else "last"
     tx = read_delimited(spark, files.transactions)
     term = read_workbook(spark, files.terminals,
-                         ["terminal_id", "terminal_type", "terminal_city", "terminal_address"])
+                         ["terminal_id", "terminal_type", "terminal_city", "terminal_address"], sheets)
     term = add_null_columns(term)
-    bl = read_workbook(spark, files.blacklist, ["date", "passport"])
+    bl = read_workbook(spark, files.blacklist, ["date", "passport"], sheets)
     bl = bl.select(excel_date("date").alias("date"), "passport", "file_name")
     return tx, term, bl
 
@@ -109,14 +112,19 @@ def load_blacklist_increment(wh: Warehouse, bl: DataFrame, batch_dt: dt.date) ->
 def load_dim_scd(wh: Warehouse, table: str, snapshot: DataFrame, batch_dt: dt.date) -> None:
     """A full snapshot of a dimension: SCD1 current state (create_dt /
     update_dt) and SCD2 history ``<table>_hist`` (effective_from /
-    effective_to / deleted_flg), each written as a new table version."""
+    effective_to / deleted_flg), each written as a new table version. A snapshot
+    of the last loaded day replaces it; an older day is refused."""
     schema, key = schemas.WAREHOUSE[table], schemas.KEYS[table]
+    hist_table, hist_schema = f"{table}_hist", schemas.scd2_schema(schema)
+    run_ts = dt.datetime(batch_dt.year, batch_dt.month, batch_dt.day)
+    if wh.current_version(hist_table) is not None:
+        last = wh.read(hist_table, hist_schema).agg(F.max("effective_from")).first()[0]
+        if last is not None and last > run_ts:
+            raise ValueError(f"{table}: the snapshot of {batch_dt} is older than the loaded one of {last:%Y-%m-%d}")
     attrs = [f.name for f in schema.fields if f.name not in (key, "create_dt", "update_dt")]
     snap = conform(snapshot, schema).select(key, *attrs)
     current = scd1_upsert(wh.read(table), snap, key, attrs, batch_dt)
     wh.write_version(table, conform(current, schema))
-    hist_table, hist_schema = f"{table}_hist", schemas.scd2_schema(schema)
-    run_ts = dt.datetime(batch_dt.year, batch_dt.month, batch_dt.day)
     if wh.current_version(hist_table) is None:
         hist = scd2_init(snap, key, attrs, run_ts)
     else:
@@ -138,14 +146,19 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
     ``profile=True`` materialises the card → client chain once for the report.
     """
     report_dt = report_dt or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    tx, term, bl = stage_day(spark, files)
+    tx, term, bl = stage_day(spark, files, mode)
     # Staging is written once and read back: the loads and the report see the
     # same rows even if the source files are replaced meanwhile.
     wh.replace("stg_transactions", tx)
     tx = spark.read.parquet(wh.path("stg_transactions"))
-    # Rows whose id, time or amount did not parse are kept aside, not loaded.
-    wh.replace("stg_rejects", tx.where(rejected()))
-    good = tx.where(~rejected())
+    wh.replace("stg_terminals", term)
+    term = spark.read.parquet(wh.path("stg_terminals"))
+    wh.replace("stg_passport_blacklist", bl)
+    bl = spark.read.parquet(wh.path("stg_passport_blacklist"))
+    # Rows whose id, time or amount did not parse are kept aside by day; only
+    # observed mode loads them all the same, as the original does.
+    wh.replace(f"stg_rejects/batch_dt={batch_dt:%Y-%m-%d}", tx.where(rejected()))
+    good = tx if mode == OBSERVED else tx.where(~rejected())
 
     wh.append("dwh_fact_transactions",
               load_new(good, wh.keys_of("dwh_fact_transactions"), "dwh_fact_transactions"))
@@ -170,7 +183,24 @@ def run_day(spark: SparkSession, wh: Warehouse, files: DayFiles, batch_dt: dt.da
     ledger = (ledger_rows(tx, "transactions", "transaction_date", report_dt, schemas.TRANSACTION_REQUIRED)
               .unionByName(ledger_rows(term, "terminals", None, report_dt))
               .unionByName(ledger_rows(bl, "passport_blacklist", None, report_dt)))
-    wh.append("meta_ingest_log", ledger)
+    named = [(kind, path) for kind, paths in zip(KINDS, (files.transactions, files.terminals, files.blacklist))
+             for path in ([paths] if isinstance(paths, str) else paths)]
+    wh.append("meta_ingest_log", with_empty_files(spark, ledger, named, batch_dt, report_dt).join(
+        wh.read("meta_ingest_log").select("file_name"), "file_name", "left_anti"))
+
+
+def with_empty_files(spark: SparkSession, ledger: DataFrame, named, batch_dt: dt.date, loaded_at) -> DataFrame:
+    """The ledger rows, with a zero row for every delivered file that holds no rows."""
+    delivered = None
+    for kind, path in named:
+        files = spark.read.format("binaryFile").load(path).select(
+            source_name(F.col("path")).alias("file_name"), F.lit(kind).alias("kind"))
+        delivered = files if delivered is None else delivered.unionByName(files)
+    empty = delivered.distinct().join(ledger.select("file_name"), "file_name", "left_anti").select(
+        "file_name", "kind", F.coalesce(file_date_from_name("file_name"), date_lit(batch_dt)).alias("batch_dt"),
+        F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("rejected"),
+        F.lit(None).cast("timestamp_ntz").alias("max_event_ts"), ts_lit(loaded_at).alias("loaded_at"))
+    return ledger.unionByName(empty)
 
 
 def run_days_frames(staged_days: list[tuple[Batch, DataFrame]], dims: Dims,
@@ -214,7 +244,7 @@ def pending_days(spark: SparkSession, wh: Warehouse, incoming: str) -> list[tupl
         listed = files if listed is None else listed.unionByName(files)
     ledger = wh.read("meta_ingest_log").select("file_name")
     todo = ledger_pending(ledger, listed)
-    days = (todo.groupBy("batch_dt").pivot("kind", list(KINDS)).agg(F.first("path"))
+    days = (todo.groupBy("batch_dt").pivot("kind", list(KINDS)).agg(F.sort_array(F.collect_list("path")))
                 .where(F.col("batch_dt").isNotNull()).orderBy("batch_dt"))
     out = []
     for r in days.collect():  # one small row per day

@@ -60,6 +60,9 @@ class Warehouse:
                 f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY (trans_dt) "
                 f"CLUSTERED BY (trans_id) INTO {int(self.fact_buckets)} BUCKETS "
                 f"LOCATION '{self.path(FACT)}'")
+            if self._read_path(self.path(FACT), schemas.FACT_TRANSACTIONS) is not None:
+                # a session catalog starts without the partitions that are on disk
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
             self._fact_table = name
         return self._fact_table
 

@@ -64,21 +64,23 @@ def report_each_batch(wh, mode: str = "documented", report_dt=None):
     """A ``foreachBatch`` handler: load the micro-batch's transactions (new keys
     only), then write the report partition of each batch day it carries. The
     dimensions and the blacklist are read from the warehouse."""
-    from fraudmart.operators.enrich import Batch, Dims
+    from fraudmart.operators.enrich import OBSERVED, Batch, Dims
     from fraudmart.operators.load import load_new
     from fraudmart.plans.mart import fraud_report
+    from fraudmart.plans.pipeline import rejected
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
         fact = "dwh_fact_transactions"
-        wh.append(fact, load_new(batch_df, wh.read(fact), fact))
+        good = batch_df if mode == OBSERVED else batch_df.where(~rejected())
+        wh.append(fact, load_new(good, wh.keys_of(fact), fact))
         dims = Dims(wh.read("dwh_dim_cards"), wh.read("dwh_dim_accounts"), wh.read("dwh_dim_clients"),
                     wh.read("dwh_dim_terminals"), wh.read("dwh_fact_passport_blacklist"))
         # One file per micro-batch, so this is one (or a few) day values.
         for row in batch_df.select("batch_dt").distinct().collect():
             day = row["batch_dt"]
-            staged = batch_df.where(F.col("batch_dt") == F.lit(day))
+            staged = good.where(F.col("batch_dt") == F.lit(day))
             report = fraud_report(wh.read(fact), dims, Batch.day(day, staged), mode, report_dt)
             wh.overwrite_days("rep_fraud", report, day)
     return handle
