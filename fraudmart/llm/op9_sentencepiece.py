@@ -6,7 +6,8 @@ product of matrices over (max, +). Characters without a piece are byte pieces.
 
 * Ordinary texts are one chunk. White-space marks and characters without a piece
   are forced boundaries, so the path splits there exactly and each distinct part
-  is segmented once per worker (a bounded cache).
+  is segmented once per worker (a bounded cache); new parts of one length are
+  segmented together, as arrays.
 * Giant texts are cut into chunks of ``chunk`` characters. A boundary state is
   the distance from the cut to the first piece boundary behind it. Each chunk
   yields its transfer matrix between the states of its two cuts; matrices are
@@ -48,6 +49,8 @@ NORMAL, USER = 1, 4
 USER_SCORE = -0.125  # always preferred, exact in binary
 UNKNOWN_PENALTY = 10.0
 CACHE = 1 << 19
+SHORT = 64  # characters of a part that is segmented together with others
+BLOCK = 1 << 14  # parts that are segmented together, at most
 GROUP = 64
 ENCODED = "struct<n_tokens:bigint,ids:binary>"
 
@@ -114,9 +117,32 @@ class Model:
         self.parts = re.compile(f"{MARK}+{inside}*|{inside}+|." if free else ".+", re.S)
         # every head of a piece; -inf where it is none itself
         self.table = {h: self.scores[h][1] if h in self.scores else -np.inf for h in heads}
+        self._index()
         self.cache: dict[str, bytes] = {}
         self.known: dict[str, tuple[list[int], float]] = {}
 
+    def _index(self) -> None:
+        """The heads as a sorted array of (parent, character) keys; the head at place i
+        is number i + 1, the empty one 0, so that the first ones are the characters."""
+        letters = sorted(self.single)
+        code = {c: i for i, c in enumerate(letters)}
+        self.code = np.full(0x110000, -1, np.int64)
+        self.code[[ord(c) for c in letters]] = np.arange(len(letters))
+        levels: list[list[str]] = [[] for _ in range(self.longest + 1)]
+        for h in self.heads:
+            if all(c in code for c in h):
+                levels[len(h)].append(h)
+        number, keys, scores, ids = {"": 0}, [], [-np.inf], [-1]
+        for level in levels:
+            for key, h in sorted((number[h[:-1]] * len(letters) + code[h[-1]], h) for h in level):
+                keys.append(key)
+                number[h] = len(keys)
+                no, score = self.scores.get(h, (-1, -np.inf))
+                ids.append(no)
+                scores.append(score)
+        self.keys, self.head_score, self.head_id = np.array(keys, np.int64), np.array(scores), np.array(ids, np.int32)
+        self.letters = len(letters)
+
     def arcs(self, s: str, at: int, end: int) -> list[tuple[int, int, float]]:
         """(end, id, score) of the pieces that start at a position; id -1: bytes."""
         out, heads, scores = [], self.heads, self.scores
@@ -192,6 +218,52 @@ class Model:
             n = at
         return self.spell(s, steps[::-1]), best[len(s)]
 
+    def parts_of_length(self, parts: list[str], n: int) -> list[bytes]:
+        """Id bytes of parts of ``n`` characters, all of them pieces: ``part`` for each."""
+        points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = self.code[points].reshape(-1, n).T.copy()
+        every = np.arange(len(parts))
+        best = np.full((n + 1, len(parts)), -np.inf)
+        came, no = np.zeros(best.shape, np.int16), np.zeros(best.shape, np.int32)
+        best[0] = 0.0
+        for at in range(n):
+            rows, head = every, codes[at] + 1
+            for e in range(at + 1, n + 1):
+                if e > at + 1:  # one character on; what no piece starts like ends
+                    key = head * self.letters + codes[e - 1][rows]
+                    place = np.searchsorted(self.keys, key)
+                    place[place == len(self.keys)] = 0
+                    here = self.keys[place] == key
+                    rows, head = rows[here], place[here] + 1
+                    if not rows.size:
+                        break
+                score = best[at][rows] + self.head_score[head]
+                more = score > best[e][rows]
+                better = rows[more]
+                best[e][better], came[e][better], no[e][better] = score[more], at, self.head_id[head[more]]
+        ids, first, at, rows = np.zeros((len(parts), n), "<i4"), np.full(len(parts), n), np.full(len(parts), n), every
+        while rows.size:
+            first[rows] -= 1
+            ids[rows, first[rows]] = no[at[rows], rows]
+            at[rows] = came[at[rows], rows]
+            rows = rows[at[rows] > 0]
+        raw = ids.tobytes()
+        return [raw[4 * (i * n + f):4 * (i + 1) * n] for i, f in enumerate(first.tolist())]
+
+    def learn(self, new: set[str]) -> None:
+        """Put parts into the cache."""
+        lengths: dict[int, list[str]] = {}
+        for p in new:
+            if 1 < len(p) <= SHORT and self.single.issuperset(p):
+                lengths.setdefault(len(p), []).append(p)
+            else:
+                ids, _ = self.part(p)
+                self.cache[p] = struct.pack(f"<{len(ids)}i", *ids)
+        for n, parts in lengths.items():
+            for i in range(0, len(parts), BLOCK):
+                block = parts[i:i + BLOCK]
+                self.cache.update(zip(block, self.parts_of_length(block, n)))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian int32 bytes, part by part."""
         split = [self.parts.findall(self.marked(t)) for t in texts]
@@ -199,9 +271,7 @@ class Model:
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
             new = {p for ps in split for p in ps}
-        for p in new:
-            ids, _ = self.part(p)
-            self.cache[p] = struct.pack(f"<{len(ids)}i", *ids)
+        self.learn(new)
         return [b"".join(map(self.cache.__getitem__, ps)) for ps in split]
 
     def decode(self, ids: np.ndarray) -> str:

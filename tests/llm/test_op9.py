@@ -54,6 +54,16 @@ def test_short_texts_against_all_segmentations(model):
         assert (best, got) in paths
 
 
+def test_parts_segmented_together_equal_one_by_one(model):
+    rng = random.Random(5)
+    texts = [words(rng, rng.choice([1, 3, 30])) for _ in range(300)] + ["", " ", "a" * 64, "b" * 200, " " * 70, "\ud800"]
+    parts = {p for t in texts for p in model.parts.findall(model.marked(t))}
+    parts |= {p * 2 for p in parts}
+    model.cache.clear()
+    model.learn(parts)
+    assert {p: ids(raw) for p, raw in model.cache.items()} == {p: model.part(p)[0] for p in parts}
+
+
 def test_score_of_pieces_follows_the_file(model):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for piece, (no, score) in list(model.scores.items())[::101]:
