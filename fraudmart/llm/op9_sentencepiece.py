@@ -48,7 +48,7 @@ MARK = "▁"
 NORMAL, USER = 1, 4
 USER_SCORE = -0.125  # always preferred, exact in binary
 UNKNOWN_PENALTY = 10.0
-CACHE = 1 << 19
+CACHE = 1 << 18  # parts kept by a worker, at most
 SHORT = 64  # characters of a part that is segmented together with others
 BLOCK = 1 << 14  # parts that are segmented together, at most
 GROUP = 64
