@@ -4,9 +4,11 @@ A softmax classifier is fitted on a bounded sample of the labelled table and
 predicts for every document its posterior over domains. Rates r >= 0 (expected
 copies of a document) are then fitted so that the expected token totals
 sum_i r_i n_i p_ik match the targets: accelerated projected gradient on the
-least squares, in variables scaled by sqrt(n_i). The gradient of a document
-depends only on the K residuals, so one round is one pass that sums K totals;
-rates are a fold over the bounded list of past residuals and are never shuffled.
+least squares, in variables scaled by sqrt(n_i) and with each domain's residual
+weighed by its own Gram entry, until every domain has met its target or rests.
+The gradient of a document depends only on the K residuals, so one round is one
+pass that sums a few totals a domain; rates are a fold over the list of past
+residuals and are never shuffled.
 
 Cases: a null or blank text has no tokens and uniform features (its rate stays
 at the start value); rows of the label table with null labels, and labelled ids
@@ -212,67 +214,84 @@ def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame
 
 
 def fit_rates(members: DataFrame, targets: list[float], start: float = 1.0, most: float | None = None,
-              rounds: int = 40, close: float = 1e-4) -> list[tuple[float, np.ndarray]]:
-    """The rounds of the projected gradient, each one pass over (n_tokens, posterior)."""
+              rounds: int | None = None, close: float = 1e-4) -> list[tuple[float, np.ndarray]]:
+    """The rounds of the projected gradient, each one pass over (n_tokens, posterior), until every
+    domain's total is met or no domain's tokens move (targets out of reach), each measured by the
+    domain's own target, or by its present total where it is to go; ``rounds`` ends it earlier."""
     k, goal = len(targets), np.array(targets, float)
 
     p = [F.get("posterior", F.lit(j)) for j in range(k)]
     n = F.col("n_tokens").cast("double")
-    *gram, rows = members.agg(*[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
-                              F.count(F.lit(1)).alias("rows")).first()
-    gram = np.array([x or 0.0 for x in gram], float).reshape(k, k)
+    *sums, rows = members.agg(*[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
+                              *[F.sum(n * p[i]).alias(f"n{i}") for i in range(k)], F.count(F.lit(1)).alias("rows")).first()
+    sums = np.array([x or 0.0 for x in sums], float)
+    gram, now = sums[:k * k].reshape(k, k), sums[k * k:]
     narrow = members.select("n_tokens", "posterior").coalesce(max(1, -(-rows // ROWS)))  # a round's tasks are short
-    top = float(np.linalg.eigvalsh(gram)[-1])
+    # each domain's residual counts by the domain's own Gram entry, so that rare ones move as fast
+    own = np.diag(gram)
+    weight = np.divide(1.0, own, out=np.zeros(k), where=own > 0)
+    top = float(np.linalg.eigvalsh(np.sqrt(weight)[:, None] * gram * np.sqrt(weight))[-1])
     past: list[tuple[float, np.ndarray]] = []
     if top <= 0:
         return past
-    t, before = 1.0, np.full(k, np.inf)
-    for _ in range(rounds):
-        totals = _totals(narrow, past, start, most, k)
-        residual = totals - goal
-        small = close * max(1.0, goal.sum())
-        if np.abs(residual).max() <= small or np.abs(residual - before).max() <= small / 100:
-            break  # met, or at rest (targets out of reach)
-        before = residual
+    small = close * np.where(goal > close * now, goal, now)
+    t = 1.0
+    while rounds is None or len(past) < rounds:
+        totals, ahead, moved, turn = _totals(narrow, past, start, most, k)
+        if (np.abs(totals - goal) <= small).all() or past and (moved <= small).all():
+            break
+        if turn > 0:
+            t = 1.0  # the momentum points uphill
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        past.append(((t - 1) / t_next, residual / top))
+        past.append(((t - 1) / t_next, weight * (ahead - goal) / top))
         t = t_next
     return past
 
 
-def _totals(members: DataFrame, past, start: float, most: float | None, k: int) -> np.ndarray:
-    """Expected domain totals at the look-ahead rates."""
-    schema = ", ".join(f"t{j} double" for j in range(k))
+def _totals(members: DataFrame, past, start: float, most: float | None, k: int) -> tuple:
+    """Expected domain totals at the rates and at the look-ahead rates, tokens of each domain that
+    the last step moved, and whether its momentum points uphill (above 0)."""
+    schema = ", ".join(f"t{j} double" for j in range(3 * k + 1))
 
     def add(batches):
-        total = np.zeros(k)
+        total = np.zeros(3 * k + 1)
         for b in batches:
-            p = np.asarray(b.column(1).flatten()).reshape(-1, k)
-            total += (fold_rates(p, past, start, most)[1] * np.asarray(b.column(0), float)) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"t{j}" for j in range(k)])
+            p, n = np.asarray(b.column(1).flatten()).reshape(-1, k), np.asarray(b.column(0), float)
+            old, seen = fold_rates(p, past[:-1], start, most)
+            rate, ahead = _step(p, old, seen, *past[-1], most) if past else (old, seen)
+            total += np.concatenate([*[(x * n) @ p for x in (rate, ahead, np.abs(rate - seen))],
+                                     [((seen - rate) * (rate - old)) @ n]])
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"t{j}" for j in range(3 * k + 1)])
 
     conf, key = members.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(key)
     conf.set(key, str(ROWS))  # no texts in these rows
     try:
-        got = members.select("n_tokens", "posterior").mapInArrow(add, schema).agg(*[F.sum(f"t{j}") for j in range(k)]).first()
+        got = members.select("n_tokens", "posterior").mapInArrow(add, schema).agg(
+            *[F.sum(f"t{j}") for j in range(3 * k + 1)]).first()
     finally:
         conf.set(key, before)
-    return np.array([x or 0.0 for x in got])
+    got = np.array([x or 0.0 for x in got])
+    return got[:k], got[k:2 * k], got[2 * k:3 * k], got[3 * k]
+
+
+def _step(p: np.ndarray, rate: np.ndarray, ahead: np.ndarray, momentum: float, step: np.ndarray,
+          most: float | None) -> tuple[np.ndarray, np.ndarray]:
+    new = np.clip(ahead - p @ step, 0.0, most)
+    return new, new + momentum * (new - rate)
 
 
 def fold_rates(p: np.ndarray, past, start: float, most: float | None) -> tuple[np.ndarray, np.ndarray]:
     """(rates, look-ahead rates) of posterior rows after the past rounds."""
     rate = ahead = np.full(len(p), start)
     for momentum, step in past:
-        new = np.clip(ahead - p @ step, 0.0, most)
-        ahead, rate = new + momentum * (new - rate), new
+        rate, ahead = _step(p, rate, ahead, momentum, step, most)
     return rate, ahead
 
 
 def mix(docs: DataFrame, model: Softmax, weights: dict[str, float] | None, domains: list[str],
         scale: list[float] | None = None, most: float | None = None, text: str = "text",
-        rounds: int = 40) -> DataFrame:
+        rounds: int | None = None) -> DataFrame:
     """Input columns, n_tokens, posterior and ``rate``.
 
     ``weights``: target share of each domain of the present token total; or
@@ -280,7 +299,7 @@ def mix(docs: DataFrame, model: Softmax, weights: dict[str, float] | None, domai
     prepare(docs.sparkSession)
     members = stored(posteriors(docs, model, text), "mix-members")
     k = len(domains)
-    now = _totals(members, [], 1.0, None, k)
+    now = _totals(members, [], 1.0, None, k)[0]
     goal = [now.sum() * weights[d] for d in domains] if weights else [t * s for t, s in zip(now, scale)]
     past = fit_rates(members, goal, most=most, rounds=rounds)
 

@@ -163,3 +163,21 @@ def test_mixing_meets_targets_and_held_out_labels(spark):
     assert all(r["rate"] >= 0 for r in rows)
     assert op10.mix(df.filter(F.lit(False)), model, {"a": 1, "b": 0, "c": 0}, names).count() == 0
     assert op10.Softmax(3).fit([]).posterior(np.zeros(0, np.int64), np.zeros(op10.SHAPES)) == pytest.approx([1 / 3] * 3)
+
+
+@pytest.mark.parametrize("rare", [2, 20, 100])  # of 20,000: 0.01, 0.1 and 0.5 %
+@pytest.mark.parametrize("sharp", [0.999, 0.9])
+def test_rates_of_rare_domains(spark, rare, sharp):
+    rows, k = 20_000, 3
+    y = np.where(np.arange(rows) < rare, 2, np.arange(rows) % 10 == 9)
+    p = np.full((rows, k), 0.0)
+    p[np.arange(rows), y] = 1.0
+    p[:rare] = [1 - sharp, 0, sharp]  # only a rare document looks like one
+    n = 50 + np.arange(rows) % 7
+    df = spark.createDataFrame(list(zip(n.tolist(), p.tolist())), "n_tokens long, posterior array<double>")
+    now = n @ p
+    rate = op10.fold_rates(p, op10.fit_rates(df, (now * [1, 1, 0]).tolist(), most=1.0), 1.0, 1.0)[0]
+    assert rate[:rare].max() < 0.02 and rate[rare:].min() > 0.98
+    goal = now * [1, 0.5, 3]
+    rate = op10.fold_rates(p, op10.fit_rates(df, goal.tolist()), 1.0, None)[0]
+    assert (rate * n) @ p == pytest.approx(goal, rel=2e-4)
