@@ -1,45 +1,70 @@
 """Cross-entropy difference between a target and a background n-gram model.
 
-The vocabulary (the ``vocab - 1`` most frequent words of the whole corpus, and
-one unknown word) is shared by two bigram models of the same form: Dirichlet
+Two bigram models of the same form over all words of the corpus: Dirichlet
 smoothing towards the unigrams, with the background's counts scaled to the
 target's token total so that smoothing weighs alike in both. Counts come from
-every document (the target's from every labelled good one) and are combined per
-task before they are shuffled. Each document gets its mean loss per token under
-both models and the difference; lower is closer to the target.
-
-The models sent to the tasks are two tables of (vocab + 1) * vocab floats: 34 MB
-at the default, whatever the size of the corpus.
+every document (the target's from every labelled good one), are combined per
+task before they are shuffled, and stay distributed tables that grow with the
+corpus. Each document gets its mean loss per token under both models and the
+difference; lower is closer to the target.
+
+With c the counts and u the smoothed unigrams, the bits of a bigram a b are
+log2(c_a + prior) - log2(prior u_b) - log2(1 + c_ab / (prior u_b)): a part of
+the context, one of the word, and one of seen bigrams only. All three are rows
+of one table, which each document's distinct bigrams and words are joined to;
+what the table lacks was never counted and has a known value. Rows with more
+than 1 / ``HEAVY`` of all tokens (so a bounded number) are looked up in the
+tasks instead, so that no join key is hot.
+
+``size`` names a smaller vocabulary: the ``size - 1`` most frequent words, all
+others being one unknown word.
 
 Cases: a null or blank text has no tokens and scores 0; label rows with nulls
 name no target, contradicting ones neither; without any target document both
 models are equal and every difference is 0; repeated rows count and are scored
-one by one; an empty table gives no rows; other input columns are ignored.
+one by one; an empty table gives no rows; other input columns are ignored; a
+word or bigram that the model never saw has the smoothed loss of a count of 0.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudmart.llm.common import prepare, stored
 
-VOCAB = 2048
 PRIOR = 16.0  # weight of the unigrams, in tokens
-HELD = 400_000  # distinct words a task holds before it passes its counts on
+HELD = 400_000  # distinct words or bigrams a task holds before it passes its counts on
+HEAVY = 1 << 15
+# words are in lower case, so these are none
+START, UNKNOWN, WORD, CONTEXT = b"", b"UNKNOWN", b"WORD", b"CONTEXT"
+
+
+class Model(NamedTuple):
+    """``counts`` (a, b, n, n_target) and ``words`` (w, n, n_target, c, c_target: as word and
+    as context) are stored frames; the rest are numbers, or bounded."""
+
+    counts: DataFrame
+    words: DataFrame
+    totals: tuple[float, float]  # tokens: target, background
+    size: int
+    prior: float
+    vocab: frozenset[bytes] | None
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def vocabulary(texts: DataFrame, size: int = VOCAB) -> dict[bytes, int]:
-    """word -> 1 .. size - 1 by falling count over all rows of ``texts`` (column t)."""
+def vocabulary(texts: DataFrame, size: int) -> frozenset[bytes]:
+    """The size - 1 most frequent words of all rows of ``texts`` (column t)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -60,84 +85,138 @@ def vocabulary(texts: DataFrame, size: int = VOCAB) -> dict[bytes, int]:
 
     top = (texts.select("t").mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "w").limit(size - 1).collect())
-    return {bytes(r["w"]): i + 1 for i, r in enumerate(top)}
+    return frozenset(bytes(r["w"]) for r in top)
 
 
-def codes_of(text: str | None, vocab: dict[bytes, int], size: int) -> np.ndarray:
-    """context * size + word of every token; the first context is ``size``."""
+def known(text: str | None, vocab: frozenset[bytes] | None) -> list[bytes]:
     words = words_of(text)
-    ids = np.fromiter((vocab.get(w, 0) for w in words), np.int64, len(words))
-    return np.concatenate([[size], ids[:-1]])[:len(ids)].astype(np.int64) * size + ids
+    return words if vocab is None else [w if w in vocab else UNKNOWN for w in words]
 
 
-def count_bigrams(rows: DataFrame, vocab: dict[bytes, int], size: int) -> DataFrame:
-    """(code, n, n_target) over all rows (t, target boolean)."""
+def count_bigrams(rows: DataFrame, vocab: frozenset[bytes] | None) -> DataFrame:
+    """(a, b, n, n_target) over all rows (t, target boolean)."""
     sent = rows.sparkSession.sparkContext.broadcast(vocab)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = (size + 1) * size
-        totals = np.zeros((2, full), np.int64)
-        for batch in batches:
-            for want in (False, True):
-                texts = batch.column(0).filter(pa.compute.equal(batch.column(1), want)).to_pylist()
-                if texts:
-                    codes = np.concatenate([codes_of(t, sent.value, size) for t in texts])
-                    names, n = np.unique(codes, return_counts=True)
-                    totals[int(want)][names] += n
-        seen = np.flatnonzero(totals.any(axis=0))
-        for at in range(0, len(seen), 1 << 16):
-            part = seen[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(totals[:, part].sum(0)),
-                                              pa.array(totals[1][part])], ["code", "n", "n_target"])
+        held: tuple[Counter, Counter] = Counter(), Counter()
 
-    return (rows.select("t", "target").mapInArrow(count, "code int, n long, n_target long")
-            .groupBy("code").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
+        def flush():
+            for of, hit in zip(held, (0, 1)):
+                keys = list(of)
+                for at in range(0, len(keys), 1 << 14):
+                    part = keys[at:at + (1 << 14)]
+                    n = [of[x] for x in part]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[0] for x in part], pa.binary()), pa.array([x[1] for x in part], pa.binary()),
+                         pa.array(n, pa.int64()), pa.array([x * hit for x in n], pa.int64())], ["a", "b", "n", "n_target"])
+                of.clear()
 
+        for batch in batches:
+            for t, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = known(t, sent.value)
+                held[want].update(zip([START, *words], words))
+            if len(held[0]) + len(held[1]) > HELD:
+                yield from flush()
+        yield from flush()
 
-def losses(counts: np.ndarray, size: int, prior: float = PRIOR) -> np.ndarray:
-    """Bits per (context, word) under one model, from its counts (flat)."""
-    c = counts.reshape(size + 1, size)
-    unigram = (c.sum(0) + 0.5) / (c.sum() + 0.5 * size)
-    return -np.log2((c + prior * unigram) / (c.sum(1, keepdims=True) + prior)).astype(np.float32).ravel()
+    return (rows.select("t", "target").mapInArrow(count, "a binary, b binary, n long, n_target long")
+            .groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
 
 
 def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text: str = "text",
-        size: int = VOCAB, prior: float = PRIOR) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """(vocabulary, target losses, background losses); ``targets``: distinct ids (id)."""
+        size: int | None = None, prior: float = PRIOR) -> Model:
+    """Both models from the counts of ``docs``; ``targets``: distinct ids (id)."""
     prepare(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
-    vocab = vocabulary(texts, size)
+    vocab = vocabulary(texts, size) if size else None
     marked = texts.join(targets.select("id", F.lit(True).alias("hit")), "id", "left")
     rows = marked.select("t", F.coalesce("hit", F.lit(False)).alias("target"))
-    got = stored(count_bigrams(rows, vocab, size), "lm-bigrams").toArrow()  # (size + 1) * size rows at most
-    code = got["code"].to_numpy()
-    both = np.zeros((2, (size + 1) * size))
-    both[0][code], both[1][code] = got["n"].to_numpy(), got["n_target"].to_numpy()
-    background, target = both
-    scale = target.sum() / max(1.0, background.sum())
-    if not target.any():
-        return vocab, losses(target, size, prior), losses(target, size, prior)
-    return vocab, losses(target, size, prior), losses(background * scale, size, prior)
-
-
-def score(docs: DataFrame, model: tuple, id_col: str = "doc_id", text: str = "text", size: int = VOCAB) -> DataFrame:
+    counts = stored(count_bigrams(rows, vocab), "lm-bigrams")
+    zero = F.lit(0).cast("long")
+    sides = (counts.groupBy(F.col("b").alias("w")).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+             .select("w", "n", "n_target", zero.alias("c"), zero.alias("c_target"))
+             .union(counts.groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("c"), F.sum("n_target").alias("c_target"))
+                    .select("w", zero, zero, "c", "c_target")))
+    words = stored(sides.groupBy("w").agg(*[F.sum(c).alias(c) for c in ("n", "n_target", "c", "c_target")]), "lm-words")
+    every, hit, distinct = words.agg(F.sum("n"), F.sum("n_target"), F.count_if(F.col("n") > 0)).first()
+    return Model(counts, words, (float(hit or 0), float(every or 0)), size or distinct + 1, prior, vocab)
+
+
+def _losses(m: Model) -> DataFrame:
+    """(a, b, n, target, background): the parts of the bits of all that was counted; a is
+    WORD or CONTEXT in the rows of a word b (both parts) and of a context b."""
+    scale = m.totals[0] / max(1.0, m.totals[1])
+
+    def unigram(n: Column, scaled: float) -> Column:
+        return (n * F.lit(scaled) + 0.5) / (m.totals[0] + 0.5 * m.size) * m.prior
+
+    def both(part) -> list[Column]:
+        return [part("_target", 1.0).alias("target"), part("", scale).alias("background")]
+
+    word = lambda k, x: -F.log2(unigram(F.col(f"n{k}"), x))
+    context = lambda k, x: F.log2(F.col(f"c{k}") * F.lit(x) + m.prior)
+    seen = lambda k, x: -F.log2(1 + F.col(f"k{k}") * F.lit(x) / unigram(F.col(f"n{k}"), x))
+    pairs = m.counts.select("a", "b", F.col("n").alias("k"), F.col("n_target").alias("k_target")).join(
+        m.words.select(F.col("w").alias("b"), "n", "n_target"), "b")
+    return (pairs.select("a", "b", F.col("k").alias("n"), *both(seen))
+            .union(m.words.filter("n > 0").select(F.lit(WORD), "w", "n", *both(lambda k, x: word(k, x) + context(k, x))))
+            .union(m.words.select(F.lit(CONTEXT), "w", F.greatest("n", "c"), *both(context))))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", size: int | None = None) -> DataFrame:
     """(id, n_tokens, loss_target, loss_background, ce_diff) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    fields = ["loss_target", "loss_background"]
-
-    @F.arrow_udf("struct<n_tokens:bigint,loss_target:double,loss_background:double>")
-    def run(texts: pa.Array) -> pa.Array:
-        vocab, target, background = sent.value
-        n, sums = [], []
-        for t in texts.to_pylist():
-            codes = codes_of(t, vocab, size)
-            n.append(len(codes))
-            sums.append([m[codes].sum(dtype=np.float64) / max(1, len(codes)) for m in (target, background)])
-        return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), *[pa.array([s[i] for s in sums], pa.float64()) for i in range(2)]], ["n_tokens", *fields])
-
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), run.asNondeterministic()(F.col(f"`{text}`")).alias("s"))
-    return rows.select("id", "s.*").withColumn("ce_diff", F.col("loss_target") - F.col("loss_background"))
+    prepare(docs.sparkSession)
+    if size not in (None, model.size):
+        raise ValueError(f"the model's vocabulary has {model.size} words, not {size}")
+    table = _losses(model)
+    heavy = F.col("n") * HEAVY >= F.lit(model.totals[1])
+    # at most HEAVY bigrams, words and contexts each
+    top = {(bytes(r["a"]), bytes(r["b"])): (r["target"], r["background"]) for r in table.filter(heavy).collect()}
+    new = math.log2(model.prior), -math.log2(0.5 / (model.totals[0] + 0.5 * model.size) * model.prior)  # context, word
+    sent = docs.sparkSession.sparkContext.broadcast((top, model.vocab))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, vocab = sent.value
+        for batch in batches:
+            out: list[tuple] = []
+            for i, t in enumerate(batch.column(2).to_pylist()):
+                words = known(t, vocab)
+                uses = list(Counter(zip([START, *words], words)).items())
+                uses += [((WORD, w), k) for w, k in Counter(words).items()]
+                if words:  # a last word is no context, the start is one
+                    uses += [((CONTEXT, words[-1]), -1), ((CONTEXT, START), 1)]
+                target = background = 0.0
+                rest = []
+                for key, k in uses:
+                    got = top.get(key)
+                    if got is None:
+                        rest.append((i, *key, k, 0, 0.0, 0.0))
+                    else:
+                        target += k * got[0]
+                        background += k * got[1]
+                # a row of its own for what was looked up; it is joined to nothing
+                out.append((i, b"%d" % i, None, 0, len(words), target, background))
+                out += rest
+                if len(out) > 1 << 16 or i == batch.num_rows - 1:
+                    for at in range(0, len(out), 1 << 16):
+                        of, *rows = zip(*out[at:at + (1 << 16)])
+                        of = pa.array(of, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(of), batch.column(1).take(of), *[pa.array(x, y) for x, y in zip(
+                                rows, (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]], names)
+                    out = []
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
+    schema = T.StructType([*rows.schema.fields[:2], *[T.StructField(c, y) for c, y in (
+        ("a", T.BinaryType()), ("b", T.BinaryType()), ("k", T.LongType()), ("n_tokens", T.LongType()),
+        ("looked_target", T.DoubleType()), ("looked_background", T.DoubleType()))]])
+    names = schema.names
+    found = rows.mapInArrow(run, schema).join(table.filter(~heavy).drop("n"), ["a", "b"], "left")
+    lacking = F.when(F.col("a") == WORD, sum(new)).when(F.col("a") == CONTEXT, new[0]).otherwise(0.0)
+    total = found.groupBy("row", "id").agg(F.sum("n_tokens").alias("n_tokens"), *[
+        F.sum(F.col("k") * F.coalesce(c, lacking) + F.col(f"looked_{c}")).alias(c) for c in ("target", "background")])
+    loss = [(F.col(c) / F.greatest("n_tokens", F.lit(1))).alias(f"loss_{c}") for c in ("target", "background")]
+    return total.select("id", "n_tokens", *loss).withColumn("ce_diff", F.col("loss_target") - F.col("loss_background"))
 
 
 def good_ids(labels: DataFrame) -> DataFrame:

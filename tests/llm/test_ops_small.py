@@ -181,3 +181,44 @@ def test_rates_of_rare_domains(spark, rare, sharp):
     goal = now * [1, 0.5, 3]
     rate = op10.fold_rates(p, op10.fit_rates(df, goal.tolist()), 1.0, None)[0]
     assert (rate * n) @ p == pytest.approx(goal, rel=2e-4)
+
+
+def test_lm_scores_every_word(spark):
+    # 4,000 words, each as rare as the others: half of them in good documents, half in others
+    lists = [[f"w{(i * 37 + j) % 2000 + 2000 * (i % 2)}" for j in range(40)] for i in range(200)]
+    lists += [["w1", "unheard"], ["of"], []]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lists)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = op5.fit(df.filter("doc_id < 200"), op5.good_ids(labels))
+    got = {r["id"]: r for r in op5.score(df, model).collect()}
+    pairs = [list(zip(["", *x], x)) for x in lists]
+    every = Counter(p for ps in pairs[:200] for p in ps)
+    target = Counter(p for ps in pairs[1:200:2] for p in ps)
+    size = len({b for _, b in every}) + 1
+    scale = sum(target.values()) / sum(every.values())
+
+    def bits(counts, x):
+        by_word, by_context = Counter(), Counter()
+        for (a, b), n in counts.items():
+            by_word[b] += n * x
+            by_context[a] += n * x
+        total = sum(by_word.values())
+        return lambda a, b: -np.log2((counts[a, b] * x + op5.PRIOR * (by_word[b] + 0.5) / (total + 0.5 * size)) / (by_context[a] + op5.PRIOR))
+
+    models = bits(target, 1.0), bits(every, scale)
+    for i, ps in enumerate(pairs):
+        want = [sum(m(*p) for p in ps) / max(1, len(ps)) for m in models]
+        assert (got[i]["loss_target"], got[i]["loss_background"]) == pytest.approx(want, abs=1e-9)
+        assert got[i]["n_tokens"] == len(ps)
+    assert max(got[i]["ce_diff"] for i in range(1, 200, 2)) < 0 < min(got[i]["ce_diff"] for i in range(0, 200, 2))
+
+
+def test_lm_joins_what_is_not_looked_up(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"a b w{i % 7} c") for i in range(50)], "doc_id long, text string")
+    targets = df.filter("doc_id % 3 = 0").select(F.col("doc_id").alias("id"))
+    scores = []
+    for heavy in (0.01, 1 << 15):  # all joined, all looked up
+        monkeypatch.setattr(op5, "HEAVY", heavy)
+        scores.append([(r["id"], r["ce_diff"]) for r in op5.score(df, op5.fit(df, targets)).orderBy("id").collect()])
+    assert [x[0] for x in scores[0]] == list(range(50))
+    assert [x[1] for x in scores[0]] == pytest.approx([x[1] for x in scores[1]], abs=1e-12)
