@@ -78,11 +78,10 @@ def blocks_of(text: Column) -> Column:
     return run.asNondeterministic()(text)
 
 
-def _weighted(rows: DataFrame, key: list[str], idf: DataFrame, total: int) -> DataFrame:
-    """(key, term, w, norm): TF-IDF weights, terms without a frequency count as new."""
+def _weighted(rows: DataFrame, key: list[str], df: DataFrame, total: int) -> DataFrame:
+    """(key, term, w, norm): TF-IDF weights."""
     tf = rows.groupBy(*key, "term").agg(F.count("*").alias("tf"))
-    w = tf.join(idf, "term", "left").withColumn(
-        "w", F.col("tf") * (F.log(F.lit(total + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1))
+    w = tf.join(df, "term").withColumn("w", F.col("tf") * (F.log(F.lit(total + 1.0) / (F.col("df") + 1)) + 1))
     return w.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*key))))
 
 
@@ -92,14 +91,12 @@ def similarities(block_terms: DataFrame, templates: list[tuple[str, str]] | None
     known = [(f"{i:03d}", name, t) for i, (name, text) in enumerate(templates or TEMPLATES) for t in terms(text)]
     template = spark.createDataFrame(known, "template string, license string, term string")
     n = block_terms.select("row", "block").distinct().count() + len(templates or TEMPLATES)
-    wanted = template.select("term").distinct()
-    # frequencies of the templates' terms only; all other terms weigh as the rarest
     df = (block_terms.select(F.concat_ws("/", "row", "block").alias("unit"), "term")
-          .union(template.select("template", "term")).join(F.broadcast(wanted), "term", "left_semi").distinct()
+          .union(template.select("template", "term")).distinct()
           .groupBy("term").agg(F.count("*").alias("df")))
-    df = stored(df, "licence-frequencies")  # as many rows as the templates have terms
-    a = _weighted(block_terms, ["row", "block"], F.broadcast(df), n)
-    b = _weighted(template, ["template", "license"], F.broadcast(df), n).select(
+    df = stored(df, "licence-frequencies")
+    a = _weighted(block_terms, ["row", "block"], df, n)
+    b = _weighted(template, ["template", "license"], df, n).select(
         "template", "license", "term", F.col("w").alias("tw"), F.col("norm").alias("tnorm"))
     cosine = (a.join(F.broadcast(b), "term").groupBy("row", "block", "template", "license")
               .agg((F.sum(F.col("w") * F.col("tw")) / F.first(F.col("norm") * F.col("tnorm"))).alias("score")))

@@ -65,6 +65,14 @@ def test_licences(spark):
     assert op3.scan(df.filter(F.lit(False)), keep=["doc_id"]).count() == 0
 
 
+def test_licence_beside_words_of_every_header(spark):
+    head = "Copyright 2024 The Authors. All rights reserved. Licensed under the Apache License, Version 2.0."
+    texts = [head] * 2000 + ["All rights reserved. Licensed under CC BY-NC 4.0.", "All rights reserved.", "Licensed under CC BY-NC 4.0."] * 300
+    df = spark.createDataFrame([(f"d/{i}.txt", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {(r["text"], r["own_license"]) for r in op3.scan(df, keep=["text"]).select("text", "own_license").distinct().collect()}
+    assert got == {(head, "Apache-2.0"), (texts[2000], "CC-BY-NC-4.0"), (texts[2001], None), (texts[2002], "CC-BY-NC-4.0")}
+
+
 def test_lm_against_brute_force(spark):
     rng = random.Random(2)
     word = lambda good: rng.choice(["the", "cat", "sat", "on", "mat"] if good else ["the", "zz", "qq", "sat", "kk"])
