@@ -73,6 +73,22 @@ def test_licence_beside_words_of_every_header(spark):
     assert got == {(head, "Apache-2.0"), (texts[2000], "CC-BY-NC-4.0"), (texts[2001], None), (texts[2002], "CC-BY-NC-4.0")}
 
 
+def test_licence_files_and_regions(spark):
+    full = dict(op3.templates_in_use())  # the full texts come last
+    owner = lambda t: t.replace("<year>", "2021").replace("<owner>", "Jane Roe")
+    names = ["GPL-2.0", "GPL-3.0", "LGPL-2.1", "Apache-2.0", "MPL-2.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "EPL-1.0", "Unlicense"]
+    files = [(f"{x}/LICENSE", owner(full[x]), x) for x in names] + [(f"{x}/src/a.py", "code", None) for x in names]
+    wrapped = full["ISC"].split("\n\n", 1)[1].replace("\n", " ").split(" ")
+    lines = [" ".join(wrapped[i:i + 9]) for i in range(0, len(wrapped), 9)]
+    code = "int main() { return 0; }\n" * 30
+    files += [("c/a.c", "/*\n" + "\n".join(lines) + "\n*/\n" + code, "ISC"), ("c/b.py", "".join(f"# {x}\n" for x in lines) + "\n" + code, "ISC"),
+              ("c/c.txt", "\n".join(lines) + "\n\n" + code, "ISC"), ("c/d.txt", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\n" + code, "GPL-2.0")]
+    df = spark.createDataFrame([(p, t) for p, t, _ in files], "path string, text string")
+    got = {r["path"]: r for r in op3.scan(df).collect()}
+    assert {p: got[p]["own_license"] for p, _, _ in files} == {p: x for p, _, x in files}
+    assert {x: got[f"{x}/src/a.py"]["license"] for x in names} == {x: x for x in names}
+
+
 def test_lm_against_brute_force(spark):
     rng = random.Random(2)
     word = lambda good: rng.choice(["the", "cat", "sat", "on", "mat"] if good else ["the", "zz", "qq", "sat", "kk"])
