@@ -66,8 +66,10 @@ def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
 
     def encode(texts: list[str | None]) -> list[bytes]:
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
-        # the tokenizer ignores case, but for its special tokens
-        words = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        # the tokenizer ignores case, but for its special tokens; beyond ASCII it composes letters
+        # before it lowers them, and some compose in one case only
+        words = [r.split() if b"<|" in r else r.lower().split() if r.isascii()
+                 else [w.lower() if w.isascii() else w for w in r.split()] for r in raw]
         new = {w for ws in words for w in ws}.difference(cache)
         if len(cache) + len(new) > CACHE:
             cache.clear()

@@ -75,3 +75,13 @@ def test_token_files_round_trip(spark):
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
     assert op6.round_trip(df.filter(F.lit(False)), WORDS, 2).count() == 0
+
+
+def test_capitals_composed_in_lower_case_only():
+    texts = [c + mark + rest for c in "HTJWYA" for mark in "\u0331\u0308\u030c\u030a" for rest in ("", "aram.", "ARAM, x")]
+    texts += ["Plain H\u0331aram AND T\u0308o, J\u030cO."]
+    encode, dtype = op6.encoder(WORDS)
+    library = Tokenizer.from_file(WORDS)
+    got = [np.frombuffer(x, dtype).tolist() for x in encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[texts.index("H\u0331aram.")][:4] == [327, 136, 365, 21473]
