@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm import op1_warc as op1
 from fraudmart.llm import op10_mixing as op10
+from fraudmart.llm import op11_merkle_manifest as op11
 from fraudmart.llm import op2_secret_scan as op2
 from fraudmart.llm import op3_license_scan as op3
 from fraudmart.llm import op4_simhash_near_dup as op4
@@ -104,9 +105,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rate", op10.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    fields = [F.when(hit, op11.lower_ascii(F.col("text"))).otherwise(F.col("text")) if c == "text" else F.col(c)
+              for c in docs.columns]
+    made = op11.build(docs, docs.columns, "lang", "doc_id", keep=["doc_id"],
+                      carry={"now": F.when(hit, op11.digest(op11.framed(*fields)))})
+    proof = op11.digest(op11.joined(F.col("path"))).alias("proof_sha256")
+    back = op11.folded(F.coalesce("now", "leaf"), F.col("path")).alias("folded_root")
+    return made.select("doc_id", "leaf", "subroot", "root", proof, back).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scan, op3_license_scan, op4_simhash_near_dup, op5_lm_scoring, op6_token_binary,
-    op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing)}
+    op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing, op11_merkle_manifest)}
 ORACLES: dict[str, str] = {"op1_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
      m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS first FROM p)
@@ -114,3 +128,66 @@ SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
        CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to, 'ok' AS status
 FROM m"""}
+
+#: CRC-32 of each half byte (fixed values of the reflected polynomial 0xEDB88320).
+_NIBBLES = [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+            3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string expression in DuckDB, half byte by half byte."""
+    step = f"xor(c >> 4, {_NIBBLES}[CAST(xor(c & 15, b) AS INTEGER) + 1])"
+    halves = f"list_transform(range(2 * length({text})), lambda i: (ascii({text}[i // 2 + 1]) >> CAST(4 * (i % 2) AS INTEGER)) & 15)"
+    return f"xor(list_reduce({halves}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+def _framed_sql(*fields: str) -> str:
+    one = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+    return "sha256(" + " || ".join(one(c) for c in fields) + ")"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE
+d AS (SELECT *, coalesce({crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0, false) AS hit FROM documents),
+h AS (SELECT doc_id, lang, {_framed_sql("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+      CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS low,
+      source, n_chars FROM d),
+leaves AS (SELECT doc_id, lang, leaf, {_framed_sql("doc_id", "source", "lang", "n_chars", "low")} AS now,
+      row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+      count(*) OVER (PARTITION BY lang) AS n FROM h),
+up AS (SELECT 0 AS lv, lang, pos, n, leaf AS hash FROM leaves
+      UNION ALL
+      SELECT lv + 1, lang, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+      FROM up WHERE n > 1 GROUP BY lv, lang, pos // 8),
+subs AS (SELECT lang, hash, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+      FROM up WHERE n = 1),
+top AS (SELECT 0 AS lv, pos, n, hash FROM subs
+      UNION ALL
+      SELECT lv + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+      FROM top WHERE n > 1 GROUP BY lv, pos // 8),
+steps AS (SELECT l.lang, l.pos, u.lv,
+        coalesce(string_agg(u.hash, '' ORDER BY u.pos) FILTER (u.pos < l.pos // CAST(pow(8, u.lv) AS BIGINT)), '') AS lt,
+        coalesce(string_agg(u.hash, '' ORDER BY u.pos) FILTER (u.pos > l.pos // CAST(pow(8, u.lv) AS BIGINT)), '') AS rt
+      FROM leaves l JOIN up u ON u.lang IS NOT DISTINCT FROM l.lang AND u.n > 1
+        AND u.pos // 8 = l.pos // CAST(pow(8, u.lv + 1) AS BIGINT)
+      GROUP BY l.lang, l.pos, u.lv
+      UNION ALL
+      SELECT l.lang, l.pos, t.lv + 100,
+        coalesce(string_agg(t.hash, '' ORDER BY t.pos) FILTER (t.pos < s.pos // CAST(pow(8, t.lv) AS BIGINT)), ''),
+        coalesce(string_agg(t.hash, '' ORDER BY t.pos) FILTER (t.pos > s.pos // CAST(pow(8, t.lv) AS BIGINT)), '')
+      FROM leaves l JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang
+        JOIN top t ON t.n > 1 AND t.pos // 8 = s.pos // CAST(pow(8, t.lv + 1) AS BIGINT)
+      GROUP BY l.lang, l.pos, t.lv),
+path AS (SELECT *, row_number() OVER (PARTITION BY lang, pos ORDER BY lv) AS k FROM steps),
+fold AS (SELECT lang, pos, 0 AS k, now AS hash FROM leaves
+      UNION ALL
+      SELECT f.lang, f.pos, f.k + 1, sha256(p.lt || f.hash || p.rt)
+      FROM fold f JOIN path p ON p.lang IS NOT DISTINCT FROM f.lang AND p.pos = f.pos AND p.k = f.k + 1),
+proof AS (SELECT lang, pos, string_agg(lt || rt, '' ORDER BY k) AS p FROM path GROUP BY lang, pos),
+last AS (SELECT lang, pos, arg_max(hash, k) AS hash FROM fold GROUP BY lang, pos)
+SELECT l.doc_id, l.leaf, s.hash AS subroot, r.hash AS root, sha256(coalesce(p.p, '')) AS proof_sha256,
+       f.hash AS folded_root, f.hash = r.hash AS verified
+FROM leaves l JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang
+CROSS JOIN (SELECT hash FROM top WHERE n = 1) r
+LEFT JOIN proof p ON p.lang IS NOT DISTINCT FROM l.lang AND p.pos = l.pos
+JOIN last f ON f.lang IS NOT DISTINCT FROM l.lang AND f.pos = l.pos"""
