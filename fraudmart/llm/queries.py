@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fraudmart.llm import op1_warc as op1
 from fraudmart.llm import op10_mixing as op10
 from fraudmart.llm import op11_merkle_manifest as op11
+from fraudmart.llm import op12_token_alignment as op12
 from fraudmart.llm import op2_secret_scan as op2
 from fraudmart.llm import op3_license_scan as op3
 from fraudmart.llm import op4_simhash_near_dup as op4
@@ -21,6 +22,7 @@ from fraudmart.llm.common import prepare, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,9 +120,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op12.align(table(spark, sf_dir, "documents").select("doc_id", "text"), (BYTES, PIECES))
+    return op12.score(rows, op12.piece_model(PIECES).size).drop("groups")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scan, op3_license_scan, op4_simhash_near_dup, op5_lm_scoring, op6_token_binary,
-    op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing, op11_merkle_manifest)}
+    op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing, op11_merkle_manifest,
+    op12_token_alignment)}
 ORACLES: dict[str, str] = {"op1_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
      m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS first FROM p)
