@@ -10,6 +10,7 @@ from fraudmart.llm import op1_warc as op1
 from fraudmart.llm import op10_mixing as op10
 from fraudmart.llm import op11_merkle_manifest as op11
 from fraudmart.llm import op12_token_alignment as op12
+from fraudmart.llm import op13_toxicity as op13
 from fraudmart.llm import op2_secret_scan as op2
 from fraudmart.llm import op3_license_scan as op3
 from fraudmart.llm import op4_simhash_near_dup as op4
@@ -125,10 +126,16 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.score(rows, op12.piece_model(PIECES).size).drop("groups")
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    network = op13.fit(docs, labels.filter(~op13.held_out()), label="toxic")
+    return op13.score(docs, network).select("doc_id", op13.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_secret_scan, op3_license_scan, op4_simhash_near_dup, op5_lm_scoring, op6_token_binary,
     op7_collision_ann, op8_quality_rules, op9_sentencepiece, op10_mixing, op11_merkle_manifest,
-    op12_token_alignment)}
+    op12_token_alignment, op13_toxicity)}
 ORACLES: dict[str, str] = {"op1_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
      m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS first FROM p)
