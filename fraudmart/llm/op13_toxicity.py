@@ -45,7 +45,7 @@ WIDTH, STRIDE = 32, 16  # words of a window, and from one window to the next
 WORD_SIZE, GRAM_SIZE, HEAD_SIZE, STATE, ATTENTION = 8, 8, 8, 12, 8
 STEPS, TEXTS = 320, 48  # training steps, and texts of one
 DROP, DECAY = 0.3, 0.1  # share of words that lose an input in training, and decay of all parameters
-POOL, WINDOWS = 1 << 17, 1 << 11  # words of a pool, and windows that are run at once
+POOL, WINDOWS = 1 << 17, 1 << 10  # words of a pool, and windows that are run at once
 PIECE = 1 << 20  # characters read at once
 THRESHOLD = 0.3
 
@@ -136,12 +136,15 @@ class Network:
         x = np.concatenate([self.p["word"][place], total / count[:, None].astype(total.dtype), heads], 1)
         return x, place, gram, count, head
 
+    def gates(self, x: np.ndarray) -> list[np.ndarray]:
+        """What the inputs give to the gates of either direction."""
+        return [np.ascontiguousarray(g) for g in np.split(x @ self.p["in"] + self.p["in_b"], 2, axis=1)]
+
     # ------------------------------------------------------------ passes
-    def _layer(self, gates: np.ndarray, at: np.ndarray, mask: np.ndarray, k: int, keep: list | None) -> np.ndarray:
-        """States of one direction, time first. ``at``: rows of ``gates`` by time and window."""
+    def _layer(self, own: np.ndarray, at: np.ndarray, mask: np.ndarray, k: int, keep: list | None) -> np.ndarray:
+        """States of one direction, time first. ``at``: rows of its gates by time and window."""
         h, u, bias = STATE, self.p[f"u{k}"], self.p[f"n{k}"]
-        own = np.ascontiguousarray(gates[:, 3 * h * k:3 * h * (k + 1)])
-        state, out = np.zeros((at.shape[1], h), gates.dtype), np.empty((*at.shape, h), gates.dtype)
+        state, out = np.zeros((at.shape[1], h), own.dtype), np.empty((*at.shape, h), own.dtype)
         for t in range(len(at)) if k == 0 else range(len(at) - 1, -1, -1):
             g, a = own[at[t]], state @ u
             zr = 1 / (1 + np.exp(-(g[:, :2 * h] + a[:, :2 * h])))
@@ -154,10 +157,10 @@ class Network:
             out[t] = new
         return out
 
-    def logits(self, gates: np.ndarray, at: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
+    def logits(self, gates: list[np.ndarray], at: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """Of windows: ``at`` has their words' rows in ``gates``, by time and window."""
         kept = ([], []) if keep is not None else (None, None)
-        states = np.concatenate([self._layer(gates, at, mask, k, kept[k]) for k in (0, 1)], 2)
+        states = np.concatenate([self._layer(gates[k], at, mask, k, kept[k]) for k in (0, 1)], 2)
         hidden = np.tanh(states @ self.p["att"] + self.p["att_b"])
         e = np.where(mask > 0, hidden @ self.p["att_v"], np.float32(-1e4))
         w = np.exp(e - e.max(0)) * mask
@@ -172,7 +175,7 @@ class Network:
         """Gradients of a loss whose derivative by the windows' logits is ``slope(logits)``."""
         x, place, gram, count, head = self.inputs(words, drop)
         keep: dict = {}
-        z = self.logits(x @ self.p["in"] + self.p["in_b"], at, mask, keep)
+        z = self.logits(self.gates(x), at, mask, keep)
         dz = slope(z).astype(x.dtype)
         states, hidden, w = keep["states"], keep["hidden"], keep["w"]
         g = {"out": keep["pooled"].T @ dz, "out_b": dz.sum(keepdims=True)}
@@ -244,7 +247,7 @@ class Network:
                 return np.clip(share[of], -50, 1) * p / len(own)
 
             g, _ = self.gradients(words, at, mask, slope, rng)
-            size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
+            size = float(np.sqrt(sum(float((v * v).sum()) for v in g.values())))  # a numpy scalar would widen all
             lr = rate * min(1.0, (step + 1) / 20) * (1 - step / steps) ** 0.5
             for k, v in g.items():
                 v = v * min(1.0, 1.0 / max(size, 1e-9))
@@ -264,7 +267,7 @@ class Network:
 
         def flush() -> None:
             words, at, mask, of = pool.taken()
-            gates = self.inputs(words)[0] @ self.p["in"] + self.p["in_b"]
+            gates = self.gates(self.inputs(words)[0])
             for k in range(0, len(of), WINDOWS):
                 own = slice(k, k + WINDOWS)
                 np.maximum.at(best, of[own], self.logits(gates, at[:, own], mask[:, own]))

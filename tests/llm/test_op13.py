@@ -22,7 +22,7 @@ def test_gradients_match_differences():
     weight = np.linspace(0.5, 1.5, len(of))
 
     def loss():
-        return float((weight * net.logits(net.inputs(words)[0] @ net.p["in"] + net.p["in_b"], at, mask)).sum())
+        return float((weight * net.logits(net.gates(net.inputs(words)[0]), at, mask)).sum())
 
     g, _ = net.gradients(words, at, mask, lambda z: weight)
     assert set(g) == set(net.p)
@@ -40,6 +40,11 @@ def test_gradients_match_differences():
             assert grad[k] == pytest.approx((up - down) / (2 * step), rel=1e-4, abs=1e-7), name
 
 
+def test_training_stays_narrow():
+    net = op13.Network([b"vile"]).fit([[b"vile"], [b"good"]] * 20, np.array([1, 0] * 20), steps=3)
+    assert {v.dtype for v in net.p.values()} == {np.dtype(np.float32)}
+
+
 def test_windows_cover_all_words():
     for n in (0, 1, 31, 32, 33, 48, 49, 200):
         starts = op13.window_starts(n)
@@ -64,7 +69,7 @@ def test_pieces_and_pools_change_nothing(monkeypatch):
     monkeypatch.setattr(op13, "POOL", 40)
     monkeypatch.setattr(op13, "WINDOWS", 3)
     assert net.scores(texts) == pytest.approx(whole, abs=1e-5)
-    assert net.scores([t]) [0] == pytest.approx(whole[3], abs=1e-5) if (t := texts[3]) else False
+    assert net.scores([texts[3]])[0] == pytest.approx(whole[3], abs=1e-5)
     assert whole[6] == whole[7] == pytest.approx(whole[0]) == pytest.approx(whole[8])
     assert "".join(op13.pieces("ab cd ef", 3)) == "ab cd ef"
 
