@@ -1,24 +1,28 @@
-"""Skew-safe ``LAG``.
-
-``F.lag(c, k).over(Window.partitionBy(card).orderBy(ts, id))`` sorts every row
-of a card inside one task. One card may hold a third of all rows, so the rules
-use this exact equivalent instead:
-
-1. cut each card into time buckets and run the plain window per
-   ``(card, bucket)``; rows deeper than ``k`` inside their bucket already have
-   the right value;
-2. keep the last ``K`` rows (``K`` = largest offset) of every bucket as a small
-   "tail" (one aggregate, no extra shuffle: the data is already partitioned by
-   ``(card, bucket)``);
-3. per card, over the bucket summaries only (one row per non-empty bucket),
-   gather the tails of the ``K`` previous non-empty buckets: together they hold
-   the ``K`` rows that precede the bucket;
-4. join those back on ``(card, bucket)`` and fill the first ``k`` rows of each
-   bucket from them.
-
-The big side is shuffled once; steps 3-4 move one small row per bucket.
-Bucketing only needs to be non-decreasing in the sort order, which holds
-because it is taken from the leading order column.
+"""``LAG`` and running aggregates per card, safe where one card holds a third of all rows.
+
+Two exact forms, by what the caller needs:
+
+* ``lag_within``: the value is used only if the row that it comes from lies less than
+  a limit back (the rules of the written requirements). Each row goes to its own time
+  bucket and, near the bucket's end, to the next one too (range replication); one
+  window per (card, bucket) then sees every row that can count. One exchange, no join.
+* ``lag_columns`` / ``running_columns``: no limit. Cards with more than ``hot_rows``
+  rows are found first (a pre-aggregated count a card); the others take the plain
+  window, the hot ones the split form below. Without hot cards the plan is the plain
+  window alone.
+
+Split form of the hot cards:
+
+1. cut each card into time buckets and run the plain window per ``(card, bucket)``;
+   rows deeper than ``k`` inside their bucket already have the right value;
+2. keep the last ``K`` rows (``K`` = largest offset) of every bucket as a small "tail";
+3. per card, over the bucket summaries only (one row per non-empty bucket), gather the
+   tails of the ``K`` previous non-empty buckets: together they hold the ``K`` rows that
+   precede the bucket;
+4. join those back on ``(card, bucket)`` and fill the first ``k`` rows of each bucket.
+
+Buckets only need to be non-decreasing in the sort order, which holds because they are
+taken from the leading order column.
 """
 
 from __future__ import annotations
@@ -30,41 +34,93 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NULL_BUCKET = -(2 ** 62)  # NULL timestamps sort first, so their bucket does too
+HOT_ROWS = 2_000_000  # rows of one card that a task sorts without trouble
+HOT_KEYS = 4096  # cards that take the split form, at most: the hottest ones
+_WIDTH = 4  # bucket width of ``lag_within`` in limits: a quarter of the rows is sent twice
 
 
-def time_bucket(df: DataFrame, col: str, seconds: int) -> F.Column:
-    """A bucket number that never decreases along ``col``'s sort order.
+def wall_seconds(df: DataFrame, col: str) -> F.Column:
+    """Whole seconds that never decrease along ``col``'s sort order (NULL for NULL).
 
     ``timestamp_ntz`` is bucketed on its wall clock (no time-zone conversion,
     which would not be monotone across a daylight-saving change), ``timestamp``
-    on its instant, ``date`` on its day number. NULL gets the lowest bucket.
+    on its instant, ``date`` on its day number.
     """
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.TimestampNTZType):
         days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
-        secs = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
-    elif isinstance(dtype, T.DateType):
-        secs = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
-    else:
-        secs = F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000))
-    return F.coalesce(F.floor(secs / F.lit(seconds)), F.lit(_NULL_BUCKET))
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
+    if isinstance(dtype, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000))
+
+
+def time_bucket(df: DataFrame, col: str, seconds: int) -> F.Column:
+    """A bucket number that never decreases along ``col``'s sort order (NULL: the lowest)."""
+    return F.coalesce(F.floor(wall_seconds(df, col) / F.lit(seconds)), F.lit(_NULL_BUCKET))
+
+
+def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int) -> list[int]:
+    """Hashes of the keys with more than ``hot_rows`` rows (the ``HOT_KEYS`` hottest).
+
+    One pass over the key columns, aggregated before its shuffle; the driver receives
+    the hot keys only. Equal hashes of two keys do no harm: either form is exact."""
+    counts = df.groupBy(F.xxhash64(*by).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS)
+    return [r["_h"] for r in found.collect()]
+
+
+def _by_heat(df: DataFrame, by: list[str], hot_rows: int, plain, split) -> DataFrame:
+    hot = hot_keys(df, by, hot_rows)
+    if not hot:
+        return plain(df)
+    is_hot = F.xxhash64(*by).isin(hot)
+    return plain(df.where(~is_hot)).unionByName(split(df.where(is_hot)))
 
 
-def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                lags: dict[str, tuple[str, int]], bucket_seconds: int | None = 3600) -> DataFrame:
+def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], lags: dict[str, tuple[str, int]],
+               limit_seconds: int, width: int | None = None) -> DataFrame:
+    """Rows with a time, with ``out = LAG(col, k)`` per key wherever the ``k``-th row
+    before lies less than ``limit_seconds`` back; elsewhere that value or NULL.
+
+    A row less than the limit back is in the same bucket of ``width`` seconds (the
+    limit, or more) or in the last ``limit_seconds`` of the one before, and then so are
+    all rows between the two."""
+    by, order = list(by), list(order)
+    width = max(limit_seconds, width or _WIDTH * limit_seconds)
+    at = wall_seconds(df, order[0])
+    own = F.floor(at / F.lit(width))
+    near_end = at >= (own + 1) * width - limit_seconds
+    x = df.where(F.col(order[0]).isNotNull()).select("*", own.alias("_own"), F.explode(
+        F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))).alias("_b"))
+    w = Window.partitionBy(*by, "_b").orderBy(*order)
+    x = x.select("*", *[F.lag(c, k).over(w).alias(o) for o, (c, k) in lags.items()])
+    return x.where(F.col("_b") == F.col("_own")).select(*df.columns, *lags)
+
+
+def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str], lags: dict[str, tuple[str, int]],
+                bucket_seconds: int | None = 3600, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``out = LAG(col, k) OVER (PARTITION BY by ORDER BY order)`` for each
     ``out -> (col, k)`` in ``lags``.
 
-    ``bucket_seconds=None`` gives the plain single-window form (one task per
-    partition key); any positive value gives the split form, with identical
-    results. ``order[0]`` must be a timestamp or date column.
+    ``bucket_seconds=None`` gives the plain single-window form for all keys; else keys
+    with more than ``hot_rows`` rows take the split form in buckets of so many seconds,
+    with identical results. ``order[0]`` must be a timestamp or date column.
     """
     by, order = list(by), list(order)
+    plain = lambda x: _plain_lag(x, by, order, lags)
     if not bucket_seconds:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.select("*", *[F.lag(c, k).over(w).alias(o) for o, (c, k) in lags.items()])
+        return plain(df)
+    return _by_heat(df, by, hot_rows, plain, lambda x: _split_lag(x, by, order, lags, bucket_seconds))
+
+
+def _plain_lag(df, by, order, lags):
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.select("*", *[F.lag(c, k).over(w).alias(o) for o, (c, k) in lags.items()])
 
+
+def _split_lag(df, by, order, lags, bucket_seconds):
     depth = max(k for _, k in lags.values())
     bucket = time_bucket(df, order[0], bucket_seconds)
     # The partition columns travel inside one non-NULL struct key: NULL card
@@ -103,20 +159,29 @@ _RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def running_columns(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                    aggs: dict[str, tuple[str, F.Column]], bucket_seconds: int | None = 3600) -> DataFrame:
+                    aggs: dict[str, tuple[str, F.Column]], bucket_seconds: int | None = 3600,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add running aggregates ``out = fn(expr) OVER (PARTITION BY by ORDER BY
     order ROWS UNBOUNDED PRECEDING)`` for ``out -> (fn, expr)``, fn in
     sum / max / min (associative, so the split form is exact).
 
-    Split form: the running value inside each ``(key, time bucket)`` plus the
+    Split form (hot keys): the running value inside each ``(key, time bucket)`` plus the
     aggregate of all earlier buckets of the key, taken from a window over the
     per-bucket totals (one small row per bucket) — no key sorted in one task.
     """
     by, order = list(by), list(order)
+    plain = lambda x: _plain_running(x, by, order, aggs)
     if not bucket_seconds:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[_RUNNING[fn](e).over(w).alias(o) for o, (fn, e) in aggs.items()])
+        return plain(df)
+    return _by_heat(df, by, hot_rows, plain, lambda x: _split_running(x, by, order, aggs, bucket_seconds))
+
+
+def _plain_running(df, by, order, aggs):
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("*", *[_RUNNING[fn](e).over(w).alias(o) for o, (fn, e) in aggs.items()])
+
 
+def _split_running(df, by, order, aggs, bucket_seconds):
     bucket = time_bucket(df, order[0], bucket_seconds)
     inputs = {f"_in_{o}": e for o, (_, e) in aggs.items()}
     x = df.select(F.struct(*by).alias("_key"), bucket.alias("_b"),

@@ -32,7 +32,7 @@ from fraudmart.operators.enrich import (
     with_client,
     blacklisted,
 )
-from fraudmart.operators.lag import lag_columns, running_columns
+from fraudmart.operators.lag import HOT_ROWS, hot_keys, lag_columns, lag_within, running_columns
 
 ORDER = ["trans_date", "trans_id"]  # trans_id breaks timestamp ties deterministically
 CITY_LIMIT_S = 3600
@@ -93,8 +93,7 @@ def _history(fact: DataFrame, batch: Batch | None, mode: str, limit_s: int | Non
              cols: list[str]) -> DataFrame:
     """The part of the fact a window rule must see for this batch."""
     # NULL cards form their own LAG partition and never pass the inner card
-    # join, so they are dropped up front; this also keeps the filter Spark would
-    # infer from that join identical in both branches of the split LAG.
+    # join, so they are dropped up front.
     src = fact.select(*cols, *([c for c in ("trans_dt",) if c in fact.columns]))
     src = src.where(F.col("card_num").isNotNull())
     if batch is None:
@@ -127,9 +126,17 @@ def _after_window_batch(df: DataFrame, batch: Batch | None, mode: str) -> DataFr
     return range_filter(df, batch.start, batch.end, part=None)
 
 
+def _lagged(src: DataFrame, lags: dict, limit_s: int | None, bucket_s: int | None, hot_rows: int) -> DataFrame:
+    """``LAG`` per card: by range replication where a limit bounds how far back a value
+    counts, else over all history; ``bucket_s=None`` is the plain window in any case."""
+    if bucket_s and limit_s is not None:
+        return lag_within(src, ["card_num"], ORDER, lags, limit_s)
+    return lag_columns(src, ["card_num"], ORDER, lags, bucket_s, hot_rows)
+
+
 def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
               limit_s: int = CITY_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S,
-              chain: bool = True) -> DataFrame:
+              chain: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Consecutive operations of a card in different cities within ``limit_s``.
 
     Transactions at terminals missing from the dimension drop out *before* the
@@ -139,12 +146,8 @@ def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCU
     limit = limit_s if mode == DOCUMENTED else None
     src = _history(fact, batch, mode, limit, ["trans_id", "trans_date", "card_num", "terminal"])
     terminals = dims.terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
-    # The terminal id is not needed past this join; dropping it keeps both
-    # branches of the split LAG on the same columns (one shared row shuffle).
     src = src.join(terminals, "terminal", "inner").drop("terminal")
-    lagged = lag_columns(src, ["card_num"], ORDER,
-                         {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)},
-                         bucket_s)
+    lagged = _lagged(src, {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)}, limit, bucket_s, hot_rows)
     moved = lagged.where((F.col("terminal_city") != F.col("lag_city"))
                          & within_interval("trans_date", "lag_trans_date", limit))
     found = _after_window_batch(moved, batch, mode)
@@ -172,7 +175,7 @@ def amount_pattern(limit_s: int | None) -> F.Column:
 
 def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
                 limit_s: int = AMOUNT_LIMIT_S, bucket_s: int | None = DEFAULT_BUCKET_S,
-                chain: bool = True) -> DataFrame:
+                chain: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Amount guessing; the reported event is the SUCCESS closing the pattern.
     ``chain=False`` returns the matches before the client chain join."""
     _check_mode(mode)
@@ -183,12 +186,11 @@ def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DO
         # staging has a row, so all history is scanned and re-reported.
         src = fact.select(*cols).where(F.col("card_num").isNotNull())
         if batch is not None and batch.staged is not None:
-            # "staging is not empty" is one constant for all rows: applied to
-            # the input (both branches of the split LAG see the same plan).
+            # "staging is not empty" is one constant for all rows
             src = src.where(batch.staged.exists())
     else:
         src = _history(fact, batch, mode, limit, cols)
-    lagged = lag_columns(src, ["card_num"], ORDER, AMOUNT_LAGS, bucket_s)
+    lagged = _lagged(src, AMOUNT_LAGS, limit, bucket_s, hot_rows)
     found = lagged.where(amount_pattern(limit))
     if mode == OBSERVED:
         found = found.where(F.col("trans_date").isNotNull())
@@ -216,7 +218,8 @@ def hits_passport_any(fact: DataFrame, dims: Dims, batch: Batch | None,
                    .drop("_blocked"))
 
 
-def amount_chains(fact: DataFrame, min_len: int = 4, bucket_s: int | None = DEFAULT_BUCKET_S) -> DataFrame:
+def amount_chains(fact: DataFrame, min_len: int = 4, bucket_s: int | None = DEFAULT_BUCKET_S,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Length of every falling-amount chain closed by a SUCCESS ("more than 3
     operations" of the requirements), by gaps and islands.
 
@@ -224,18 +227,26 @@ def amount_chains(fact: DataFrame, min_len: int = 4, bucket_s: int | None = DEFA
     with a larger amount; a chain therefore never passes a SUCCESS. For each
     SUCCESS with ``chain_len >= min_len``: trans_id, card_num, event_dt,
     chain_len, chain_start_dt. The last four rows of such a chain are exactly
-    what the amount rule matches. Positions and the last chain start are
-    running aggregates in split form (skew-safe, exact).
+    what the amount rule matches. All three window steps share one exchange and one
+    sort by card; only cards with more than ``hot_rows`` rows take the split forms.
     """
     src = fact.select("trans_id", "trans_date", "card_num", "amt", "oper_result").where(
         F.col("card_num").isNotNull())
+    hot = hot_keys(src, ["card_num"], hot_rows) if bucket_s else []
+    if not hot:
+        return _chains(src, min_len, None)
+    is_hot = F.xxhash64("card_num").isin(hot)
+    return _chains(src.where(~is_hot), min_len, None).unionByName(_chains(src.where(is_hot), min_len, bucket_s))
+
+
+def _chains(src: DataFrame, min_len: int, bucket_s: int | None) -> DataFrame:
     lagged = lag_columns(src, ["card_num"], ORDER,
-                         {"_p_res": ("oper_result", 1), "_p_amt": ("amt", 1)}, bucket_s)
+                         {"_p_res": ("oper_result", 1), "_p_amt": ("amt", 1)}, bucket_s, hot_rows=0)
     cont = F.coalesce((F.col("_p_res") == "REJECT") & (F.col("_p_amt") > F.col("amt")), F.lit(False))
     flagged = lagged.withColumn("_cont", cont)
-    pos = running_columns(flagged, ["card_num"], ORDER, {"_pos": ("sum", F.lit(1))}, bucket_s)
+    pos = running_columns(flagged, ["card_num"], ORDER, {"_pos": ("sum", F.lit(1))}, bucket_s, hot_rows=0)
     start = F.when(~F.col("_cont"), F.struct(F.col("_pos").alias("pos"), F.col("trans_date").alias("ts")))
-    started = running_columns(pos, ["card_num"], ORDER, {"_start": ("max", start)}, bucket_s)
+    started = running_columns(pos, ["card_num"], ORDER, {"_start": ("max", start)}, bucket_s, hot_rows=0)
     chain_len = F.col("_pos") - F.col("_start.pos") + 1
     return (started.where((F.col("oper_result") == "SUCCESS") & F.col("_cont") & (chain_len >= min_len))
                    .select("trans_id", "card_num", F.col("trans_date").alias("event_dt"),

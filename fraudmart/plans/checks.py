@@ -391,8 +391,7 @@ def _city_lagged(spark, sf):
 
 
 def _amount_lagged(spark, sf, names=tuple(R.AMOUNT_LAGS)):
-    """The amount rule's lags; a check asking for some of them computes only
-    those (its columns then match in both branches of the split LAG)."""
+    """The amount rule's lags; a check asking for some of them computes only those."""
     lags = {n: R.AMOUNT_LAGS[n] for n in names}
     cols = ["trans_id", "trans_date", "card_num"] + sorted(
         {c for c, _ in lags.values()} - {"trans_id", "trans_date", "card_num"})
@@ -435,15 +434,15 @@ def lag_results(spark, sf):
     f"SELECT trans_id, trans_date, card_num, amt FROM lag_amt_w WHERE {Q.AMOUNT_PATTERN} "
     f"AND prev_date IS NOT NULL AND EXISTS (SELECT 1 FROM ev WHERE {CITY_SQL})"))
 def cte_lag(spark, sf):
-    """The CTE composition of rule 5 in Spark SQL, over the split-LAG frame."""
-    _amount_lagged(spark, sf).createOrReplaceTempView("fm_amount_lagged")
-    A.city_batch(spark, sf, staged=True).staged.createOrReplaceTempView("fm_stg_transactions")
+    """Rule 5 over all history as Spark SQL: guessing patterns, kept if anything is staged."""
+    _amount_lagged(spark, sf).createOrReplaceTempView("fm_card_steps")
+    A.city_batch(spark, sf, staged=True).staged.createOrReplaceTempView("fm_staged_times")
     return spark.sql(f"""
-        WITH tt4 AS (SELECT * FROM fm_amount_lagged),
-             current_dt AS (SELECT transaction_date FROM fm_stg_transactions)
-        SELECT trans_id, trans_date, card_num, amt FROM tt4
-        WHERE {Q.AMOUNT_PATTERN} AND prev_date IS NOT NULL
-          AND EXISTS (SELECT 1 FROM current_dt)""")
+        WITH guessed AS (
+            SELECT trans_id, trans_date, card_num, amt FROM fm_card_steps
+            WHERE prev_date IS NOT NULL AND {Q.AMOUNT_PATTERN}),
+        batch AS (SELECT count(*) AS n FROM fm_staged_times)
+        SELECT guessed.* FROM guessed WHERE (SELECT n FROM batch) > 0""")
 
 
 # ============================================================ projections etc.

@@ -1,5 +1,5 @@
-"""Plan shape: pruning reaches the scan, lags share one window, the split LAG
-shuffles the rows once."""
+"""Plan shape: pruning reaches the scan, lags share one window, the split LAG of hot
+cards shuffles their rows once."""
 
 import datetime as dt
 import os
@@ -44,12 +44,13 @@ def test_amount_lags_share_one_window(spark):
 
 
 def test_split_window_rules_reuse_row_shuffle(spark):
-    """Both branches of the split LAG read one shuffle of the rows."""
+    """Both branches of the split LAG of hot cards read one shuffle of the rows."""
+    from fraudmart.operators.enrich import OBSERVED
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         f = micro.fact(spark, micro.CITY_ROWS + micro.AMOUNT_ROWS)
-        for hits in (R.hits_amount(f, micro.dims(spark), None),
-                     R.hits_city(f, micro.dims(spark), Batch.day(dt.date(2021, 3, 1)))):
+        for hits in (R.hits_amount(f, micro.dims(spark), None, OBSERVED, hot_rows=0),
+                     R.hits_city(f, micro.dims(spark), None, OBSERVED, hot_rows=0)):
             assert re.search(r"ReusedExchange \[_key", _plan(hits))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
