@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--incoming", required=True, help="folder with the daily files")
     ap.add_argument("--seed", help="INSERT dump with the bank's cards, accounts and clients")
     ap.add_argument("--mode", choices=[DOCUMENTED, OBSERVED], default=DOCUMENTED)
+    ap.add_argument("--archive", help="folder that loaded files are moved to, as <name>.backup")
     ap.add_argument("--fact-buckets", action="store_true",
                     help="keep the fact bucketed by trans_id (bucket count = shuffle partitions)")
     args = ap.parse_args(argv)
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> dict:
     out: dict = {}
     if args.seed:
         out["dimensions"] = bootstrap_dims(spark, wh, args.seed, args.mode)
-    out["days"] = [d.isoformat() for d in run_pending(spark, wh, args.incoming, args.mode)]
+    out["days"] = [d.isoformat() for d in run_pending(spark, wh, args.incoming, args.mode, archive=args.archive)]
     print(json.dumps(out))
     return out
 

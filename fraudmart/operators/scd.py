@@ -1,21 +1,22 @@
 """Dimension maintenance the written requirements ask for.
 
 * ``scd1_upsert``: current-state dimension with ``create_dt`` / ``update_dt``;
-* ``scd2_step``: history table (``effective_from``, ``effective_to``,
-  ``deleted_flg``) advanced by one full snapshot;
+* ``scd2_insert``: one full snapshot put into a history table (``effective_from``,
+  ``effective_to``, ``deleted_flg``) at its day, in whatever order snapshots come;
+  ``scd2_step`` is the same at the end of the history;
 * ``snapshot_delta``: classify a full snapshot against the current state;
 * ``blacklist_increment``: month-to-date file → only rows not loaded yet.
 
-All are joins on the business key (one shuffle of each side, or a broadcast
-of the smaller one). Parquet tables have no MERGE, so the result is a new
-version of the table that the caller writes next to the old one.
+All work by the business key (one shuffle of each side, or a broadcast of the
+smaller one). Parquet tables have no MERGE, so the result replaces the parts of the
+table that it was made from.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudmart.functions import date_lit, ts_lit
@@ -75,46 +76,80 @@ def scd1_upsert(current: DataFrame, staged: DataFrame, key: str, attrs, run_dt)
     )
 
 
-def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts) -> DataFrame:
-    """Advance an SCD2 history by one full snapshot taken at ``run_ts``.
+def scd2_insert(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts, until_ts=None) -> DataFrame:
+    """Put a full snapshot taken at ``run_ts`` into a history: it tells the state of
+    every key from ``run_ts`` until the next snapshot that was loaded (``until_ts``;
+    None: it is the last one).
 
-    Open versions (``effective_to = OPEN_END``) are compared with the snapshot:
-    a changed key closes its version at ``run_ts - 1 s`` and opens a new one; a
-    key missing from the snapshot closes and gets an open ``deleted_flg`` row; a
-    key coming back after a deletion opens a fresh version. Closed versions pass
-    through untouched, so only open rows take part in the join. A snapshot of the
-    same ``run_ts`` replaces the one before: its versions go and those it closed
-    are open again. Steps must not go back in time (``load_dim_scd`` refuses).
+    ``hist`` are the versions that end at ``run_ts - 1 s`` or later (earlier ones do not
+    change and need not be read); the result takes their place. Per key, what the
+    versions say of the span gives way to the snapshot; they are cut at its ends, and
+    neighbours of one state become one version. A key missing from the snapshot after
+    it was there has a ``deleted_flg`` version with its last attributes; absence before
+    the first appearance has none. So the history is that of the snapshots in the order
+    of their days, however they came; a second one of the same day replaces the first.
+    With columns ``create_dt`` and ``update_dt`` in ``hist`` the first appearance and
+    the last change of attributes, as of each version, are kept there.
+
+    One exchange by key; a window holds the versions of one key from ``run_ts`` on.
     """
-    ts = ts_lit(run_ts)
-    end = ts_lit(OPEN_END)
-    before = ts - F.expr("INTERVAL 1 SECOND")
-    hist = hist.where(F.col("effective_from") != ts).withColumn(
-        "effective_to", F.when(F.col("effective_to") == before, end).otherwise(F.col("effective_to")))
-    is_open = F.col("effective_to") == end
-    closed = hist.where(~is_open)
-    o = hist.where(is_open).alias("o")
-    n = one_per_key(snapshot, key, attrs).alias("n")
-    j = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
-    old_k, new_k, was_deleted = F.col(f"o.{key}"), F.col(f"n.{key}"), F.col("o.deleted_flg")
-    same = old_k.isNotNull() & new_k.isNotNull() & ~was_deleted & ~_changed(attrs)
-    gone = new_k.isNull() & ~was_deleted                    # live version, key vanished
-    still_gone = new_k.isNull() & was_deleted               # deleted marker stays open
-    opens = new_k.isNotNull() & ~same                       # new, changed or back again
-    closes = old_k.isNotNull() & ~same & ~still_gone        # old open row ends now
-
-    def version(side: str, start: F.Column, until: F.Column, deleted: F.Column) -> F.Column:
-        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in (key, *attrs)], start.alias("effective_from"),
-                        until.alias("effective_to"), deleted.alias("deleted_flg"))
-
-    versions = F.array(  # of one joined row: at most two
-        F.when(same | still_gone, version("o", F.col("o.effective_from"), F.col("o.effective_to"), was_deleted)),
-        F.when(closes, version("o", F.col("o.effective_from"), before, was_deleted)),
-        F.when(opens, version("n", ts, end, F.lit(False))),
-        F.when(gone, version("o", ts, end, F.lit(True))))
+    ts, end, second = ts_lit(run_ts), ts_lit(OPEN_END), F.expr("INTERVAL 1 SECOND")
+    until = ts_lit(until_ts) if until_ts is not None else None
+    dated = "create_dt" in hist.columns
+    none = F.lit(None).cast("date")
+
+    def piece(origin: str, start: F.Column, to: F.Column, deleted: F.Column, gone: F.Column | None = None) -> F.Column:
+        """``gone``: the piece has no attributes of its own (it takes those before it)."""
+        own = F.struct(*[F.col(a) for a in attrs])
+        return F.struct(F.lit(origin).alias("o"), (F.when(~gone, own) if gone is not None else own).alias("v"), start.alias("f"),
+                        to.alias("t"), deleted.alias("d"))
+
+    old = hist.select(key, *attrs, "effective_from", "effective_to", "deleted_flg",
+                      *([F.col("create_dt").alias("_c"), F.col("update_dt").alias("_u")] if dated else [none.alias("_c"), none.alias("_u")]))
+    new = one_per_key(snapshot, key, attrs).select(key, *attrs, ts.alias("effective_from"), end.alias("effective_to"),
+                                                   F.lit(False).alias("deleted_flg"), none.alias("_c"), none.alias("_u"))
+    rows = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    f, t, deleted, is_new = (F.col(c) for c in ("effective_from", "effective_to", "deleted_flg", "_new"))
+    left = ~is_new & (f < ts)
+    right = ~is_new & (t >= until) if until is not None else F.lit(False)
+    per_key = Window.partitionBy(key)
+    rows = rows.withColumns({"_left": F.max(left).over(per_key), "_mid": F.max(is_new).over(per_key),
+                             "_next": F.min(F.when(right, F.greatest(f, until) if until is not None else f)).over(per_key)})
+    mid_end = until - second if until is not None else end
+    pieces = [F.when(left, piece("left", f, F.least(t, ts - second), deleted)),
+              F.when(is_new, piece("mid", ts, mid_end, F.lit(False))),
+              F.when(left & ~F.col("_mid"), piece("mid", ts, mid_end, F.lit(True), F.lit(True)))]
+    if until is not None:
+        pieces += [F.when(right, piece("right", F.greatest(f, until), t, deleted, deleted)),
+                   F.when(is_new & ~F.col("_left") & (F.coalesce(F.col("_next") > until, F.lit(True))), piece(
+                       "right", until, F.coalesce(F.col("_next") - second, end), F.lit(True), F.lit(True)))]
+    cut = rows.select(key, "_c", "_u", F.explode(F.filter(F.array(*pieces), lambda x: x.isNotNull())).alias("p")).select(
+        key, "_c", "_u", "p.*")
+    by_time = Window.partitionBy(key).orderBy("f")
+    so_far = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    filled = cut.withColumn("v", F.last("v", ignorenulls=True).over(so_far)).where(F.col("v").isNotNull())
+    same = F.coalesce(F.lag("v").over(by_time).eqNullSafe(F.col("v")) & (F.lag("d").over(by_time) == F.col("d")), F.lit(False))
+    runs = filled.withColumn("_same", same).withColumn("_run", F.sum(F.when(F.col("_same"), 0).otherwise(1)).over(so_far))
+    merged = runs.groupBy(key, "_run").agg(
+        F.min_by("v", "f").alias("v"), F.min("f").alias("f"), F.max("t").alias("t"), F.min_by("d", "f").alias("d"),
+        F.min_by(F.struct("o", "_c", "_u"), "f").alias("s"))
+    first = F.lag("f").over(by_time).isNull()
+    known = F.col("s.o") == "left"  # the version was there before, with dates that hold
+    create = F.when(first, F.when(known, F.coalesce("s._c", F.to_date("f"))).otherwise(F.to_date("f")))
+    change = F.when(first, F.when(known, F.col("s._u"))).when(~F.lag("v").over(by_time).eqNullSafe(F.col("v")), F.to_date("f"))
+    out = merged.withColumns({"create_dt": create, "update_dt": change}).withColumns({
+        "create_dt": F.last("create_dt", ignorenulls=True).over(so_far), "update_dt": F.last("update_dt", ignorenulls=True).over(so_far)})
+    return out.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs], F.col("f").alias("effective_from"),
+                      F.col("t").alias("effective_to"), F.col("d").alias("deleted_flg"), *(["create_dt", "update_dt"] if dated else []))
+
+
+def scd2_step(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts, until_ts=None) -> DataFrame:
+    """The whole history after a snapshot of ``run_ts`` (see ``scd2_insert``): versions
+    that ended before pass through untouched."""
     cols = [key, *attrs, "effective_from", "effective_to", "deleted_flg"]
-    stepped = j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
-    return closed.select(*cols).unionByName(stepped.select(*cols))
+    ended = F.col("effective_to") < ts_lit(run_ts) - F.expr("INTERVAL 1 SECOND")
+    return hist.where(ended).select(*cols).unionByName(
+        scd2_insert(hist.where(~ended), snapshot, key, attrs, run_ts, until_ts).select(*cols))
 
 
 def scd2_init(snapshot: DataFrame, key: str, attrs, run_ts) -> DataFrame:

@@ -44,7 +44,7 @@ def _memo(fn):
     """Build an adapter frame once per (session, folder): frames are immutable
     plans, so reusing them only saves the driver-side plan construction."""
     def wrapped(spark: SparkSession, sf_dir: str):
-        key = (id(spark), fn.__name__, sf_dir)
+        key = (spark.sparkContext.applicationId, id(spark), fn.__name__, sf_dir)
         if key not in _FRAMES:
             _FRAMES[key] = fn(spark, sf_dir)
         return _FRAMES[key]

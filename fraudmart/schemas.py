@@ -5,10 +5,14 @@ from pyspark.sql import types as T
 S, D, TS = T.StringType(), T.DateType(), T.TimestampNTZType()
 
 
-def _struct(*fields):
+def struct_of(*fields):
+    """Nullable columns of (name, type)."""
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+_struct = struct_of
+
+
 # ---- daily input files --------------------------------------------------
 TRANSACTIONS_FILE = _struct(
     ("transaction_id", S), ("transaction_date", TS), ("amount", T.DecimalType(10, 2)),
@@ -17,6 +21,8 @@ TERMINALS_FILE = _struct(
     ("terminal_id", S), ("terminal_type", S), ("terminal_city", S), ("terminal_address", S))
 BLACKLIST_FILE = _struct(("date", D), ("passport", S))
 
+STAGED_TRANSACTIONS = _struct(*[(f.name, f.dataType) for f in TRANSACTIONS_FILE.fields], ("file_name", S), ("file_dt", D))
+
 # ---- seed tables (reference tables of the bank) --------------------------
 SEED_CARDS = _struct(("card_num", S), ("account", S), ("create_dt", D), ("update_dt", D))
 SEED_ACCOUNTS = _struct(("account", S), ("valid_to", D), ("client", S),
@@ -46,6 +52,9 @@ REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", S), ("report_dt", TS))
 META_INGEST = _struct(("file_name", S), ("kind", S), ("batch_dt", D), ("rows", T.LongType()),
                       ("rejected", T.LongType()), ("max_event_ts", TS), ("loaded_at", TS))
+META_SNAPSHOTS = _struct(("table", S), ("snapshot_dt", D))
+# Files that a stream has seen, in order of arrival.
+META_ARRIVALS = _struct(("path", S), ("file_name", S), ("kind", S))
 # Columns a staged transaction must have (after typed parsing) to be loaded.
 TRANSACTION_REQUIRED = ("transaction_id", "transaction_date", "amount")
 
@@ -58,6 +67,9 @@ WAREHOUSE = {
     "dwh_fact_passport_blacklist": FACT_BLACKLIST,
     "rep_fraud": REP_FRAUD,
     "meta_ingest_log": META_INGEST,
+    "meta_snapshots": META_SNAPSHOTS,
+    "meta_arrivals": META_ARRIVALS,
+    "stg_rejects": STAGED_TRANSACTIONS,
 }
 
 # Business keys of the dimension and fact tables.

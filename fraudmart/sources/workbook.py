@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudmart.session import ship_package
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -105,6 +107,7 @@ def read_workbook(spark: SparkSession, path, columns: list[str], sheets: str = "
                         out.append([posixpath.basename(path_), name] + vals)
             yield pd.DataFrame(out, columns=["file_name", "sheet"] + columns)
 
+    ship_package(spark)  # the tasks import this module
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(parse, out_schema)
 

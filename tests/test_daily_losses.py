@@ -3,12 +3,10 @@
 import datetime as dt
 import os
 
-import pytest
-
 from fraudmart import schemas
 from fraudmart.operators.load import insert_new
 from fraudmart.operators.scd import scd2_init, scd2_step
-from fraudmart.plans.pipeline import load_dim_scd, pending_days, run_day
+from fraudmart.plans.pipeline import pending_days, run_day
 from fraudmart.sources.tables import FACT, Warehouse
 from tests.test_sources_pipeline import C1, _day_files, _tx_file
 
@@ -43,15 +41,6 @@ def test_second_snapshot_of_a_day_replaces_the_first(spark):
     assert all(r[2] <= r[3] for r in got)
 
 
-def test_older_snapshot_is_refused(spark, tmp_root):
-    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
-    term = spark.createDataFrame([("A1", "POS", "Moscow", "a")],
-                                 "terminal_id string, terminal_type string, terminal_city string, terminal_address string")
-    load_dim_scd(wh, "dwh_dim_terminals", term, dt.date(2021, 3, 2))
-    with pytest.raises(ValueError, match="older"):
-        load_dim_scd(wh, "dwh_dim_terminals", term, dt.date(2021, 3, 1))
-
-
 def test_several_files_null_ids_and_empty_files(spark, tmp_root):
     inbox = os.path.join(tmp_root, "in")
     os.makedirs(inbox)

@@ -159,7 +159,7 @@ def test_daily_job_end_to_end(spark, tmp_root):
     }
     assert wh.read("rep_fraud").count() == 6
     ledger = wh.read("meta_ingest_log")
-    assert ledger.where(F.col("kind") == "transactions").select("file_name").distinct().count() == 2
+    assert ledger.where(F.col("kind") == "transactions").select("file_name").count() == 2
     day2 = ledger.where(F.col("file_name") == "transactions_02032021.txt").first()
     assert (day2["rows"], day2["rejected"]) == (3, 1)
     assert [r["transaction_id"] for r in wh.read("stg_rejects", schemas.TRANSACTIONS_FILE).collect()] == ["t9"]
@@ -231,28 +231,40 @@ def test_run_pending_days_in_order_once(spark, tmp_root):
     assert {r["batch_dt"] for r in wh.read("rep_fraud").collect()} == {dt.date(2021, 3, 1), dt.date(2021, 3, 2)}
 
 
-def test_streaming_daily_reports(spark, tmp_root):
-    from fraudmart.streaming.ingest import foreach_day, report_each_batch
+def test_stream_of_files_runs_days_in_order(spark, tmp_root):
+    """Files of three days, the last day's first, one file a micro-batch, comma amounts:
+    the mart of the batch job."""
+    from fraudmart.plans.pipeline import run_pending
+    from fraudmart.streaming.ingest import run_days_stream
     inbox = os.path.join(tmp_root, "in")
     os.makedirs(inbox)
     dump = os.path.join(tmp_root, "seed.sql")
     with open(dump, "w", encoding="utf-8") as f:
         f.write(SEED_DUMP)
-    wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
-    bootstrap_dims(spark, wh, dump)
-    wh.append("dwh_fact_passport_blacklist",
-              spark.createDataFrame([("1234 567890", dt.date(2021, 3, 1), None, None)], schemas.FACT_BLACKLIST))
-    _tx_file(os.path.join(inbox, "transactions_01032021.txt"),
-             [["t1", "2021-03-01 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]])
-    _tx_file(os.path.join(inbox, "transactions_02032021.txt"),
-             [["t2", "2021-03-02 10:00:00", "1.00", C1, "PAYMENT", "SUCCESS", "A1"]])
-    handler = report_each_batch(wh, report_dt=dt.datetime(2021, 3, 4))
-    foreach_day(spark, inbox, os.path.join(tmp_root, "ckpt"), handler)
-    foreach_day(spark, inbox, os.path.join(tmp_root, "ckpt"), handler)  # nothing new
-    assert sorted(r["trans_id"] for r in wh.read("dwh_fact_transactions").collect()) == ["t1", "t2"]
-    rep = sorted((r["batch_dt"], r["event_type"]) for r in wh.read("rep_fraud").collect())
-    assert rep == [(dt.date(2021, 3, 1), "passport in blacklist"), (dt.date(2021, 3, 2), "account not valid"),
-                   (dt.date(2021, 3, 2), "passport in blacklist")]  # account valid to 2021-03-02
+    cities = {1: "Moscow", 2: "Tver", 3: "Kazan"}
+    for at, n in enumerate((3, 1, 2)):
+        day = dt.date(2021, 3, n)
+        made = _day_files(inbox, day, [[f"t{n}", f"{day} 10:00:00", "5849,56", C1, "PAYMENT", "SUCCESS", "A1"],
+                                       [f"u{n}", f"{day} 10:20:00", "7,00", C1, "PAYMENT", "SUCCESS", "B2"]],
+                          [["A1", "POS", cities[n], "a"], ["B2", "POS", "Kazan", "b"]], [[44255 + n, "1234 567890"]])
+        for k, path in enumerate((made.blacklist, made.transactions, made.terminals)):
+            os.utime(path, (1_600_000_000 + 10 * at + k,) * 2)
+    run_dt, results = dt.datetime(2021, 3, 4), []
+    for way in ("stream", "batch"):
+        wh = Warehouse(spark, os.path.join(tmp_root, way))
+        bootstrap_dims(spark, wh, dump, run_dt=dt.date(2021, 3, 1))
+        for _ in range(2):  # nothing new the second time
+            if way == "stream":
+                run_days_stream(spark, wh, inbox, os.path.join(tmp_root, "ckpt"), report_dt=run_dt, max_files=1)
+            else:
+                run_pending(spark, wh, inbox, report_dt=run_dt)
+        amounts = sorted((r["trans_id"], r["amt"]) for r in wh.read("dwh_fact_transactions").collect())
+        hist = sorted(map(str, wh.read("dwh_dim_terminals_hist", schemas.scd2_schema(schemas.DIM_TERMINALS)).collect()))
+        results.append((amounts, sorted(map(str, wh.read("rep_fraud").collect())), hist,
+                        sorted(map(str, wh.read("meta_ingest_log").collect()))))
+    assert results[0] == results[1]
+    assert results[0][0][0] == ("t1", Decimal("5849.56")) and len(results[0][0]) == 6
+    assert sum("different city" in r for r in results[0][1]) == 2 and len(results[0][3]) == 9
 
 
 def test_bootstrap_documented_keeps_dimension_history(spark, tmp_root):
