@@ -872,3 +872,6 @@ def read_insert_dump_check(spark, sf):
     "WHERE s.oper_result = 'SUCCESS' AND s.brk = 0 AND s.pos - s.start_pos + 1 >= 4"))
 def amount_chain_length(spark, sf):
     return R.amount_chains(A.events_fact(spark, sf))
+
+
+from fraudmart.plans import daily_check  # noqa: E402, F401  (registers its checks)

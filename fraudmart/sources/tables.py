@@ -58,6 +58,12 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder (none if it does not exist)."""
+    fs, p = _fs(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isFile()) if fs.exists(p) else []
+
+
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file, in place of an earlier one of that name; nothing if it is gone."""
     fs, p = _fs(spark, source)
