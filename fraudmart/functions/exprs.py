@@ -79,7 +79,7 @@ def file_date_from_name(name="file_name") -> Column:
 
 def source_name(path="_metadata.file_path") -> Column:
     """Logical daily file name of a path: the ``<kind>_DDMMYYYY.<ext>`` part
-    (a file, or a folder of part files written under that name), else the
-    last path component."""
-    named = F.regexp_extract(_c(path), r"([^/]+_\d{8}\.[^/.]+)(?:/[^/]*)?$", 1)
+    (a file, or a folder of part files written under that name, also as
+    ``<column>=<name>`` by a partitioned job), else the last path component."""
+    named = F.regexp_extract(_c(path), r"([^/=]+_\d{8}\.[^/.]+)(?:/[^/]*)?$", 1)
     return F.when(named != "", named).otherwise(F.element_at(F.split(_c(path), "/"), -1))

@@ -25,16 +25,15 @@ from fraudmart.operators.lag import lag_columns
 from fraudmart.plans import adapters as A
 from fraudmart.plans import oracle_sql as Q
 from fraudmart.plans.mart import fraud_report
-from fraudmart.plans.pipeline import ledger_rows, run_days_frames
+from fraudmart.plans.pipeline import ledger_pending, ledger_rows, run_days_frames
 from fraudmart.session import scratch_path
-from fraudmart.sources.delimited import read_delimited, write_delimited
+from fraudmart.sources.delimited import TIMESTAMP_FORMAT, read_delimited
 from fraudmart.sources.dump import read_insert_dump
 from fraudmart.sources.tables import Warehouse, export_report
 from fraudmart.sources.workbook import read_workbook, write_workbook
 
 CHECKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 AMOUNT_CHECK_LIMIT_S = 3 * 86400  # the 20-minute default finds nothing in the test events
-DAYS = [dt.date(2000, 1, 1), dt.date(2000, 1, 2), dt.date(2000, 1, 3)]
 
 
 def check(name: str, sql: str | None):
@@ -64,18 +63,26 @@ def _day(fact: DataFrame, day: dt.date) -> DataFrame:
                           dt.datetime(day.year, day.month, day.day) + dt.timedelta(days=1), part=None)
 
 
-def _write_day_files(spark, fact: DataFrame, root: str, days=DAYS) -> str:
-    """One ``transactions_DDMMYYYY.txt`` folder per day (Spark part files inside)."""
-    for d in days:
-        write_delimited(_tx_file_layout(_day(fact, d)), f"{root}/transactions_{d:%d%m%Y}.txt")
-    return root
+def _month(ts="trans_date") -> F.Column:
+    return F.to_date(F.trunc(ts, "month"))
+
+
+def _write_files(spark, sf, root: str) -> str:
+    """The whole fact as daily files, a file a month (of its first day), in one
+    partitioned job; returns a glob of the folders, each named as its file."""
+    fact = A.lineitem_fact(spark, sf)
+    name = F.concat(F.lit("transactions_"), F.date_format(_month("transaction_date"), "ddMMyyyy"), F.lit(".txt"))
+    rows = _tx_file_layout(fact).withColumn("name", name)
+    (rows.write.partitionBy("name").option("sep", ";").option("header", True)
+         .option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(root))
+    return f"{root}/name=transactions_*"
 
 
 TX_FILE_SQL = ("SELECT CAST(trans_id AS VARCHAR) AS transaction_id, trans_date AS transaction_date, "
                "CAST(amt AS DECIMAL(10,2)) AS amount, CAST(card_num AS VARCHAR) AS card_num, "
                "oper_type, oper_result, CAST(terminal AS VARCHAR) AS terminal FROM fact")
-DAYS_SQL = ("trans_date >= TIMESTAMP '2000-01-01 00:00:00' "
-            "AND trans_date < TIMESTAMP '2000-01-04 00:00:00'")
+MONTH_SQL = "CAST(date_trunc('month', trans_date) AS DATE)"
+HALF = dt.date(2000, 1, 1)  # cuts the table into two batches
 CHAIN_SQL = Q.on(Q.CHAIN_BATCH)
 CITY_SQL = Q.on(Q.CITY_BATCH)
 
@@ -647,33 +654,47 @@ def snapshot_delta(spark, sf):
     return SCD.snapshot_delta(_snapshot(spark, sf, 1), _snapshot(spark, sf, 3), "terminal_id", TERM_ATTRS)
 
 
-SNAP_TS = {1: dt.datetime(2021, 3, 1), 2: dt.datetime(2021, 3, 2), 3: dt.datetime(2021, 3, 3)}
+SNAP_TS = {n: dt.datetime(2021, 3, n) for n in (1, 2, 3)}
+CLIENT_ATTRS = ["segment", "balance"]
+
+# Snapshots of all customers on three days: some come on day 2, some go on day 3, some
+# are away on day 2 only; segments change on day 2, balances on day 3.
+_CUSTOMER_SNAP_SQL = (
+    "snap AS (SELECT d, c_custkey AS client_id, "
+    "CASE WHEN d >= 2 AND c_custkey % 4 = 1 THEN 'MOVED' ELSE c_mktsegment END AS segment, "
+    "CASE WHEN d = 3 AND c_custkey % 3 = 1 THEN NULL ELSE c_acctbal END AS balance "
+    "FROM customer CROSS JOIN (VALUES (1), (2), (3)) AS days(d) "
+    "WHERE NOT (d = 1 AND c_custkey % 7 = 0) AND NOT (d = 3 AND c_custkey % 5 = 0) AND NOT (d = 2 AND c_custkey % 11 = 0))")
+
+
+def _customer_snapshot(spark, sf, day: int) -> DataFrame:
+    key = F.col("c_custkey")
+    there = {1: key % 7 != 0, 2: key % 11 != 0, 3: key % 5 != 0}[day]
+    segment = F.when((key % 4 == 1) & F.lit(day >= 2), F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+    balance = F.when(~((key % 3 == 1) & F.lit(day == 3)), F.col("c_acctbal"))
+    return A.table(spark, sf, "customer").where(there).select(
+        key.alias("client_id"), segment.alias("segment"), balance.alias("balance"))
+
 
 # History from the three snapshots: a version is a run of days with the same
 # state (present with equal attributes, or absent after having been present).
-_SCD2_SQL = Q.with_bank(_SNAP_SQL, (
-    "grid AS (SELECT k.terminal_id, d.d FROM (SELECT DISTINCT terminal_id FROM snap) k "
+_SCD2_SQL = Q.with_bank(_CUSTOMER_SNAP_SQL, (
+    "grid AS (SELECT k.client_id, d.d FROM (SELECT DISTINCT client_id FROM snap) k "
     "CROSS JOIN (SELECT DISTINCT d FROM snap) d)"), (
-    "st AS (SELECT g.terminal_id, g.d, s.terminal_id IS NULL AS absent, s.terminal_type, s.terminal_city, "
-    "s.terminal_address FROM grid g LEFT JOIN snap s ON g.terminal_id = s.terminal_id AND g.d = s.d)"), (
-    "seen AS (SELECT *, MIN(CASE WHEN NOT absent THEN d END) OVER (PARTITION BY terminal_id) AS first_d FROM st)"), (
+    "st AS (SELECT g.client_id, g.d, s.client_id IS NULL AS absent, s.segment, s.balance "
+    "FROM grid g LEFT JOIN snap s ON g.client_id = s.client_id AND g.d = s.d)"), (
+    "seen AS (SELECT *, MIN(CASE WHEN NOT absent THEN d END) OVER (PARTITION BY client_id) AS first_d FROM st)"), (
     "live AS (SELECT * FROM seen WHERE d >= first_d)"), (
     "marked AS (SELECT *, CASE WHEN LAG(d) OVER w IS NULL OR LAG(absent) OVER w <> absent "
-    "OR (NOT absent AND (LAG(terminal_type) OVER w IS DISTINCT FROM terminal_type "
-    "OR LAG(terminal_city) OVER w IS DISTINCT FROM terminal_city "
-    "OR LAG(terminal_address) OVER w IS DISTINCT FROM terminal_address)) THEN 1 ELSE 0 END AS brk "
-    "FROM live WINDOW w AS (PARTITION BY terminal_id ORDER BY d))"), (
-    "runs AS (SELECT *, SUM(brk) OVER (PARTITION BY terminal_id ORDER BY d) AS run FROM marked)"), (
-    "vers AS (SELECT terminal_id, run, MIN(d) AS d0, BOOL_OR(absent) AS absent, "
-    "ANY_VALUE(terminal_type) FILTER (WHERE NOT absent) AS terminal_type, "
-    "ANY_VALUE(terminal_city) FILTER (WHERE NOT absent) AS terminal_city, "
-    "ANY_VALUE(terminal_address) FILTER (WHERE NOT absent) AS terminal_address FROM runs GROUP BY 1, 2)"), (
-    "filled AS (SELECT terminal_id, d0, absent, "
-    "COALESCE(terminal_type, LAG(terminal_type) OVER w) AS terminal_type, "
-    "COALESCE(terminal_city, LAG(terminal_city) OVER w) AS terminal_city, "
-    "COALESCE(terminal_address, LAG(terminal_address) OVER w) AS terminal_address, "
-    "LEAD(d0) OVER w AS d1 FROM vers WINDOW w AS (PARTITION BY terminal_id ORDER BY run))")) + (
-    "SELECT CAST(terminal_id AS BIGINT) AS terminal_id, terminal_type, terminal_city, terminal_address, "
+    "OR (NOT absent AND (LAG(segment) OVER w IS DISTINCT FROM segment "
+    "OR LAG(balance) OVER w IS DISTINCT FROM balance)) THEN 1 ELSE 0 END AS brk "
+    "FROM live WINDOW w AS (PARTITION BY client_id ORDER BY d))"), (
+    "runs AS (SELECT *, SUM(brk) OVER (PARTITION BY client_id ORDER BY d) AS run FROM marked)"), (
+    "vers AS (SELECT client_id, run, MIN(d) AS d0, BOOL_OR(absent) AS absent, "
+    "ANY_VALUE({segment: segment, balance: balance}) FILTER (WHERE NOT absent) AS v FROM runs GROUP BY 1, 2)"), (
+    "filled AS (SELECT client_id, d0, absent, COALESCE(v, LAG(v) OVER w) AS v, "
+    "LEAD(d0) OVER w AS d1 FROM vers WINDOW w AS (PARTITION BY client_id ORDER BY run))")) + (
+    "SELECT client_id, v.segment AS segment, v.balance AS balance, "
     "TIMESTAMP '2021-02-28 00:00:00' + to_days(CAST(d0 AS INTEGER)) AS effective_from, "
     "CASE WHEN d1 IS NULL THEN TIMESTAMP '9999-12-31 23:59:59' "
     "ELSE TIMESTAMP '2021-02-28 00:00:00' + to_days(CAST(d1 AS INTEGER)) - INTERVAL 1 SECOND END AS effective_to, "
@@ -682,11 +703,11 @@ _SCD2_SQL = Q.with_bank(_SNAP_SQL, (
 
 @check("scd2_hist", _SCD2_SQL)
 def scd2_hist(spark, sf):
-    key = "terminal_id"
-    hist = SCD.scd2_init(_snapshot(spark, sf, 1), key, TERM_ATTRS, SNAP_TS[1])
-    for d in (2, 3):
-        hist = SCD.scd2_step(hist, _snapshot(spark, sf, d), key, TERM_ATTRS, SNAP_TS[d])
-    return hist
+    """History of all customers; the second day's snapshot comes last."""
+    key = "client_id"
+    hist = SCD.scd2_init(_customer_snapshot(spark, sf, 1), key, CLIENT_ATTRS, SNAP_TS[1])
+    hist = SCD.scd2_step(hist, _customer_snapshot(spark, sf, 3), key, CLIENT_ATTRS, SNAP_TS[3])
+    return SCD.scd2_step(hist, _customer_snapshot(spark, sf, 2), key, CLIENT_ATTRS, SNAP_TS[2], SNAP_TS[3])
 
 
 @check("blacklist_increment", Q.with_bank() + (
@@ -701,46 +722,44 @@ def blacklist_increment(spark, sf):
 
 
 # ============================================================ files and tables
-@check("read_delimited", Q.with_bank() + f"{TX_FILE_SQL} WHERE {DAYS_SQL}")
+@check("read_delimited", Q.with_bank() + TX_FILE_SQL)
 def read_delimited_check(spark, sf):
-    root = _write_day_files(spark, A.lineitem_fact(spark, sf), scratch_path(spark, "incoming"))
-    df = read_delimited(spark, f"{root}/transactions_*.txt")
-    return df.drop("file_name", "file_dt")
+    files = _write_files(spark, sf, scratch_path(spark, "incoming"))
+    return read_delimited(spark, files).drop("file_name", "file_dt")
 
 
 @check("file_date_from_name", Q.with_bank() + (
-    f"SELECT CAST(trans_id AS VARCHAR) AS transaction_id, CAST(trans_date AS DATE) AS file_dt FROM fact WHERE {DAYS_SQL}"))
+    f"SELECT CAST(trans_id AS VARCHAR) AS transaction_id, {MONTH_SQL} AS file_dt FROM fact"))
 def file_date_from_name_check(spark, sf):
-    root = _write_day_files(spark, A.lineitem_fact(spark, sf), scratch_path(spark, "incoming"))
-    return read_delimited(spark, f"{root}/transactions_*.txt").select("transaction_id", "file_dt")
+    files = _write_files(spark, sf, scratch_path(spark, "incoming"))
+    return read_delimited(spark, files).select("transaction_id", "file_dt")
 
 
 @check("meta_ingest_log", Q.with_bank() + (
-    "SELECT 'transactions_' || strftime(CAST(trans_date AS DATE), '%d%m%Y') || '.txt' AS file_name, "
-    "'transactions' AS kind, CAST(trans_date AS DATE) AS batch_dt, COUNT(*) AS rows, "
+    f"SELECT 'transactions_' || strftime({MONTH_SQL}, '%d%m%Y') || '.txt' AS file_name, "
+    f"'transactions' AS kind, {MONTH_SQL} AS batch_dt, COUNT(*) AS rows, "
     "COUNT(*) FILTER (WHERE trans_id IS NULL OR trans_date IS NULL OR amt IS NULL) AS rejected, "
-    f"MAX(trans_date) AS max_event_ts FROM fact WHERE {DAYS_SQL} GROUP BY 1, 2, 3"))
+    "MAX(trans_date) AS max_event_ts FROM fact GROUP BY 1, 2, 3"))
 def meta_ingest_log(spark, sf):
-    """Ledger after loading days 1-2, then the pending day 3 is loaded too."""
-    root = _write_day_files(spark, A.lineitem_fact(spark, sf), scratch_path(spark, "incoming"))
-    staged = read_delimited(spark, f"{root}/transactions_*.txt")
-    first = ledger_rows(staged.where(F.col("file_dt") < date_lit(DAYS[2])), "transactions",
-                        "transaction_date", A.REPORT_DT, schemas.TRANSACTION_REQUIRED)
-    files = staged.select("file_name").distinct()
-    pending = files.join(first.select("file_name"), "file_name", "left_anti")
-    rest = ledger_rows(staged.join(pending, "file_name", "left_semi"), "transactions",
-                       "transaction_date", A.REPORT_DT, schemas.TRANSACTION_REQUIRED)
-    return first.unionByName(rest).drop("loaded_at")
-
-
-@check("ingest_stream", Q.with_bank() + (
-    f"SELECT s.*, CAST(transaction_date AS DATE) AS batch_dt FROM ({TX_FILE_SQL} WHERE {DAYS_SQL}) s"))
+    """Ledger after loading the files of one half, then the pending ones are loaded too."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    staged = read_delimited(spark, _write_files(spark, sf, scratch_path(spark, "incoming")))
+
+    def load(rows):
+        wh.append("meta_ingest_log", ledger_rows(rows, "transactions", "transaction_date", A.REPORT_DT,
+                                                 schemas.TRANSACTION_REQUIRED))
+    load(staged.where(F.col("file_dt") < date_lit(HALF)))
+    pending = ledger_pending(wh.read("meta_ingest_log"), staged.select("file_name").distinct())
+    load(staged.join(pending, "file_name", "left_semi"))
+    return wh.read("meta_ingest_log").drop("loaded_at")
+
+
+@check("ingest_stream", Q.with_bank() + f"SELECT s.*, CAST(date_trunc('month', transaction_date) AS DATE) AS batch_dt FROM ({TX_FILE_SQL}) s")
 def ingest_stream(spark, sf):
     from fraudmart.streaming.ingest import ingest_available_now
     base = scratch_path(spark, "stream")
-    _write_day_files(spark, A.lineitem_fact(spark, sf), f"{base}/incoming")
-    ingest_available_now(spark, f"{base}/incoming/transactions_*.txt", f"{base}/sink",
-                         f"{base}/checkpoint", archive=f"{base}/archive")
+    files = _write_files(spark, sf, f"{base}/incoming")
+    ingest_available_now(spark, files, f"{base}/sink", f"{base}/checkpoint", archive=f"{base}/archive")
     sink_schema = T.StructType(schemas.TRANSACTIONS_FILE.fields + [T.StructField("batch_dt", T.DateType())])
     return spark.read.schema(sink_schema).parquet(f"{base}/sink")
 
@@ -755,29 +774,28 @@ def export_report_check(spark, sf):
 
 @check("stage_replace", Q.with_bank() + (
     "SELECT CAST(trans_id AS VARCHAR) AS transaction_id, trans_date AS transaction_date FROM fact "
-    "WHERE trans_date >= TIMESTAMP '2000-01-02 00:00:00' AND trans_date < TIMESTAMP '2000-01-03 00:00:00'"))
+    f"WHERE trans_date >= TIMESTAMP '{HALF} 00:00:00'"))
 def stage_replace(spark, sf):
+    """The table in two batches: staging is the second one afterwards."""
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    fact = A.lineitem_fact(spark, sf)
-    for d in DAYS[:2]:
-        wh.replace("stg_transactions", _tx_file_layout(_day(fact, d)))
+    rows = _tx_file_layout(A.lineitem_fact(spark, sf))
+    for batch in (rows.where(F.col("transaction_date") < ts_lit(HALF)), rows.where(F.col("transaction_date") >= ts_lit(HALF))):
+        wh.replace("stg_transactions", batch)
     return spark.read.parquet(wh.path("stg_transactions")).select("transaction_id", "transaction_date")
 
 
 @check("append_batch", Q.with_bank() + (
-    "SELECT CAST(trans_id AS VARCHAR) AS trans_id, CAST(trans_date AS DATE) AS trans_dt FROM fact "
-    "WHERE trans_date >= TIMESTAMP '2000-01-01 00:00:00' AND trans_date < TIMESTAMP '2000-01-03 00:00:00'"))
+    f"SELECT CAST(trans_id AS VARCHAR) AS trans_id, {MONTH_SQL} AS trans_dt FROM fact"))
 def append_batch(spark, sf):
-    """Day 1 and day 2 appended, day 2 written again: its partition is replaced."""
+    """The table in two batches (partitions of a month); the second one written again:
+    its partitions are replaced."""
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    fact = A.lineitem_fact(spark, sf)
-
-    def rows(d):
-        return L.conform(L.rename_columns(_tx_file_layout(_day(fact, d)), L.RENAMES["dwh_fact_transactions"])
-                         .withColumn("trans_dt", F.to_date("trans_date")), schemas.FACT_TRANSACTIONS)
-    wh.append("dwh_fact_transactions", rows(DAYS[0]))
-    wh.append("dwh_fact_transactions", rows(DAYS[1]))
-    wh.overwrite_days("dwh_fact_transactions", rows(DAYS[1]))
+    rows = L.conform(L.rename_columns(_tx_file_layout(A.lineitem_fact(spark, sf)), L.RENAMES["dwh_fact_transactions"])
+                     .withColumn("trans_dt", _month()), schemas.FACT_TRANSACTIONS)
+    second = rows.where(F.col("trans_dt") >= date_lit(HALF))
+    wh.append("dwh_fact_transactions", rows.where(F.col("trans_dt") < date_lit(HALF)))
+    wh.append("dwh_fact_transactions", second)
+    wh.overwrite_days("dwh_fact_transactions", second)
     return wh.read("dwh_fact_transactions").select("trans_id", "trans_dt")
 
 
