@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,17 @@ def surrogate_key(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 15), 16, 10).cast("long"))
 
 
+def numbered(keys: DataFrame, key: str, above: int = 0) -> DataFrame:
+    """(key, id) with ids ``above + 1, above + 2, ...`` without gaps, for a frame of
+    distinct keys that was read from Parquet files: each row's place in its file plus
+    the rows of the files before (prefix sums over one small row a file)."""
+    placed = keys.select(key, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_file").select(key, (F.col("_row") + F.col("_start") + 1 + above).alias("id"))
+
+
 def insert_new(staged: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Staged rows whose ``key`` is not in ``existing`` yet.
 

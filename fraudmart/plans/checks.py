@@ -25,7 +25,7 @@ from fraudmart.operators.lag import lag_columns
 from fraudmart.plans import adapters as A
 from fraudmart.plans import oracle_sql as Q
 from fraudmart.plans.mart import fraud_report
-from fraudmart.plans.pipeline import ledger_pending, ledger_rows, run_days_frames
+from fraudmart.plans.pipeline import bootstrap_dims, ledger_pending, ledger_rows, run_days_frames
 from fraudmart.session import scratch_path
 from fraudmart.sources.delimited import TIMESTAMP_FORMAT, read_delimited
 from fraudmart.sources.dump import read_insert_dump
@@ -815,6 +815,37 @@ def surrogate_key(spark, sf):
     return L.surrogate_key(A.cards(spark, sf).select("card_num", "account_num"), "card_num")
 
 
+@check("dense_key", Q.with_bank() + (
+    "SELECT card_num, account_num, CASE WHEN create_dt < DATE '1998-01-01' "
+    "THEN row_number() OVER (PARTITION BY create_dt < DATE '1998-01-01' ORDER BY CAST(card_num AS VARCHAR)) "
+    "ELSE (SELECT count(*) FROM cards WHERE create_dt < DATE '1998-01-01') + row_number() OVER "
+    "(PARTITION BY create_dt < DATE '1998-01-01' ORDER BY CAST(card_num AS VARCHAR)) END AS id FROM cards"))
+def dense_key(spark, sf):
+    """Ids without gaps from a kept dictionary: the older cards, all cards, all again."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    cards = A.cards(spark, sf).select(F.col("card_num").cast("string").alias("key"), "card_num", "account_num", "create_dt")
+    for rows in (cards.where(F.col("create_dt") < date_lit("1998-01-01")), cards, cards):
+        ids = wh.key_ids("cards", rows, "key")
+    return cards.join(ids, "key").select("card_num", "account_num", "id")
+
+
+@check("bootstrap_dims", Q.with_bank() + (
+    "SELECT 'cards' AS dim, CAST(card_num AS VARCHAR) AS key, CAST(account_num AS VARCHAR) AS value FROM cards UNION ALL "
+    "SELECT 'accounts', CAST(account_num AS VARCHAR), CAST(client AS VARCHAR) || ' ' || CAST(valid_to AS VARCHAR) FROM accounts UNION ALL "
+    "SELECT 'clients', CAST(client_id AS VARCHAR), passport_num || ' ' || coalesce(CAST(passport_valid_to AS VARCHAR), '-') || ' ' || phone FROM clients"))
+def bootstrap_dims_check(spark, sf):
+    """The bank's tables from an INSERT dump of them, loaded twice."""
+    path, wh = scratch_path(spark, "seed"), Warehouse(spark, scratch_path(spark, "wh"))
+    seed_dump(spark, sf).write.text(path)
+    for _ in range(2):
+        bootstrap_dims(spark, wh, path, run_dt=HALF)
+    text = lambda *c: F.concat_ws(" ", *[F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in c]).alias("value")
+    return (wh.read("dwh_dim_cards").select(F.lit("cards").alias("dim"), F.col("card_num").alias("key"), text("account_num"))
+            .unionByName(wh.read("dwh_dim_accounts").select(F.lit("accounts").alias("dim"), F.col("account_num").alias("key"), text("client", "valid_to")))
+            .unionByName(wh.read("dwh_dim_clients").select(F.lit("clients").alias("dim"), F.col("client_id").alias("key"),
+                                                           text("passport_num", "passport_valid_to", "phone"))))
+
+
 @check("add_null_columns", Q.with_bank() + (
     "SELECT CAST(terminal_id AS VARCHAR) AS terminal_id, terminal_type, terminal_city, terminal_address, "
     "CAST(NULL AS DATE) AS create_dt, CAST(NULL AS DATE) AS update_dt FROM terminals"))
@@ -865,6 +896,18 @@ def _dump_statements(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
     return df.select(F.concat(F.lit(head), values, F.lit(");")).alias("value"))
 
 
+def seed_dump(spark, sf) -> DataFrame:
+    """Cards, accounts and clients as INSERT statements."""
+    seeds = {"cards": L.conform(A.cards(spark, sf).withColumnRenamed("account_num", "account"), schemas.SEED_CARDS),
+             "accounts": L.conform(A.accounts(spark, sf).withColumnRenamed("account_num", "account"), schemas.SEED_ACCOUNTS),
+             "clients": L.conform(A.clients(spark, sf), schemas.SEED_CLIENTS)}
+    out = None
+    for name, df in seeds.items():
+        part = _dump_statements(df, name, df.columns)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @check("read_insert_dump", Q.with_bank() + (
     "SELECT CAST(client_id AS VARCHAR) AS client_id, last_name, first_name, patronymic, "
     "CAST(NULL AS DATE) AS date_of_birth, passport_num, passport_valid_to, phone, "

@@ -16,11 +16,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart import schemas
-from fraudmart.operators import load as L
 from fraudmart.plans import adapters as A
 from fraudmart.plans import oracle_sql as Q
-from fraudmart.plans.checks import _dump_statements, check
+from fraudmart.plans.checks import check, seed_dump
 from fraudmart.plans.pipeline import bootstrap_dims, run_pending
 from fraudmart.session import scratch_path
 from fraudmart.sources.tables import Warehouse, list_files, move_file
@@ -110,14 +108,7 @@ def _prepare(spark: SparkSession, sf: str) -> tuple[str, Warehouse]:
     books, listed = _workbook_rows(spark, sf)
     _write_books(books, TERMINAL_COLS, f"{base}/books")
     _write_books(listed, ["date", "passport"], f"{base}/books")
-    seeds = {"cards": L.conform(A.cards(spark, sf).withColumnRenamed("account_num", "account"), schemas.SEED_CARDS),
-             "accounts": L.conform(A.accounts(spark, sf).withColumnRenamed("account_num", "account"), schemas.SEED_ACCOUNTS),
-             "clients": L.conform(A.clients(spark, sf), schemas.SEED_CLIENTS)}
-    dump = None
-    for name, df in seeds.items():
-        part = _dump_statements(df, name, df.columns)
-        dump = part if dump is None else dump.unionByName(part)
-    dump.write.text(f"{base}/seed")
+    seed_dump(spark, sf).write.text(f"{base}/seed")
     wh = Warehouse(spark, f"{base}/dwh")
     bootstrap_dims(spark, wh, f"{base}/seed", run_dt=FIRST)
     return base, wh

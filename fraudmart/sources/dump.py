@@ -1,42 +1,102 @@
 """Seed tables from a SQL ``INSERT`` dump, read as data (never executed).
 
-The text is cut at ``;`` and line end by the text source itself (so a large dump
-is split across tasks) and into statements by a pattern that knows quotes; a
-literal that runs over such a cut is an error, never a lost row. The INSERT statements of one table are
-picked by a pattern, and their literal lists are turned into typed columns.
+The text source cuts the files into byte ranges, so a large dump, also one INSERT with
+very many rows, is read by many tasks. What a line means depends on all lines before
+it (is it inside a literal, in a tuple, of which INSERT), so three things are carried
+over the ranges as prefix scans, each by a summary row a range and a window over the
+lines of one range:
+
+* the parity of quotes: whether a line begins inside a literal;
+* the depth of parentheses outside literals: lines that begin inside a literal or a
+  tuple belong to the unit that began before, and a unit is whole tuples;
+* the INSERT header that unit follows, until a ``;`` outside literals ends it.
+
+Literals may hold ``;`` and line ends. Comments that hold a quote are not supported.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed patterns of the dump grammar: INSERT header, one parenthesised tuple,
 # one literal (quoted text with '' escapes, or a bare token such as null / 12).
-INSERT_RE = r"(?is)insert\s+into\s+(\w+)\s*\(([^)]*)\)\s*values\s*(.*)$"
+HEADER_RE = r"(?is)^\s*insert\s+into\s+(\w+)\s*\(([^)]*)\)"
 # Possessive, so that long literals need no regex stack.
 QUOTED = r"'(?:[^']++|'')*+'"
 TUPLE_RE = rf"\(((?:[^()']++|{QUOTED})*+)\)"
 LITERAL_RE = rf"{QUOTED}|[^,\s]++"
-STATEMENT_RE = rf"(?:[^';]++|{QUOTED})++"
+STATEMENT_RE = rf"(?:[^';]++|{QUOTED})++;?+|;"
+
+_RANGE = ["_file", "_range"]
+
+
+def _before(order: str):
+    """Rows of a range before a row, and ranges of a file before a range."""
+    rows = Window.partitionBy(*_RANGE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return rows, ranges
+
+
+def _sum_before(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``out``: the sum of ``value`` over all rows of the file before a row."""
+    rows, ranges = _before("_line")
+    total = df.groupBy(*_RANGE).agg(F.sum(value).alias("_t"))
+    carried = total.select(*_RANGE, F.coalesce(F.sum("_t").over(ranges), F.lit(0)).alias("_carried"))
+    own = df.withColumn("_own", F.coalesce(F.sum(value).over(rows), F.lit(0)))
+    return own.join(carried, _RANGE).withColumn(out, F.col("_own") + F.col("_carried")).drop("_own", "_carried")
+
+
+def _last_before(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``out``: the last ``value`` that is not NULL, of all rows of the file before a row."""
+    rows, ranges = _before("_line")
+    last = df.groupBy(*_RANGE).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_line"))).alias("_t"))
+    carried = last.select(*_RANGE, F.last("_t", ignorenulls=True).over(ranges).alias("_carried"))
+    own = df.withColumn("_own", F.last(value, ignorenulls=True).over(rows))
+    return own.join(carried, _RANGE).withColumn(out, F.coalesce("_own", "_carried")).drop("_own", "_carried")
+
+
+def _count(text, mark: str):
+    return F.char_length(text) - F.char_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def dump_units(spark: SparkSession, path) -> DataFrame:
+    """(table, cols, body): per unit of the dump that belongs to an INSERT, the table in
+    lower case, its column list as text, and text of whole tuples."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_range"),
+        F.monotonically_increasing_id().alias("_line")).withColumn("_quotes", _count(F.col("value"), "'"))
+    # outside literals: the line with the open literal before it closed up
+    inside = F.col("_q") % 2 == 1
+    whole = F.concat(F.when(inside, F.lit("'")).otherwise(F.lit("")), F.col("value"))
+    bare = F.regexp_replace(whole, r"'[^']*+(?:'|$)", "")
+    lines = _sum_before(lines, "_quotes", "_q").withColumn("_depth", _count(bare, "(") - _count(bare, ")"))
+    lines = _sum_before(lines, "_depth", "_d").withColumn("_new", F.when(inside | (F.col("_d") > 0), 0).otherwise(1))
+    lines = _sum_before(lines, "_new", "_u").withColumn("_unit", F.col("_u") + F.col("_new"))
+    units = lines.groupBy("_file", "_unit").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_range", "_line", "value"))), lambda x: x["value"]), "\n").alias("text"),
+        F.min(F.struct("_range", "_line")).alias("_at"))
+    # statements of a unit, in their order; a unit may end within one
+    parts = units.select("_file", F.col("_at._range").alias("_range"), F.posexplode(
+        F.regexp_extract_all("text", F.lit(STATEMENT_RE), F.lit(0))).alias("_k", "text"), F.col("_at._line").alias("_first"))
+    parts = parts.withColumn("_line", F.struct("_first", "_k"))
+    table, cols = F.lower(F.regexp_extract("text", HEADER_RE, 1)), F.regexp_extract("text", HEADER_RE, 2)
+    own = F.when(table != "", F.struct(table.alias("table"), cols.alias("cols")))
+    nothing = F.struct(F.lit("").alias("table"), F.lit("").alias("cols"))
+    parts = parts.withColumn("_own", own).withColumn("_after", F.when(F.col("text").endswith(";"), nothing).otherwise(F.col("_own")))
+    parts = _last_before(parts.withColumnRenamed("_own", "_head"), "_after", "_state")
+    head = F.coalesce("_head", "_state")
+    return parts.select(head["table"].alias("table"), head["cols"].alias("cols"), F.regexp_replace("text", HEADER_RE, "").alias("body")).where(
+        F.col("table") != "")
 
 
 def read_insert_dump(spark: SparkSession, path, table: str, schema: T.StructType) -> DataFrame:
     """Rows of ``table`` in an INSERT dump, typed by ``schema`` (``try_cast``)."""
-    cut = spark.read.option("lineSep", ";\n").text(path)
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit("'"), F.lit("")))
-    whole = F.when(quotes % 2 == 0, F.col("value")).otherwise(
-        F.raise_error(F.lit("a quoted literal holds ';' and a line end: not readable in parts")))
-    stmts = cut.select(F.explode(F.regexp_extract_all(whole, F.lit(STATEMENT_RE), F.lit(0))).alias("value"))
-    m = stmts.select(
-        F.lower(F.regexp_extract("value", INSERT_RE, 1)).alias("tbl"),
-        F.regexp_extract("value", INSERT_RE, 2).alias("cols"),
-        F.regexp_extract("value", INSERT_RE, 3).alias("vals"),
-    ).where(F.col("tbl") == table.lower())
-    rows = m.select(
-        F.transform(F.split(F.col("cols"), ","), lambda c: F.lower(F.trim(c))).alias("cols"),
-        F.explode(F.regexp_extract_all("vals", F.lit(TUPLE_RE), F.lit(1))).alias("tuple"),
+    units = dump_units(spark, path).where(F.col("table") == table.lower())
+    rows = units.select(
+        F.transform(F.split(F.col("cols"), ","), lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))).alias("cols"),
+        F.explode(F.regexp_extract_all("body", F.lit(TUPLE_RE), F.lit(1))).alias("tuple"),
     ).select("cols", F.regexp_extract_all("tuple", F.lit(LITERAL_RE), F.lit(0)).alias("toks"))
     vals = rows.select(F.map_from_arrays(
         "cols", F.transform("toks", lambda tok: _literal_expr(tok))).alias("m"))

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from fraudmart import schemas
+from fraudmart.operators.load import numbered
 
 FACT = "dwh_fact_transactions"
 #: Partition column of a table (a date), if it has one.
@@ -270,6 +271,22 @@ class Warehouse:
         """The table is exactly ``df`` afterwards."""
         self._swap(name, df, self.parts(name))
 
+    def key_ids(self, table: str, rows: DataFrame, key: str) -> DataFrame:
+        """The dictionary (key, id) of a table after the keys of ``rows`` were added.
+
+        Ids are dense and never change: new keys, in their order, are numbered from the
+        highest id on (NULL gets none). The keys that are new are written first, so ids
+        do not depend on how often a task runs."""
+        name, schema = f"keys_{table}", T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("id", T.LongType())])
+        with self.transaction():
+            known = self.read(name, schema)
+            new = rows.select(key).where(F.col(key).isNotNull()).distinct().join(known.select(key), key, "left_anti")
+            self.replace(f"stg_{name}", new.orderBy(key))
+            above = known.agg(F.max("id")).first()[0] or 0
+            staged = self.spark.read.schema(T.StructType([schema[key]])).parquet(self.path(f"stg_{name}"))
+            self.append(name, numbered(staged, key, above))
+        return self.read(name, schema)
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Staging semantics: the folder is exactly ``df`` afterwards (no commit: the
         staging of a run is its own)."""
