@@ -27,7 +27,7 @@ from fraudmart.operators.scd import OPEN_END, blacklist_increment, scd2_insert
 from fraudmart.plans.mart import fraud_report
 from fraudmart.session import ensure_checkpoint_dir
 from fraudmart.sources.delimited import read_delimited
-from fraudmart.sources.dump import read_insert_dump
+from fraudmart.sources.dump import dump_rows, dump_units
 from fraudmart.sources.tables import FACT, Part, Warehouse, move_file
 from fraudmart.sources.workbook import excel_date, read_workbook
 
@@ -51,9 +51,11 @@ def bootstrap_dims(spark: SparkSession, wh: Warehouse, dump_path: str, mode: str
     ``create_dt`` / ``update_dt``) plus SCD2 history ``<table>_hist``.
     """
     counts = {}
+    wh.replace("stg_seed_dump", dump_units(spark, dump_path))  # read once for all tables
+    units = spark.read.parquet(wh.path("stg_seed_dump"))
     with wh.transaction():
         for seed, table in SEED_TARGETS.items():
-            staged = read_insert_dump(spark, dump_path, seed, schemas.SEED[seed])
+            staged = dump_rows(units, seed, schemas.SEED[seed])
             if mode == DOCUMENTED:
                 rows = conform(rename_columns(staged, RENAMES[table]), schemas.WAREHOUSE[table])
                 load_dim_scd(wh, table, rows, run_dt or dt.date.today())

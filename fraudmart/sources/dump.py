@@ -11,7 +11,8 @@ lines of one range:
   tuple belong to the unit that began before, and a unit is whole tuples;
 * the INSERT header that unit follows, until a ``;`` outside literals ends it.
 
-Literals may hold ``;`` and line ends. Comments that hold a quote are not supported.
+Each scan reads what it sums twice, so its result is kept by a reliable checkpoint
+before the next one. Literals may hold ``;`` and line ends. Comments that hold a quote are not supported.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudmart.session import ensure_checkpoint_dir
+
 # Fixed patterns of the dump grammar: INSERT header, one parenthesised tuple,
 # one literal (quoted text with '' escapes, or a bare token such as null / 12).
 HEADER_RE = r"(?is)^\s*insert\s+into\s+(\w+)\s*\(([^)]*)\)"
@@ -64,6 +67,7 @@ def _count(text, mark: str):
 def dump_units(spark: SparkSession, path) -> DataFrame:
     """(table, cols, body): per unit of the dump that belongs to an INSERT, the table in
     lower case, its column list as text, and text of whole tuples."""
+    ensure_checkpoint_dir(spark)
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_range"),
         F.monotonically_increasing_id().alias("_line")).withColumn("_quotes", _count(F.col("value"), "'"))
@@ -71,8 +75,8 @@ def dump_units(spark: SparkSession, path) -> DataFrame:
     inside = F.col("_q") % 2 == 1
     whole = F.concat(F.when(inside, F.lit("'")).otherwise(F.lit("")), F.col("value"))
     bare = F.regexp_replace(whole, r"'[^']*+(?:'|$)", "")
-    lines = _sum_before(lines, "_quotes", "_q").withColumn("_depth", _count(bare, "(") - _count(bare, ")"))
-    lines = _sum_before(lines, "_depth", "_d").withColumn("_new", F.when(inside | (F.col("_d") > 0), 0).otherwise(1))
+    lines = _sum_before(lines, "_quotes", "_q").withColumn("_depth", _count(bare, "(") - _count(bare, ")")).checkpoint()
+    lines = _sum_before(lines, "_depth", "_d").withColumn("_new", F.when(inside | (F.col("_d") > 0), 0).otherwise(1)).checkpoint()
     lines = _sum_before(lines, "_new", "_u").withColumn("_unit", F.col("_u") + F.col("_new"))
     units = lines.groupBy("_file", "_unit").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_range", "_line", "value"))), lambda x: x["value"]), "\n").alias("text"),
@@ -85,7 +89,7 @@ def dump_units(spark: SparkSession, path) -> DataFrame:
     own = F.when(table != "", F.struct(table.alias("table"), cols.alias("cols")))
     nothing = F.struct(F.lit("").alias("table"), F.lit("").alias("cols"))
     parts = parts.withColumn("_own", own).withColumn("_after", F.when(F.col("text").endswith(";"), nothing).otherwise(F.col("_own")))
-    parts = _last_before(parts.withColumnRenamed("_own", "_head"), "_after", "_state")
+    parts = _last_before(parts.withColumnRenamed("_own", "_head").checkpoint(), "_after", "_state")
     head = F.coalesce("_head", "_state")
     return parts.select(head["table"].alias("table"), head["cols"].alias("cols"), F.regexp_replace("text", HEADER_RE, "").alias("body")).where(
         F.col("table") != "")
@@ -93,8 +97,12 @@ def dump_units(spark: SparkSession, path) -> DataFrame:
 
 def read_insert_dump(spark: SparkSession, path, table: str, schema: T.StructType) -> DataFrame:
     """Rows of ``table`` in an INSERT dump, typed by ``schema`` (``try_cast``)."""
-    units = dump_units(spark, path).where(F.col("table") == table.lower())
-    rows = units.select(
+    return dump_rows(dump_units(spark, path), table, schema)
+
+
+def dump_rows(units: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``table`` from the units of a dump."""
+    rows = units.where(F.col("table") == table.lower()).select(
         F.transform(F.split(F.col("cols"), ","), lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))).alias("cols"),
         F.explode(F.regexp_extract_all("body", F.lit(TUPLE_RE), F.lit(1))).alias("tuple"),
     ).select("cols", F.regexp_extract_all("tuple", F.lit(LITERAL_RE), F.lit(0)).alias("toks"))
