@@ -30,7 +30,8 @@ from fraudmart.session import scratch_path
 from fraudmart.sources.delimited import TIMESTAMP_FORMAT, read_delimited
 from fraudmart.sources.dump import read_insert_dump
 from fraudmart.sources.tables import Warehouse, export_report
-from fraudmart.sources.workbook import read_workbook, write_workbook
+from fraudmart.plans.workbook_files import write_workbook
+from fraudmart.sources.workbook import read_workbook
 
 CHECKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 AMOUNT_CHECK_LIMIT_S = 3 * 86400  # the 20-minute default finds nothing in the test events
@@ -865,11 +866,12 @@ def _write_terminal_workbooks(spark, sf, root: str) -> None:
         import os
 
         import pandas as pd
-        os.makedirs(root, exist_ok=True)  # executors write to the shared (mounted) folder
+        folder = root.removeprefix("file://")
+        os.makedirs(folder, exist_ok=True)  # executors write to the shared (mounted) folder
         region = int(pdf["n_regionkey"].iloc[0])
         rows = pdf[cols].astype(object).where(pdf[cols].notna(), None).values.tolist()
         old = [r[:3] + [str(r[3]) + " old"] for r in rows[: len(rows) // 2]]
-        path = f"{root}/terminals_r{region}_01012000.xlsx"
+        path = f"{folder}/terminals_r{region}_01012000.xlsx"
         write_workbook(path, {"old": [cols] + old, "current": [cols] + rows})
         return pd.DataFrame({"path": [path], "rows": [len(rows)]})
 

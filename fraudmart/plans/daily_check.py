@@ -22,7 +22,7 @@ from fraudmart.plans.checks import check, seed_dump
 from fraudmart.plans.pipeline import bootstrap_dims, run_pending
 from fraudmart.session import scratch_path
 from fraudmart.sources.tables import Warehouse, list_files, move_file
-from fraudmart.sources.workbook import write_workbook
+from fraudmart.plans.workbook_files import write_workbook
 from fraudmart.streaming.ingest import run_days_stream
 
 FIRST = dt.date(2024, 1, 10)

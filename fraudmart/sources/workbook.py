@@ -1,30 +1,35 @@
-"""Workbook (.xlsx) files as a Spark source.
+"""Workbook (.xlsx) files as a Spark data source (``spark.read.format("workbook")``).
 
-A workbook is a zip archive and cannot be split, so each file is one task:
-``binaryFile`` lists the files, ``mapInPandas`` opens each with the standard
-library (``zipfile`` + ``xml.etree``) and emits one row per data row. Many
-daily files are read in parallel; no workbook passes through the driver.
+One partition a sheet. A sheet's XML is read as a stream out of the archive, and its
+rows go on in Arrow batches of bounded size, so a task's memory does not depend on the
+length of the sheet (but for the workbook's table of shared texts, which a cell can
+refer to at any place). The driver's worker reads the list of sheets of each file only.
+Cells come as text; conversion and filtering are DataFrame functions.
 """
 
 from __future__ import annotations
 
-import io
+import json
 import posixpath
 import re
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from fraudmart.session import ship_package
 
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
-       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
-       "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
+      "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
+      "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+BATCH_ROWS = 4096
 _REF = re.compile(r"([A-Z]+)(\d+)")
+_MAIN = f"{{{NS['m']}}}"
 
 
 def _col_index(letters: str) -> int:
@@ -34,11 +39,15 @@ def _col_index(letters: str) -> int:
     return n - 1
 
 
+def _texts(item) -> str:
+    return "".join(t.text or "" for t in item.iter(_MAIN + "t"))
+
+
 def _cell_text(cell, shared):
     kind = cell.get("t")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{{{_NS['m']}}}t"))
-    v = cell.find("m:v", _NS)
+        return _texts(cell)
+    v = cell.find("m:v", NS)
     if v is None or v.text is None:
         return None
     if kind == "s":
@@ -48,34 +57,101 @@ def _cell_text(cell, shared):
     return v.text
 
 
-def parse_workbook(data: bytes):
-    """Yield ``(sheet_index, sheet_name, rows)``; rows are lists of cell texts."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = set(z.namelist())
-        shared = []
-        if "xl/sharedStrings.xml" in names:
-            root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            for si in root.findall("m:si", _NS):
-                shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-        rels = {}
-        if "xl/_rels/workbook.xml.rels" in names:
-            for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("rel:Relationship", _NS):
-                rels[r.get("Id")] = r.get("Target")
-        wb = ET.fromstring(z.read("xl/workbook.xml"))
-        for idx, sheet in enumerate(wb.findall("m:sheets/m:sheet", _NS)):
-            target = rels.get(sheet.get(f"{{{_NS['r']}}}id"), f"worksheets/sheet{idx + 1}.xml")
-            part = target.lstrip("/") if target.startswith("/") else posixpath.normpath("xl/" + target)
-            root = ET.fromstring(z.read(part))
-            rows = []
-            for row in root.iter(f"{{{_NS['m']}}}row"):
-                cells = {}
-                for c in row.findall("m:c", _NS):
-                    m = _REF.match(c.get("r", ""))
-                    pos = _col_index(m.group(1)) if m else len(cells)
-                    cells[pos] = _cell_text(c, shared)
-                width = max(cells) + 1 if cells else 0
-                rows.append([cells.get(i) for i in range(width)])
-            yield idx, sheet.get("name"), rows
+def _elements(stream, tag: str):
+    """Elements of a name as they end; each goes from the tree when the next one is asked for."""
+    above = []
+    for event, e in ET.iterparse(stream, events=("start", "end")):
+        if event == "start":
+            above.append(e)
+            continue
+        above.pop()
+        if e.tag == tag:
+            yield e
+            above[-1].clear()
+
+
+def sheets_of(z: zipfile.ZipFile) -> list[tuple[str, str]]:
+    """(name, part of the archive) of the sheets, in order."""
+    names, rels = set(z.namelist()), {}
+    if "xl/_rels/workbook.xml.rels" in names:
+        for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("rel:Relationship", NS):
+            rels[r.get("Id")] = r.get("Target")
+    out = []
+    for i, sheet in enumerate(ET.fromstring(z.read("xl/workbook.xml")).findall("m:sheets/m:sheet", NS)):
+        target = rels.get(sheet.get(f"{{{NS['r']}}}id"), f"worksheets/sheet{i + 1}.xml")
+        out.append((sheet.get("name"), target.lstrip("/") if target.startswith("/") else posixpath.normpath("xl/" + target)))
+    return out
+
+
+def sheet_rows(z: zipfile.ZipFile, part: str) -> Iterator[list[str | None]]:
+    """Cell texts of the rows of a sheet, one row at a time."""
+    shared = []
+    if "xl/sharedStrings.xml" in z.namelist():
+        with z.open("xl/sharedStrings.xml") as f:
+            shared = [_texts(e) for e in _elements(f, _MAIN + "si")]
+    with z.open(part) as f:
+        for row in _elements(f, _MAIN + "row"):
+            cells = {}
+            for c in row.findall("m:c", NS):
+                m = _REF.match(c.get("r", ""))
+                cells[_col_index(m.group(1)) if m else len(cells)] = _cell_text(c, shared)
+            yield [cells.get(i) for i in range(max(cells) + 1 if cells else 0)]
+
+
+class Sheet(InputPartition):
+    def __init__(self, path: str, name: str, part: str):
+        super().__init__(None)
+        self.path, self.name, self.part = path, name, part
+
+
+def _open(path: str):
+    fs, at = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+    return fs.open_input_file(at)
+
+
+class WorkbookReader(DataSourceReader):
+    def __init__(self, paths: list[str], columns: list[str], sheets: str):
+        self.paths, self.columns, self.sheets = paths, columns, sheets
+
+    def partitions(self) -> list[InputPartition]:
+        found = []
+        for path in self.paths:
+            with _open(path) as f, zipfile.ZipFile(f) as z:
+                own = sheets_of(z)
+            found += [Sheet(path, name, part) for name, part in (own[-1:] if self.sheets == "last" else own)]
+        return found
+
+    def read(self, sheet: Sheet) -> Iterator[pa.RecordBatch]:
+        if sheet is None:  # no sheets at all
+            return
+        file_name = posixpath.basename(sheet.path)
+        schema = pa.schema([(c, pa.string()) for c in ("file_name", "sheet", *self.columns)])
+        with _open(sheet.path) as f, zipfile.ZipFile(f) as z:
+            rows, out = sheet_rows(z, sheet.part), []
+            place = {("" if h is None else str(h)).strip(): i for i, h in enumerate(next(rows, []))}
+            at = [place.get(c, -1) for c in self.columns]
+            for r in rows:
+                if any(v is not None for v in r):
+                    out.append([file_name, sheet.name, *[r[i] if 0 <= i < len(r) else None for i in at]])
+                if len(out) == BATCH_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*out)], schema=schema)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*out)], schema=schema)
+
+
+class WorkbookSource(DataSource):
+    """Options: ``paths`` and ``columns`` (JSON lists), ``sheets`` (last / all)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "workbook"
+
+    def schema(self) -> str:
+        return ", ".join(["file_name string", "sheet string"] + [f"`{c}` string" for c in json.loads(self.options["columns"])])
+
+    def reader(self, schema) -> DataSourceReader:
+        return WorkbookReader(json.loads(self.options["paths"]), json.loads(self.options["columns"]), self.options["sheets"])
 
 
 def read_workbook(spark: SparkSession, path, columns: list[str], sheets: str = "last") -> DataFrame:
@@ -84,32 +160,14 @@ def read_workbook(spark: SparkSession, path, columns: list[str], sheets: str = "
     Output: ``file_name``, ``sheet``, then ``columns`` as strings (a header that
     is missing gives NULLs). ``sheets="last"`` keeps only the last sheet of each
     file — loading every sheet into one replaced table leaves exactly that;
-    ``"all"`` keeps all sheets.
+    ``"all"`` keeps all sheets. Files may be where Arrow's filesystems reach
+    (mounted folders, HDFS, S3, GCS).
     """
-    out_schema = ", ".join(["file_name string", "sheet string"] + [f"`{c}` string" for c in columns])
-
-    def parse(batches):
-        for pdf in batches:
-            out = []
-            for path_, content in zip(pdf["path"], pdf["content"]):
-                parsed = list(parse_workbook(bytes(content)))
-                if sheets == "last":
-                    parsed = parsed[-1:]
-                for _, name, rows in parsed:
-                    if not rows:
-                        continue
-                    header = [("" if h is None else str(h)).strip() for h in rows[0]]
-                    pos = {h: i for i, h in enumerate(header)}
-                    for r in rows[1:]:
-                        if all(v is None for v in r):
-                            continue
-                        vals = [r[pos[c]] if c in pos and pos[c] < len(r) else None for c in columns]
-                        out.append([posixpath.basename(path_), name] + vals)
-            yield pd.DataFrame(out, columns=["file_name", "sheet"] + columns)
-
     ship_package(spark)  # the tasks import this module
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(parse, out_schema)
+    spark.dataSource.register(WorkbookSource)
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()  # one small row a file
+    return (spark.read.format("workbook").option("paths", json.dumps(sorted(r["path"] for r in listed)))
+            .option("columns", json.dumps(columns)).option("sheets", sheets).load())
 
 
 def excel_date(c) -> Column:
@@ -121,53 +179,3 @@ def excel_date(c) -> Column:
                   F.date_add(F.lit("1899-12-30").cast("date"), F.floor(as_num).cast("int"))
                   ).otherwise(F.coalesce(
                       col.try_cast("date"), F.try_to_timestamp(col, F.lit("dd.MM.yyyy")).cast("date")))
-
-
-def write_workbook(path: str, sheets: dict[str, list[list]]) -> None:
-    """Minimal .xlsx writer (inline strings, numbers) for test fixtures."""
-    def cell_ref(i, j):
-        letters, n = "", j + 1
-        while n:
-            n, r = divmod(n - 1, 26)
-            letters = chr(65 + r) + letters
-        return f"{letters}{i + 1}"
-
-    def sheet_xml(rows):
-        out = []
-        for i, row in enumerate(rows):
-            cells = []
-            for j, v in enumerate(row):
-                if v is None:
-                    continue
-                if isinstance(v, (int, float)) and not isinstance(v, bool):
-                    cells.append(f'<c r="{cell_ref(i, j)}"><v>{v}</v></c>')
-                else:
-                    cells.append(f'<c r="{cell_ref(i, j)}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>')
-            out.append(f'<row r="{i + 1}">{"".join(cells)}</row>')
-        return (f'<worksheet xmlns="{_NS["m"]}"><sheetData>{"".join(out)}</sheetData></worksheet>')
-
-    names = list(sheets)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml",
-                   '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-                   '<Default Extension="xml" ContentType="application/xml"/>'
-                   '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-                   '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-                   + "".join(f'<Override PartName="/xl/worksheets/sheet{i + 1}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-                             for i in range(len(names))) + "</Types>")
-        z.writestr("_rels/.rels",
-                   f'<Relationships xmlns="{_NS["rel"]}"><Relationship Id="rId1" '
-                   'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
-                   'Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml",
-                   f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
-                   + "".join(f'<sheet name="{escape(n)}" sheetId="{i + 1}" r:id="rId{i + 1}"/>'
-                             for i, n in enumerate(names)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   f'<Relationships xmlns="{_NS["rel"]}">'
-                   + "".join(f'<Relationship Id="rId{i + 1}" '
-                             'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
-                             f'Target="worksheets/sheet{i + 1}.xml"/>' for i in range(len(names)))
-                   + "</Relationships>")
-        for i, n in enumerate(names):
-            z.writestr(f"xl/worksheets/sheet{i + 1}.xml", sheet_xml(sheets[n]))

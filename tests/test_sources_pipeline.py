@@ -13,7 +13,8 @@ from fraudmart.plans.pipeline import DayFiles, bootstrap_dims, run_day
 from fraudmart.sources.delimited import read_delimited
 from fraudmart.sources.dump import read_insert_dump
 from fraudmart.sources.tables import Warehouse
-from fraudmart.sources.workbook import excel_date, read_workbook, write_workbook
+from fraudmart.plans.workbook_files import write_workbook
+from fraudmart.sources.workbook import excel_date, read_workbook
 
 SEED_DUMP = """/*
 cards
