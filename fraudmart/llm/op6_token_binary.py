@@ -7,11 +7,12 @@ shard: ``.bin`` (ids, little-endian uint16, or uint32 for a vocabulary above
 shard's counts; the id base of a shard is the prefix sum over the shards before
 it. Shards are read by memory map (local or mounted folders) or an open file.
 
-Encoding: the tokenizer drops white space and splits at it before anything
-else, so texts are cut at ASCII white space and each distinct piece is encoded
-by the library once per worker (a bounded cache); this equals encoding the text.
-That holds for tokenizers that fold case and split letters from full stops and
-commas, like the public word-level file used here.
+Encoding: where the file's normalizer and pre-tokenizer show that white space is
+dropped, case folded and letters split from full stops and commas (``by_words``,
+like the public word-level file used here), texts are cut at ASCII white space and
+each distinct piece is encoded by the library once per worker (a bounded cache),
+words of letters many at a time: their tokens are told apart by the tokens that end
+a word. This equals encoding the text. With any other file whole texts are encoded.
 
 Cases: a null or blank text has only the end id; null ids come first; equal ids
 are ordered by a hash of the text (equal texts have equal ids); an empty table
@@ -20,6 +21,7 @@ gives no shards; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -37,11 +39,25 @@ from fraudmart.llm.common import filesystem, join_path, prepare, stored
 from fraudmart.session import scratch_path
 
 CACHE = 1 << 20  # distinct pieces kept per worker process
+JOINED = 1024  # words of letters encoded as one text
+SHARD_BYTES = 1 << 28  # text of a shard, about
+#: Steps of the tokenizers whose words can be encoded apart (fixed values of their format).
+FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+           "behavior": "Removed", "invert": True},
+          {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 
 
 _ENCODERS: dict[str, tuple] = {}
 
 
+def by_words(spec: dict) -> bool:
+    """Whether a tokenizer file drops white space and then treats each word by itself."""
+    model = spec["model"]
+    return ((spec.get("normalizer") or {}).get("normalizers") == FOLDS and (spec.get("pre_tokenizer") or {}).get("pretokenizers") == SPLITS
+            and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout"))
+
+
 def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
     """(texts -> ids as raw little-endian bytes, dtype) for a tokenizer file; one per
     worker process."""
@@ -52,28 +68,60 @@ def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
     tokenizer = Tokenizer.from_file(vocab)
     dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
     kind = "H" if dtype == "<u2" else "I"
+    pack = lambda ids: struct.pack(f"<{len(ids)}{kind}", *ids)
+    with open(vocab, encoding="utf-8") as f:
+        spec = json.load(f)
+    if not by_words(spec):
+        def whole(texts: list[str | None]) -> list[bytes]:
+            return [pack(e.ids) for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+
+        _ENCODERS[vocab] = whole, dtype
+        return _ENCODERS[vocab]
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith("</w>")]] = True
+    width = int(dtype[-1])
     cache: dict[bytes, bytes] = {}
 
     def learn(words: set[bytes]) -> None:
         # a last full stop or comma behind a letter is a token of its own
         stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
-        plain = list((words.difference(stems) | set(stems.values()) | {b".", b","}).difference(cache))
-        for at in range(0, len(plain), 1 << 14):
-            part = plain[at:at + (1 << 14)]
-            made = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            cache.update(zip(part, (struct.pack(f"<{len(e.ids)}{kind}", *e.ids) for e in made)))
+        letters, others = [], []
+        for w in (words.difference(stems) | set(stems.values()) | {b".", b","}).difference(cache):
+            text = w.decode()
+            (letters if text.isalpha() else others).append((w, text))
+        for at in range(0, len(letters), JOINED):
+            part = letters[at:at + JOINED]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join([t for _, t in part])], add_special_tokens=False)[0].ids, dtype)
+            edge = (np.flatnonzero(ends[ids]) + 1) * width
+            if len(edge) != len(part):  # some are more than one word to the tokenizer
+                others += part
+                continue
+            raw, first = ids.tobytes(), 0
+            for (w, _), last in zip(part, edge.tolist()):
+                cache[w] = raw[first:last]
+                first = last
+        for at in range(0, len(others), 1 << 14):
+            part = others[at:at + (1 << 14)]
+            made = tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
+            cache.update((w, pack(e.ids)) for (w, _), e in zip(part, made))
         cache.update((w, cache[stem] + cache[w[-1:]]) for w, stem in stems.items())
 
+    def cut(raw: bytes) -> list[bytes]:
+        # the tokenizer ignores case, but for its special tokens; it composes letters before it
+        # lowers them, some in one case only, with marks that begin with these bytes
+        if b"<|" in raw:
+            return raw.split()
+        if b"\xcc" in raw or b"\xcd" in raw:
+            return [w.lower() if w.isascii() else w for w in raw.split()]
+        return raw.lower().split()
+
     def encode(texts: list[str | None]) -> list[bytes]:
-        raw = [(t or "").encode("utf-8", "replace") for t in texts]
-        # the tokenizer ignores case, but for its special tokens; beyond ASCII it composes letters
-        # before it lowers them, and some compose in one case only
-        words = [r.split() if b"<|" in r else r.lower().split() if r.isascii()
-                 else [w.lower() if w.isascii() else w for w in r.split()] for r in raw]
-        new = {w for ws in words for w in ws}.difference(cache)
+        words = [cut((t or "").encode("utf-8", "replace")) for t in texts]
+        every = set().union(*words)
+        new = every.difference(cache)
         if len(cache) + len(new) > CACHE:
             cache.clear()
-            new = {w for ws in words for w in ws}
+            new = every
         learn(new)
         return [b"".join(map(cache.__getitem__, ws)) for ws in words]
 
@@ -86,7 +134,9 @@ def write_shards(docs: DataFrame, folder: str, vocab: str, end_id: int, id_col:
     """Write the shards; returns the manifest with ``base`` (ids before the shard)."""
     spark = docs.sparkSession
     prepare(spark)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     order = [F.asc_nulls_first("id"), F.asc("tie")]

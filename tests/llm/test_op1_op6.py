@@ -85,3 +85,16 @@ def test_capitals_composed_in_lower_case_only():
     got = [np.frombuffer(x, dtype).tolist() for x in encode(texts)]
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert got[texts.index("H\u0331aram.")][:4] == [327, 136, 365, 21473]
+
+
+def test_words_of_letters_and_other_files(spark):
+    rng = random.Random(12)
+    bits = ["Straße", "İstanbul", "H̱aram", "ﬀ", "don't", "x.", "日本語", "ab1c", "É", "é", "ǅ", "ΣΑΣ", "<|endoftext|>", "a,b", "naïve."]
+    texts = [" ".join(rng.choice(bits + ["".join(rng.choice("abcdéüñ") for _ in range(5))]) for _ in range(rng.randint(0, 3000)))
+             for _ in range(12)] + [None, ""]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):  # words apart, and whole texts
+        path = public_tokenizers.path(name)
+        encode, dtype = op6.encoder(path)
+        library = Tokenizer.from_file(path)
+        got = [np.frombuffer(x, dtype).tolist() for x in encode(texts)]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
