@@ -40,7 +40,6 @@ from fraudmart.session import scratch_path
 
 CACHE = 1 << 20  # distinct pieces kept per worker process
 JOINED = 1024  # words of letters encoded as one text
-SHARD_BYTES = 1 << 28  # text of a shard, about
 #: Steps of the tokenizers whose words can be encoded apart (fixed values of their format).
 FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLITS = [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
@@ -84,27 +83,27 @@ def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
 
     def learn(words: set[bytes]) -> None:
         # a last full stop or comma behind a letter is a token of its own
-        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
-        letters, others = [], []
-        for w in (words.difference(stems) | set(stems.values()) | {b".", b","}).difference(cache):
-            text = w.decode()
-            (letters if text.isalpha() else others).append((w, text))
+        stems = {w: w[:-1] for w in words if w.endswith((b".", b",")) and w[-2:-1].isalpha()}
+        plain = words.difference(stems)
+        plain.update(stems.values(), (b".", b","))
+        plain.difference_update(cache)
+        letters = [w for w in plain if w.isalpha() or not w.isascii() and w.decode().isalpha()]
+        others = list(plain.difference(letters))
         for at in range(0, len(letters), JOINED):
             part = letters[at:at + JOINED]
-            ids = np.array(tokenizer.encode_batch_fast([" ".join([t for _, t in part])], add_special_tokens=False)[0].ids, dtype)
-            edge = (np.flatnonzero(ends[ids]) + 1) * width
+            text = b" ".join(part).decode()
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype)
+            edge = ((np.flatnonzero(ends[ids]) + 1) * width).tolist()
             if len(edge) != len(part):  # some are more than one word to the tokenizer
                 others += part
                 continue
-            raw, first = ids.tobytes(), 0
-            for (w, _), last in zip(part, edge.tolist()):
-                cache[w] = raw[first:last]
-                first = last
+            raw = ids.tobytes()
+            cache.update(zip(part, [raw[a:b] for a, b in zip([0, *edge], edge)]))
         for at in range(0, len(others), 1 << 14):
             part = others[at:at + (1 << 14)]
-            made = tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
-            cache.update((w, pack(e.ids)) for (w, _), e in zip(part, made))
-        cache.update((w, cache[stem] + cache[w[-1:]]) for w, stem in stems.items())
+            made = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            cache.update(zip(part, [pack(e.ids) for e in made]))
+        cache.update([(w, cache[stem] + cache[w[-1:]]) for w, stem in stems.items()])
 
     def cut(raw: bytes) -> list[bytes]:
         # the tokenizer ignores case, but for its special tokens; it composes letters before it
@@ -134,9 +133,8 @@ def write_shards(docs: DataFrame, folder: str, vocab: str, end_id: int, id_col:
     """Write the shards; returns the manifest with ``base`` (ids before the shard)."""
     spark = docs.sparkSession
     prepare(spark)
-    if not shards:
-        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    if not shards:  # one for each part of the input, so their number grows with its bytes
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     order = [F.asc_nulls_first("id"), F.asc("tie")]
@@ -200,11 +198,12 @@ def read_shards(manifest: DataFrame, with_ids: bool = False, step: int = 1024) -
                         offsets = np.frombuffer(idx.read_at((k + 1) * 8, at * 8), "<i8")
                         keys = np.frombuffer(doc.read_at(k * 8, at * 8), "<i8")
                         valid = np.frombuffer(doc.read_at(k, n * 8 + at), "u1")
-                        spans = [np.frombuffer(ids.read_at(int(b - a) * width, int(a) * width), r["dtype"]).astype("<u4")
-                                 for a, b in zip(offsets[:-1], offsets[1:])]
+                        first, last = int(offsets[0]), int(offsets[-1])
+                        chunk = np.frombuffer(ids.read_at((last - first) * width, first * width), r["dtype"]).astype("<u4")
+                        spans = [chunk[a:b] for a, b in zip((offsets[:-1] - first).tolist(), (offsets[1:] - first).tolist())]
                         columns = [pa.array(keys, mask=valid == 0), pa.array(offsets[:-1] + r["base"]),
                                    pa.array(np.diff(offsets)),
-                                   pa.array([zlib.crc32(s.tobytes()) for s in spans], pa.int64())]
+                                   pa.array([zlib.crc32(s) for s in spans], pa.int64())]
                         names = ["id", "start", "n_tokens", "ids_crc32"]
                         if with_ids:
                             columns.append(pa.array([s.tolist() for s in spans], pa.list_(pa.int64())))
