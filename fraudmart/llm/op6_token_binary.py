@@ -86,7 +86,7 @@ def encoder(vocab: str) -> tuple[Callable[[list[str]], list[bytes]], str]:
         stems = {w: w[:-1] for w in words if w.endswith((b".", b",")) and w[-2:-1].isalpha()}
         plain = words.difference(stems)
         plain.update(stems.values(), (b".", b","))
-        plain.difference_update(cache)
+        plain = plain.difference(cache)  # walks the words, difference_update would walk the cache
         letters = [w for w in plain if w.isalpha() or not w.isascii() and w.decode().isalpha()]
         others = list(plain.difference(letters))
         for at in range(0, len(letters), JOINED):
