@@ -38,17 +38,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return op8.ledger(named).filter(op8.verdict(POLICY)).select("doc.*")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__id``, one for each distinct pair of id and text: the id itself,
+    and a number from the text above 2^62 for documents without an id and, where texts
+    of one id differ, for all but one of them (that with the least digest)."""
+    named = docs.select(*_columns(docs), F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__digest"))
+    several = named.filter("__doc is not null").groupBy("__doc").agg(
+        F.min("__digest").alias("__least"), F.max("__digest").alias("__most")).filter("__least <> __most")
+    joined = named.join(several.select("__doc", "__least"), "__doc", "left")
+    own = F.col("__doc").isNotNull() & F.coalesce(F.col("__digest") == F.col("__least"), F.lit(True))
+    other = F.xxhash64("__doc", "__digest").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    return joined.select(*_columns(docs), F.when(own, F.col("__doc")).otherwise(other).alias("__id"))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one whose id names it. Repeated rows of
-    one id stay once; documents without an id get one from their text, above 2^62,
-    so that equal ones stay once and any other document goes before them."""
+    """One document of each group stays: the one whose id names it. Repeated rows of one
+    id and text stay once (the least of them); different texts of one id are documents of
+    their own; any document with an id goes before those without."""
     prepare(spark)
-    own = F.coalesce(F.col("doc_id").cast("long"),
-                     F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)).alias("__id")
-    named = docs.select(*_columns(docs), own)
+    named = stored(_keyed(docs), "pipeline-keyed")
     found = op4.near_duplicates(named, id_col="__id", shingle=4, max_bits=4)
     keep = stored(found.filter("id = component_id").select(F.col("id").alias("__id")).distinct(), "pipeline-keep")
-    return named.join(keep, "__id", "left_semi").dropDuplicates(["__id"]).select(*_columns(docs))
+    rows = named.join(keep, "__id", "left_semi").groupBy("__id").agg(F.min(F.struct(*_columns(docs))).alias("doc"))
+    return rows.select("doc.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
