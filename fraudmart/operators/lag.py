@@ -71,8 +71,8 @@ def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int) -> list[int]:
     return [r["_h"] for r in found.collect()]
 
 
-def _by_heat(df: DataFrame, by: list[str], hot_rows: int, plain, split) -> DataFrame:
-    hot = hot_keys(df, by, hot_rows)
+def _by_heat(df: DataFrame, by: list[str], hot_rows: int, plain, split, heat: DataFrame | None = None) -> DataFrame:
+    hot = hot_keys(df if heat is None else heat, by, hot_rows)
     if not hot:
         return plain(df)
     is_hot = F.xxhash64(*by).isin(hot)
@@ -100,19 +100,20 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], lags: dic
 
 
 def lag_columns(df: DataFrame, by: Sequence[str], order: Sequence[str], lags: dict[str, tuple[str, int]],
-                bucket_seconds: int | None = 3600, hot_rows: int = HOT_ROWS) -> DataFrame:
+                bucket_seconds: int | None = 3600, hot_rows: int = HOT_ROWS, heat: DataFrame | None = None) -> DataFrame:
     """Add ``out = LAG(col, k) OVER (PARTITION BY by ORDER BY order)`` for each
     ``out -> (col, k)`` in ``lags``.
 
     ``bucket_seconds=None`` gives the plain single-window form for all keys; else keys
     with more than ``hot_rows`` rows take the split form in buckets of so many seconds,
-    with identical results. ``order[0]`` must be a timestamp or date column.
+    with identical results. ``order[0]`` must be a timestamp or date column. Keys are
+    counted in ``heat`` if given: a frame with no fewer rows a key that is cheaper to read.
     """
     by, order = list(by), list(order)
     plain = lambda x: _plain_lag(x, by, order, lags)
     if not bucket_seconds:
         return plain(df)
-    return _by_heat(df, by, hot_rows, plain, lambda x: _split_lag(x, by, order, lags, bucket_seconds))
+    return _by_heat(df, by, hot_rows, plain, lambda x: _split_lag(x, by, order, lags, bucket_seconds), heat)
 
 
 def _plain_lag(df, by, order, lags):

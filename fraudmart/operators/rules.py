@@ -126,12 +126,12 @@ def _after_window_batch(df: DataFrame, batch: Batch | None, mode: str) -> DataFr
     return range_filter(df, batch.start, batch.end, part=None)
 
 
-def _lagged(src: DataFrame, lags: dict, limit_s: int | None, bucket_s: int | None, hot_rows: int) -> DataFrame:
+def _lagged(src: DataFrame, lags: dict, limit_s: int | None, bucket_s: int | None, hot_rows: int, fact: DataFrame) -> DataFrame:
     """``LAG`` per card: by range replication where a limit bounds how far back a value
     counts, else over all history; ``bucket_s=None`` is the plain window in any case."""
     if bucket_s and limit_s is not None:
         return lag_within(src, ["card_num"], ORDER, lags, limit_s)
-    return lag_columns(src, ["card_num"], ORDER, lags, bucket_s, hot_rows)
+    return lag_columns(src, ["card_num"], ORDER, lags, bucket_s, hot_rows, fact)
 
 
 def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCUMENTED,
@@ -147,7 +147,7 @@ def hits_city(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DOCU
     src = _history(fact, batch, mode, limit, ["trans_id", "trans_date", "card_num", "terminal"])
     terminals = dims.terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
     src = src.join(terminals, "terminal", "inner").drop("terminal")
-    lagged = _lagged(src, {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)}, limit, bucket_s, hot_rows)
+    lagged = _lagged(src, {"lag_city": ("terminal_city", 1), "lag_trans_date": ("trans_date", 1)}, limit, bucket_s, hot_rows, fact)
     moved = lagged.where((F.col("terminal_city") != F.col("lag_city"))
                          & within_interval("trans_date", "lag_trans_date", limit))
     found = _after_window_batch(moved, batch, mode)
@@ -190,7 +190,7 @@ def hits_amount(fact: DataFrame, dims: Dims, batch: Batch | None, mode: str = DO
             src = src.where(batch.staged.exists())
     else:
         src = _history(fact, batch, mode, limit, cols)
-    lagged = _lagged(src, AMOUNT_LAGS, limit, bucket_s, hot_rows)
+    lagged = _lagged(src, AMOUNT_LAGS, limit, bucket_s, hot_rows, fact)
     found = lagged.where(amount_pattern(limit))
     if mode == OBSERVED:
         found = found.where(F.col("trans_date").isNotNull())
