@@ -237,12 +237,22 @@ def test_lm_scores_every_word(spark):
     assert max(got[i]["ce_diff"] for i in range(1, 200, 2)) < 0 < min(got[i]["ce_diff"] for i in range(0, 200, 2))
 
 
-def test_lm_joins_what_is_not_looked_up(spark, monkeypatch):
-    df = spark.createDataFrame([(i, f"a b w{i % 7} c") for i in range(50)], "doc_id long, text string")
+def test_lm_blocks_and_buckets_change_nothing(spark, monkeypatch):
+    long = " ".join(f"a w{i % 50}" for i in range(3000))
+    texts = [f"a b w{i % 7} c" for i in range(50)] + [long, None, " ", "a b w0 c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     targets = df.filter("doc_id % 3 = 0").select(F.col("doc_id").alias("id"))
     scores = []
-    for heavy in (0.01, 1 << 15):  # all joined, all looked up
-        monkeypatch.setattr(op5, "HEAVY", heavy)
-        scores.append([(r["id"], r["ce_diff"]) for r in op5.score(df, op5.fit(df, targets)).orderBy("id").collect()])
-    assert [x[0] for x in scores[0]] == list(range(50))
-    assert [x[1] for x in scores[0]] == pytest.approx([x[1] for x in scores[1]], abs=1e-12)
+    for words in (1, 40, 1 << 20):  # a block and a bucket for about as many words
+        monkeypatch.setattr(op5, "BLOCK", words * 16)
+        monkeypatch.setattr(op5, "BUCKET", words)
+        model = op5.fit(df, targets)
+        # the counted documents, and the same ones as others
+        scores += [{r["id"]: tuple(r) for r in op5.score(d, model).collect()} for d in (df, df.select("*"))]
+    assert all(sorted(x) == list(range(len(texts))) for x in scores)
+    for x in scores[1:]:
+        assert all(x[i] == pytest.approx(scores[0][i], abs=1e-12) for i in x)
+    assert scores[0][0][1:] == scores[0][53][1:] and scores[0][51][1:] == scores[0][52][1:] == (0, 0.0, 0.0, 0.0)
+    assert op5.score(df.filter(F.lit(False)), op5.fit(df.filter(F.lit(False)), targets)).count() == 0
+    repeated = df.unionAll(df)
+    assert op5.score(repeated, op5.fit(repeated, targets)).count() == 2 * len(texts)
