@@ -50,6 +50,7 @@ HELD = 400_000  # distinct words a task holds before it passes its counts on
 BLOCK = 1 << 20  # words, or a sixteenth as many documents, of a block
 BUCKET = 1 << 20  # words of the corpus for each bucket
 BATCH_BYTES = "64m"  # of blocks handed to a task's Python at once
+MARKS = 64 << 20  # bytes of target ids that are sent to all executors; more are joined by shuffle
 # words are in lower case and not empty, so these are none
 START, UNKNOWN = b"", b"UNKNOWN"
 WORD, PAIR = 0, 1
@@ -102,15 +103,18 @@ def known(text: str | None, vocab: frozenset[bytes] | None) -> list[bytes]:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Unsigned integers as planes of bytes, no more than the largest needs, after their number."""
+    """Unsigned integers as planes of bytes, no more than the largest needs, compressed;
+    before them their number and that of the planes."""
     width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
-    return bytes([width]) + x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(x).to_bytes(8, "little") + bytes([width]) + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
 
 def opened(data: bytes) -> np.ndarray:
-    width = data[0]
-    out = np.zeros(((len(data) - 1) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    out = np.zeros((n, 8), np.uint8)
+    planes = pa.Codec("zstd").decompress(data[9:], n * width, asbytes=True)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
     return out.view("<u8").ravel()
 
 
@@ -288,7 +292,9 @@ def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text: str =
     prepare(docs.sparkSession)
     texts = _texts(docs, id_col, text)
     vocab = vocabulary(texts, size) if size else None
-    marked = texts.join(targets.select("id", F.lit(True).alias("hit")), "id", "left")
+    marks = stored(targets.select("id", F.lit(True).alias("hit")), "lm-targets")
+    held = marks.agg(F.sum(F.octet_length(F.col("id").cast("string")) + 16)).first()[0] or 0
+    marked = texts.join(F.broadcast(marks) if held <= MARKS else marks, "id", "left")
     blocks = encode(marked.select("id", "t", F.coalesce("hit", F.lit(False)).alias("target")), vocab)
     every, hit = blocks.agg(F.sum("n"), F.sum("n_target")).first()
     return Model(docs, (id_col, text), blocks, (float(hit or 0), float(every or 0)), size, prior, vocab)

@@ -254,5 +254,7 @@ def test_lm_blocks_and_buckets_change_nothing(spark, monkeypatch):
         assert all(x[i] == pytest.approx(scores[0][i], abs=1e-12) for i in x)
     assert scores[0][0][1:] == scores[0][53][1:] and scores[0][51][1:] == scores[0][52][1:] == (0, 0.0, 0.0, 0.0)
     assert op5.score(df.filter(F.lit(False)), op5.fit(df.filter(F.lit(False)), targets)).count() == 0
+    monkeypatch.setattr(op5, "MARKS", 0)  # the ids of the target joined by shuffle
+    assert {r["id"]: tuple(r) for r in op5.score(df, op5.fit(df, targets)).collect()}[50] == pytest.approx(scores[0][50], abs=1e-12)
     repeated = df.unionAll(df)
     assert op5.score(repeated, op5.fit(repeated, targets)).count() == 2 * len(texts)
