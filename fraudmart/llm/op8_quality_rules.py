@@ -1,9 +1,10 @@
 """Quality rules as a bitmask ledger.
 
 Every rule is evaluated once per document; the ledger keeps the measurements
-and one bit per failed rule. A policy is a named, versioned set of rules: it is
-applied to the stored bits (``bits & mask = 0`` keeps), so a new policy or an
-ablation never reads the texts again.
+and one bit per failed rule, and is stored. A policy is a named, versioned set of
+rules: it is applied to the stored bits (``bits & mask = 0`` keeps), so a new policy
+or an ablation never reads the texts again. Ablations first count the documents of
+each distinct bitmask (at most 2^rules rows), then take the rules' bits from those.
 
 Cases: a null text counts as empty (no words: fails ``few_words``); an empty
 table gives an empty ledger; repeated rows are judged one by one; columns of
@@ -18,12 +19,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fraudmart.llm.common import stored
+
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_upper", "n_letters"]
+            "n_lines", "n_upper", "n_letters", "n_top2", "n_top3", "n_top4", "n_stop", "n_bullets", "n_ellipses", "line_bytes"]
+# fixed values: frequent words of the languages, and signs that lists and cut lines show
+STOP_WORDS = frozenset(w.encode() for w in (
+    "the of and to in is that for with as on are be this or an by it from at "
+    "der die das und ist von den zu mit ein eine auf nicht im für "
+    "el la los las de y que en un una es por con para se del "
+    "le les des et est une dans que pour qui sur au pas ce plus").split())
+BULLETS = ("-", "*", "\u2022", "\u2023", "\u25e6", "\u00b7")
+ELLIPSES = ("...", "\u2026")
 
 #: name -> condition that FAILS, over the measurements; the bit is the position.
 RULES: list[tuple[str, str]] = [
@@ -33,11 +44,19 @@ RULES: list[tuple[str, str]] = [
     ("repeated_lines", "n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines"),
     ("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     ("shouting", "n_letters >= 40 AND 10 * n_upper > 3 * n_letters"),
+    ("top_bigram", "n_words >= 20 AND 10 * n_top2 > 3 * n_words"),
+    ("top_trigram", "n_words >= 20 AND 100 * n_top3 > 28 * n_words"),
+    ("top_fourgram", "n_words >= 20 AND 100 * n_top4 > 26 * n_words"),
+    ("no_stop_words", "n_words >= 50 AND n_stop < 2"),
+    ("bullets", "n_lines >= 4 AND 10 * n_bullets > 9 * n_lines"),
+    ("ellipses", "n_lines >= 4 AND 10 * n_ellipses > 3 * n_lines"),
+    ("short_lines", "n_lines >= 10 AND line_bytes < 8 * n_lines"),
 ]
 #: Versioned policies: the rules whose failure rejects a document.
 POLICIES: dict[str, list[str]] = {
     "base-1": ["few_words", "repeated_words"],
     "web-1": ["few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "shouting"],
+    "web-2": [name for name, _ in RULES],
 }
 
 
@@ -46,26 +65,27 @@ def mask_of(policy: str | list[str]) -> int:
     return sum(1 << names.index(r) for r in (POLICIES[policy] if isinstance(policy, str) else policy))
 
 
-def repeated_words(ids: np.ndarray, width: int = 5) -> int:
-    """Words lying in a window of ``width`` words that occurs twice or more.
+def repeated_words(ids: np.ndarray, width: int = 5) -> tuple[int, ...]:
+    """Words lying in a window of ``width`` words that occurs twice or more, and the
+    words of the most frequent runs of 2 to width - 1 words (0: none occurs twice).
 
     Windows get exact ranks by doubling pairs (no hash collisions)."""
     n = len(ids)
     if n <= width:
-        return 0
-    rank = ids.astype(np.int64)
+        return (0,) * (width - 1)
+    rank, top = ids.astype(np.int64), []
     for step in range(1, width):
         head = rank[:-1]
         pair = head * (n + 1) + ids[step:step + len(head)]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-    hot = np.bincount(rank)[rank] > 1
-    if not hot.any():
-        return 0
+        _, rank, times = np.unique(pair, return_inverse=True, return_counts=True)
+        most = int(times.max())
+        top.append(min(n, most * (step + 1)) if most > 1 else 0)
+    hot = times[rank] > 1
     edge = np.zeros(n + 1, np.int64)
     at = np.flatnonzero(hot)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + width, -1)
-    return int((np.cumsum(edge[:-1]) > 0).sum())
+    return int((np.cumsum(edge[:-1]) > 0).sum()), *top[:-1]
 
 
 def measure(text: str | None) -> tuple[int, ...]:
@@ -78,9 +98,15 @@ def measure(text: str | None) -> tuple[int, ...]:
     ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
     count = lambda chars: len(raw) - len(raw.translate(None, chars))
     n_upper = count(UPPER)
+    bare = [x.strip(SPACES) for x in lines]
+    repeats = repeated_words(ids) if len(seen) < len(words) else (0,) * 4
     return (len(words), len(text) - count(SPACES), count(SYMBOLS), len(lines) - len(set(lines)),
-            repeated_words(ids) if len(seen) < len(words) else 0, len(lines),
-            n_upper, n_upper + count(LOWER))
+            repeats[0], len(lines), n_upper, n_upper + count(LOWER), *repeats[1:],
+            sum(w.lower() in STOP_WORDS for w in words), sum(x.startswith(_BULLETS) for x in bare),
+            sum(x.endswith(_ELLIPSES) for x in bare), sum(map(len, bare)))
+
+
+_BULLETS, _ELLIPSES = (tuple(x.encode() for x in xs) for xs in (BULLETS, ELLIPSES))
 
 
 def measures_of(text: Column) -> Column:
@@ -113,15 +139,35 @@ def verdict(policy: str) -> Column:
 
 
 def ablations(entries: DataFrame, policy: str) -> DataFrame:
-    """Per rule of a policy, from the bits alone: how many documents fail it, fail
-    nothing else (would be kept without it), and how many the policy keeps."""
-    mask = mask_of(policy)
-    masked = F.col("rule_bits").bitwiseAND(F.lit(mask).cast("long"))
-    bits = [(n, 1 << i) for i, (n, _) in enumerate(RULES) if mask >> i & 1]
+    """Per rule, from the bits alone: how many documents fail it, how many it alone
+    rejects (would be kept without it; 0 for a rule outside the policy), how many the
+    policy keeps and how many of those the rule, were it added, would reject."""
+    mask = F.lit(mask_of(policy)).cast("long")
+    masks = entries.groupBy("rule_bits").agg(F.count("*").alias("n"))
+    n, bits = F.col("n"), F.col("rule_bits")
+    masked = bits.bitwiseAND(mask)
+    count = lambda hit: F.when(hit, n).otherwise(0)
     per_rule = F.array(*[F.struct(
-        F.lit(n).alias("rule"),
-        (masked.bitwiseAND(F.lit(b).cast("long")) != 0).cast("long").alias("f"),
-        (masked == b).cast("long").alias("o"),
-        (masked == 0).cast("long").alias("k")) for n, b in bits])
-    return (entries.select(F.explode(per_rule).alias("r")).groupBy(F.col("r.rule").alias("rule"))
-            .agg(F.sum("r.f").alias("n_failed"), F.sum("r.o").alias("n_only"), F.sum("r.k").alias("n_kept")))
+        F.lit(name).alias("rule"),
+        count(bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0).alias("f"),
+        count(masked == (1 << i)).alias("o"),
+        count(masked == 0).alias("k"),
+        count((masked == 0) & (bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0)).alias("a")) for i, (name, _) in enumerate(RULES)])
+    return (masks.select(F.explode(per_rule).alias("r")).groupBy(F.col("r.rule").alias("rule"))
+            .agg(F.sum("r.f").alias("n_failed"), F.sum("r.o").alias("n_only"), F.sum("r.k").alias("n_kept"),
+                 F.sum("r.a").alias("n_added")))
+
+
+def stored_ledger(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The ledger without the texts, written to the shared folder and read back."""
+    return stored(ledger(docs, text).drop(text), "quality-ledger")
+
+
+def with_sole_rule(entries: DataFrame, policy: str) -> DataFrame:
+    """The ledger with ``sole_rule``, the one rule of the policy that rejects a document
+    (null: none or several), and ``sole_rule_docs``, how many documents that rule alone rejects."""
+    masked = F.col("rule_bits").bitwiseAND(F.lit(mask_of(policy)).cast("long"))
+    sole = F.coalesce(*[F.when(masked == (1 << i), F.lit(name)) for i, (name, _) in enumerate(RULES)])
+    # a row a rule
+    costs = ablations(entries, policy).select(F.col("rule").alias("sole_rule"), F.col("n_only").alias("sole_rule_docs"))
+    return entries.withColumn("sole_rule", sole).join(F.broadcast(costs), "sole_rule", "left")

@@ -77,12 +77,13 @@ def op7_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    entries = op8.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    entries = op8.stored_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = op8.mask_of("base-1")
-    return entries.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return op8.with_sole_rule(entries, "web-2").select(
+        "doc_id", *op8.MEASURES,
         (F.col("rule_bits").bitwiseAND(F.lit(base).cast("long")) != 0).alias("base_failed"),
-        op8.verdict("web-1").alias("kept"), "rule_bits")
+        op8.verdict("web-1").alias("kept"), op8.verdict("web-2").alias("kept_web_2"), "rule_bits",
+        "sole_rule", "sole_rule_docs")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

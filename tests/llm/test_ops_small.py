@@ -166,6 +166,45 @@ def test_rules_against_brute_force(spark):
         assert table[name]["n_only"] == sum(r["rule_bits"] & mask == 1 << i for r in rows)
         assert table[name]["n_kept"] == sum(r["rule_bits"] & mask == 0 for r in rows)
     assert op8.ledger(df.filter(F.lit(False))).count() == 0
+    assert op8.with_sole_rule(op8.stored_ledger(df.filter(F.lit(False))), "web-2").count() == 0
+
+
+def slow_more(t):
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    top = []
+    for k in (2, 3, 4):
+        most = max(Counter(tuple(words[i:i + k]) for i in range(len(words) - k + 1)).values(), default=0)
+        top.append(min(len(words), most * k) if most > 1 and len(words) > 5 else 0)
+    lines = [x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")]
+    lines = [x for x in lines if x]
+    return (*top, sum("".join(c.lower() if c.isascii() else c for c in w).encode() in op8.STOP_WORDS for w in words),
+            sum(x.startswith(op8.BULLETS) for x in lines), sum(x.endswith(op8.ELLIPSES) for x in lines),
+            sum(len(x.encode()) for x in lines))
+
+
+def test_stored_ledger_serves_two_policies(spark):
+    rng = random.Random(14)
+    pool = ["the", "of", "cat", "sat", "mat", "- cat", "• mat", "end...", "fin…", "\n", "Für", "für", "los"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 90))) for _ in range(60)]
+    texts += ["zq " * 60, "a\n" * 30, "- x\n" * 12, "so...\n" * 12, "na " * 5, "la la la la la la", "x y " * 40 + " ".join(f"w{i}" for i in range(60))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string")
+    entries = op8.stored_ledger(df)
+    assert "text" not in entries.columns
+    rows = op8.with_sole_rule(entries, "web-2").collect()
+    assert len(rows) == 2 * len(texts)
+    for r in rows:
+        assert tuple(r[m] for m in op8.MEASURES[8:]) == slow_more(texts[r["doc_id"]]), texts[r["doc_id"]]
+    for policy in ("web-1", "web-2"):
+        mask = op8.mask_of(policy)
+        table = {r["rule"]: r for r in op8.ablations(entries, policy).collect()}
+        for i, (name, _) in enumerate(op8.RULES):
+            assert table[name]["n_only"] == sum(r["rule_bits"] & mask == 1 << i for r in rows)
+            assert table[name]["n_added"] == sum(r["rule_bits"] & mask == 0 and bool(r["rule_bits"] >> i & 1) for r in rows)
+    for r in rows:
+        alone = [name for i, (name, _) in enumerate(op8.RULES) if r["rule_bits"] == 1 << i]
+        assert r["sole_rule"] == (alone[0] if alone else None)
+        assert r["sole_rule_docs"] == (table[alone[0]]["n_only"] if alone else None)
+    assert {name for name, _ in op8.RULES} >= {r["sole_rule"] for r in rows if r["sole_rule"]} != set()
 
 
 def test_mixing_meets_targets_and_held_out_labels(spark):
