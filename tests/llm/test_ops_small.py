@@ -1,6 +1,7 @@
 """Ops 2, 3, 5, 7, 8 and 10 against brute force, with odd rows."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -51,6 +52,30 @@ def test_secrets(spark):
     assert dict(made)[2] == texts[2] and not ASSIGN.search(dict(made)[3].replace("password=abc", ""))
 
 
+def test_normal_tail(spark):
+    z = [i / 10 for i in range(-20, 131)]
+    got = spark.createDataFrame([(x,) for x in z], "z double").select("z", op2._tail(F.col("z")).alias("p")).collect()
+    for x, p in got:
+        assert p == pytest.approx(math.erfc(x / 2 ** 0.5) / 2, rel=0.004), x
+
+
+def test_few_discoveries_are_false(spark):
+    rng = random.Random(8)
+    words = ("account user table value index cursor window shuffle stage partition engine payment customer order "
+             "document history update remove insert build parse encode length number").split()
+    plain = []
+    while len(plain) < 1500:
+        made = [rng.choice(words) for _ in range(rng.randint(3, 6))]
+        plain += [t for t in (rng.choice(["_", "-", "/", ""]).join(made), "".join(w.title() for w in made)) if len(t) >= 20]
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.choice([32, 40, 64])))
+            for _ in range(150)]
+    tokens = plain + keys
+    df = spark.createDataFrame([(i, f"here {t} there") for i, t in enumerate(tokens)], "doc_id long, text string")
+    found = {r["doc_id"] for r in op2.scan(df, keep=["doc_id"]).collect() if any(x["kind"] == 3 for x in r["spans"])}
+    false = sum(i < len(plain) for i in found)
+    assert false <= 0.02 * len(found) and len(found) - false >= 0.95 * len(keys)
+
+
 def test_licences(spark):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "code"), ("a/b/y.py", None),
              ("a/z.py", "first\nLicensed under the Apache License, Version 2.0.\nlast"), ("q/w.py", ""), (None, "root file"),
