@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from fraudmart.llm.common import prepare, stored
 
 SEED = 42
+HOT = 1024  # components of this share of all fingerprints or more are looked up, not joined
 CROWD = 16  # members from which a bucket of one component is set aside
 
 
@@ -170,6 +171,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")
     roots = stored(link(nodes, max_bits), "simhash-roots")
     named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = stored(named.join(names, "root").select("fp", "component_id"), "simhash-names")
+    names = stored(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")), "simhash-components")
+    # at most HOT rows
+    hot = names.filter(F.col("n") * HOT >= nodes.count()).select("root", F.col("component_id").alias("large"), F.lit(True).alias("hot"))
+    marked = named.join(F.broadcast(hot), "root", "left")
+    rest = marked.filter("hot is null").select("fp", "root").join(names.drop("n"), "root").select("fp", "component_id")
+    by_print = stored(rest.unionByName(marked.filter("hot").select("fp", F.col("large").alias("component_id"))),
+                      "simhash-names")
     return prints.join(by_print, "fp").select("id", "fp", "component_id")

@@ -5,6 +5,8 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+import pytest
+
 from fraudmart.llm import op4_simhash_near_dup as op4
 
 
@@ -37,7 +39,9 @@ def brute(rows):
     return sorted(((k, p, least.get(g)) for (k, _), p, g in zip(rows, prints, group)), key=str)
 
 
-def test_texts_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [0, 20, 1024])  # no component looked up, some, all
+def test_texts_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(op4, "HOT", hot)
     rng = random.Random(1)
     base = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(120)) for _ in range(12)]
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "One"), (6, "a b c"), (7, "Ünï a b ÉÉ c"), (None, "one"),
