@@ -45,7 +45,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     named = docs.select(*_columns(docs), F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__digest"))
     several = named.filter("__doc is not null").groupBy("__doc").agg(
         F.min("__digest").alias("__least"), F.max("__digest").alias("__most")).filter("__least <> __most")
-    joined = named.join(several.select("__doc", "__least"), "__doc", "left")
+    joined = named.join(several.select("__doc", "__least").hint("merge"), "__doc", "left")
     own = F.col("__doc").isNotNull() & F.coalesce(F.col("__digest") == F.col("__least"), F.lit(True))
     other = F.xxhash64("__doc", "__digest").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
     return joined.select(*_columns(docs), F.when(own, F.col("__doc")).otherwise(other).alias("__id"))
@@ -59,7 +59,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     named = stored(_keyed(docs), "pipeline-keyed")
     found = op4.near_duplicates(named, id_col="__id", shingle=4, max_bits=4)
     keep = stored(found.filter("id = component_id").select(F.col("id").alias("__id")).distinct(), "pipeline-keep")
-    rows = named.join(keep, "__id", "left_semi").groupBy("__id").agg(F.min(F.struct(*_columns(docs))).alias("doc"))
+    rows = named.join(keep.hint("merge"), "__id", "left_semi").groupBy("__id").agg(F.min(F.struct(*_columns(docs))).alias("doc"))
     return rows.select("doc.*")
 
 

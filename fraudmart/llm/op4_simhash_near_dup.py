@@ -10,7 +10,9 @@ Equal fingerprints are one node, so copies are never paired. Dense groups are
 linked in two steps: every member of a bucket to the bucket's smallest member,
 then only pairs that are still in different components. Both give the same
 components as all pairs. Components are found by large-star / small-star rounds
-over a stored edge table; nothing is collected.
+over a stored edge table; nothing is collected. All joins but that with the few
+large components are merge joins, whatever size Spark would broadcast: tables of
+fingerprints, edges and keys grow with the input and never pass through the driver.
 
 Cases: a null or blank text has fingerprint zero and links like any other;
 repeated rows are kept; null ids take part but never name a component unless
@@ -93,6 +95,11 @@ def variants(nodes: DataFrame, max_bits: int) -> DataFrame:
             .select("k.bit", "k.masked", *nodes.columns))
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """To be joined by merging: not sent whole through the driver to all executors."""
+    return df.hint("merge")
+
+
 def _near(a: Column, b: Column, max_bits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
@@ -120,9 +127,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while before[0]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = tidy(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = tidy(both.filter("b > a").join(_merged(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+        small = large.join(_merged(down), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             down.select("a", F.col("m").alias("b")))
         e = stored(tidy(small), f"{name}-round")
         now = mark(e)
@@ -139,27 +146,27 @@ def link(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     v = variants(nodes.select("fp"), max_bits)
     least = (v.groupBy("bit", "masked").agg(F.min("fp").alias("m"), F.count("*").alias("n"))
              .filter("n > 1").drop("n"))
-    star = (v.join(least, ["bit", "masked"]).filter((F.col("fp") != F.col("m")) & _near(F.col("fp"), F.col("m"), max_bits))
+    star = (v.join(_merged(least), ["bit", "masked"]).filter((F.col("fp") != F.col("m")) & _near(F.col("fp"), F.col("m"), max_bits))
             .select(F.col("fp").alias("a"), F.col("m").alias("b")).distinct())
     first = stored(components(star, "simhash-star").select(F.col("node").alias("fp"), "root"), "simhash-first")
     # 2. pairs of different components only; crowded buckets of one component are done
-    rooted = stored(nodes.select("fp").join(first, "fp", "left")
+    rooted = stored(nodes.select("fp").join(_merged(first), "fp", "left")
                     .select("fp", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     v = variants(rooted, max_bits)
     done = stored(v.groupBy("bit", "masked").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
                   .filter(f"lo = hi and n > {CROWD}").select("bit", "masked"), "simhash-done")
-    v = v.join(done, ["bit", "masked"], "left_anti")
+    v = v.join(_merged(done), ["bit", "masked"], "left_anti")
     x, y = v.alias("x"), v.alias("y")
-    cross = (x.join(y, (F.col("x.bit") == F.col("y.bit")) & (F.col("x.masked") == F.col("y.masked"))
+    cross = (x.join(_merged(y), (F.col("x.bit") == F.col("y.bit")) & (F.col("x.masked") == F.col("y.masked"))
                     & (F.col("x.root") < F.col("y.root"))
                     & _near(F.col("x.fp"), F.col("y.fp"), max_bits)
                     & _first_shared(F.col("x.fp").bitwiseXOR(F.col("y.fp")), F.col("x.bit"), max_bits))
              .select(F.col("x.root").alias("b"), F.col("y.root").alias("a")).distinct())
     second = components(cross, "simhash-cross")
     ends = (first.select("root").union(second.select(F.col("node").alias("root"))).distinct()
-            .join(second.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+            .join(_merged(second.select(F.col("node").alias("root"), F.col("root").alias("top"))), "root", "left")
             .select("root", F.coalesce("top", "root").alias("top")))
-    return (rooted.join(ends, "root").select("fp", F.col("top").alias("root")))
+    return (rooted.join(_merged(ends), "root").select("fp", F.col("top").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -170,12 +177,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")
     roots = stored(link(nodes, max_bits), "simhash-roots")
-    named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = nodes.join(_merged(roots), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = stored(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")), "simhash-components")
     # at most HOT rows
     hot = names.filter(F.col("n") * HOT >= nodes.count()).select("root", F.col("component_id").alias("large"), F.lit(True).alias("hot"))
     marked = named.join(F.broadcast(hot), "root", "left")
-    rest = marked.filter("hot is null").select("fp", "root").join(names.drop("n"), "root").select("fp", "component_id")
+    rest = marked.filter("hot is null").select("fp", "root").join(_merged(names.drop("n")), "root").select("fp", "component_id")
     by_print = stored(rest.unionByName(marked.filter("hot").select("fp", F.col("large").alias("component_id"))),
                       "simhash-names")
-    return prints.join(by_print, "fp").select("id", "fp", "component_id")
+    return prints.join(_merged(by_print), "fp").select("id", "fp", "component_id")

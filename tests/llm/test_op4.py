@@ -85,3 +85,24 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
     got = dict(op4.components(edges, "chain").collect())
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
+
+
+def test_only_large_components_are_broadcast(spark, monkeypatch):
+    plans, kept, old = [], op4.stored, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def stored(df, name):
+        plans.append((name, plan(df)))
+        return kept(df, name)
+
+    monkeypatch.setattr(op4, "stored", stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        df = spark.createDataFrame([(i, " ".join(f"w{i // 3 * 7 + k}" for k in range(60)) + " x" * (i % 3)) for i in range(60)],
+                                   "doc_id long, text string")
+        found = op4.near_duplicates(df)
+        plans.append(("result", plan(found)))
+        assert found.count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert {n for n, p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoop" in p} <= {"simhash-names"}
