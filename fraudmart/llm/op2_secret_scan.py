@@ -30,6 +30,7 @@ many matches in one text stay near linear.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,24 +84,34 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.coalesce(found, F.array().cast("array<struct<start:bigint,end:bigint,body:string>>"))
 
 
+def _named(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it names many times: the plan holds the value once, where
+    a column put in by itself is copied at each place."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _tail(z: Column) -> Column:
     """Upper tail of the normal distribution, within 0.4 % at any z above -2: a logistic form
     in the middle, beyond 2 the continued fraction of the Mills ratio (exact in the limit)."""
-    middle = 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z))
-    far = F.greatest(z, F.lit(2.0))
-    ratio = far
-    for i in range(12, 0, -1):
-        ratio = far + i / ratio
-    density = F.exp(-z * z / 2) / F.lit((2 * math.pi) ** 0.5)
-    return F.greatest(F.when(z > 2, density / ratio).otherwise(middle), F.lit(1e-40))
+
+    def of(z: Column) -> Column:
+        middle = 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z))
+        far = F.greatest(z, F.lit(2.0))
+        ratio = far
+        for i in range(12, 0, -1):
+            ratio = far + i / ratio
+        density = F.exp(-z * z / 2) / F.lit((2 * math.pi) ** 0.5)
+        return F.greatest(F.when(z > 2, density / ratio).otherwise(middle), F.lit(1e-40))
+
+    return _named(z, of)
 
 
 def _counts(body: Column) -> Column:
     """Struct of what the tests need of one token (padding stripped)."""
     n = F.char_length(body).cast("double")
     symbols = F.array(*[F.lit(c) for c in ALPHABET])
-    pairs = F.aggregate(symbols, F.lit(0.0), lambda s, c: s + (
-        (n - F.char_length(F.replace(body, c, F.lit("")))) * (n - F.char_length(F.replace(body, c, F.lit(""))) - 1) / 2))
+    pairs = F.aggregate(symbols, F.lit(0.0), lambda s, c: s + _named(
+        n - F.char_length(F.replace(body, c, F.lit(""))), lambda m: m * (m - 1) / 2))
     is_ = lambda p: body.rlike(p)
     encoding = (F.when(is_("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(is_("^[A-Z2-7]+$"), "base32")
                 .when(is_("^([a-z0-9]+|[A-Z0-9]+)$"), "base36").when(is_("^[A-Za-z0-9]+$"), "base62")
@@ -114,29 +125,39 @@ def _counts(body: Column) -> Column:
 
 def _battery(x: Column) -> Column:
     """Struct (encoding, octave, random, bin) from the counts of one token."""
-    n, pairs, enc = x["n"], x["pairs"], x["encoding"]
+    n, pairs, enc, values = x["n"], x["pairs"], x["encoding"], x["values"]
     k = F.when(enc == "hex", 16.0).when(enc == "base32", 32.0).when(enc == "base36", 36.0).when(enc == "base62", 62.0).otherwise(64.0)
     root = lambda c: F.sqrt(c + 0.375)  # noqa: E731  evens out the variance of counts
     expect = n * (n - 1) / 2
     p_uniform = _tail(2 * (root(pairs) - root(expect / k)))
-    values, mean = x["values"], F.aggregate(x["values"], F.lit(0.0), lambda s, v: s + v) / n
-    square = F.aggregate(values, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
-    cross = F.aggregate(F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values)),
-                                   lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda s, v: s + v)
-    r = F.when(square > 0, cross / square).otherwise(1.0)
-    p_serial = F.least(2 * _tail(F.abs((r + 1 / n) * F.sqrt(n))), F.lit(1.0))
-    high = F.array_join(F.transform(values, lambda v: F.when(v >= mean, "1").otherwise("0")), "")
-    n1 = F.char_length(F.replace(high, F.lit("0"), F.lit(""))).cast("double")
-    runs = F.char_length(F.regexp_replace(high, "0+|1+", "x"))
-    mu = 1 + 2 * n1 * (n - n1) / n
-    var = (mu - 1) * (mu - 2) / (n - 1)
-    p_runs = F.when(var > 0, F.least(2 * _tail(F.abs((runs - mu) / F.sqrt(var))), F.lit(1.0))).otherwise(1e-6)
-    fisher = -(F.log(p_uniform) + F.log(p_runs) + F.log(p_serial))  # half the statistic, 6 degrees
-    p_random = F.exp(-fisher) * (1 + fisher + fisher * fisher / 2)
+
+    def serial(mean: Column) -> Column:
+        square = F.aggregate(values, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
+        cross = F.aggregate(F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values)),
+                                       lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda s, v: s + v)
+        r = _named(square, lambda q: F.when(q > 0, cross / q).otherwise(1.0))
+        return F.least(2 * _tail(F.abs((r + 1 / n) * F.sqrt(n))), F.lit(1.0))
+
+    def runs(mean: Column) -> Column:
+        high = F.array_join(F.transform(values, lambda v: F.when(v >= mean, "1").otherwise("0")), "")
+        return _named(high, lambda h: F.struct(F.char_length(F.replace(h, F.lit("0"), F.lit(""))).cast("double").alias("n1"),
+                                               F.char_length(F.regexp_replace(h, "0+|1+", "x")).alias("runs")))
+
+    def p_of_runs(y: Column) -> Column:
+        return _named(1 + 2 * y["n1"] * (n - y["n1"]) / n, lambda mu: _named(
+            (mu - 1) * (mu - 2) / (n - 1), lambda var: F.when(
+                var > 0, F.least(2 * _tail(F.abs((y["runs"] - mu) / F.sqrt(var))), F.lit(1.0))).otherwise(1e-6)))
+
+    mean = F.aggregate(values, F.lit(0.0), lambda s, v: s + v) / n
+    p_order = _named(mean, lambda m: F.struct(serial(m).alias("serial"), _named(runs(m), p_of_runs).alias("runs")))
+    # half the statistic, 6 degrees
+    p_random = _named(_named(p_order, lambda p: -(F.log(p_uniform) + F.log(p["runs"]) + F.log(p["serial"]))),
+                      lambda fisher: F.exp(-fisher) * (1 + fisher + fisher * fisher / 2))
     p_language = _tail(2 * (root(expect * TEXT_COLLISION) - root(pairs)) / F.sqrt(1 + TEXT_SPREAD * (n - 2)))
     p_class = _tail(2 * (root(x["switches"]) - root((n - 1) * TEXT_SWITCH)))
-    half = -(F.log(p_language) + F.log(p_class))  # 4 degrees
-    grid = F.floor(GRID * (half - F.log1p(half)) / F.log(F.lit(10.0)))
+    # 4 degrees
+    grid = _named(-(F.log(p_language) + F.log(p_class)),
+                  lambda half: F.floor(GRID * (half - F.log1p(half)) / F.log(F.lit(10.0))))
     return F.struct(enc.alias("encoding"), F.floor(F.log2(n)).cast("int").alias("octave"),
                     (p_random >= RANDOM_LEVEL).alias("random"),
                     F.greatest(F.lit(0), F.least(F.lit(TOP), grid)).cast("int").alias("bin"))
