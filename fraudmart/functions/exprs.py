@@ -74,12 +74,13 @@ def file_date_from_name(name="file_name") -> Column:
     """Batch day from a ``<kind>_DDMMYYYY.<ext>`` file name or path (the last
     such part of a path wins); NULL if absent or not a real date."""
     digits = F.regexp_extract(_c(name), r".*_(\d{8})\.", 1)
-    return F.when(digits != "", F.try_to_timestamp(digits, F.lit("ddMMyyyy")).cast("date"))
+    return F.try_to_timestamp(F.nullif(digits, F.lit("")), F.lit("ddMMyyyy")).cast("date")
 
 
 def source_name(path="_metadata.file_path") -> Column:
     """Logical daily file name of a path: the ``<kind>_DDMMYYYY.<ext>`` part
     (a file, or a folder of part files written under that name, also as
     ``<column>=<name>`` by a partitioned job), else the last path component."""
-    named = F.regexp_extract(_c(path), r"([^/=]+_\d{8}\.[^/.]+)(?:/[^/]*)?$", 1)
-    return F.when(named != "", named).otherwise(F.element_at(F.split(_c(path), "/"), -1))
+    tail = F.substring_index(_c(path), "/", -2)  # no more than the pattern can take, once a row
+    named = F.regexp_extract(tail, r"([^/=]+_\d{8}\.[^/.]+)(?:/[^/]*)?$", 1)
+    return F.coalesce(F.nullif(named, F.lit("")), F.substring_index(_c(path), "/", -1))
