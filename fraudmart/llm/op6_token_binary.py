@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from fraudmart.llm.common import filesystem, join_path, prepare, stored
 from fraudmart.session import scratch_path
 
-CACHE = 1 << 20  # distinct pieces kept per worker process
+CACHE = 1 << 19  # distinct pieces kept per worker process, some 100 MB; executors hold several
 JOINED = 1024  # words of letters encoded as one text
 #: Steps of the tokenizers whose words can be encoded apart (fixed values of their format).
 FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
