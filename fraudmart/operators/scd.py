@@ -91,8 +91,44 @@ def scd2_insert(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts, u
     With columns ``create_dt`` and ``update_dt`` in ``hist`` the first appearance and
     the last change of attributes, as of each version, are kept there.
 
-    One exchange by key; a window holds the versions of one key from ``run_ts`` on.
+    A key with one version in ``hist`` at most, in the last snapshot, needs no window
+    (``_insert_last``); a window holds the versions of one other key from ``run_ts`` on.
     """
+    if until_ts is not None:
+        return _insert_among(hist, one_per_key(snapshot, key, attrs), key, attrs, run_ts, until_ts)
+    new = one_per_key(snapshot, key, attrs)
+    # mostly none: after an exchange of its own Spark sees that, and drops what is joined to it
+    many = hist.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key, F.lit(True).alias("_many")).hint("rebalance")
+    of_many = lambda df: df.join(many, key).drop("_many")
+    others = lambda df: df.join(many, key, "left").where(F.col("_many").isNull()).drop("_many")
+    return _insert_last(others(hist), others(new), key, attrs, run_ts).unionByName(
+        _insert_among(of_many(hist), of_many(new), key, attrs, run_ts))
+
+
+def _insert_last(hist: DataFrame, new: DataFrame, key: str, attrs, run_ts) -> DataFrame:
+    """``scd2_insert`` of the last snapshot (one row a key) for keys with one version in
+    ``hist`` at most: that version goes on, or ends and another one follows."""
+    ts, end, second = ts_lit(run_ts), ts_lit(OPEN_END), F.expr("INTERVAL 1 SECOND")
+    dated, none = "create_dt" in hist.columns, F.lit(None).cast("date")
+    v = F.struct(*[F.col(a) for a in attrs])
+    old = hist.select(key, v.alias("_o"), F.col("effective_from").alias("_f"), F.col("effective_to").alias("_t"), F.col("deleted_flg").alias("_d"),
+                      *([F.col("create_dt").alias("_c"), F.col("update_dt").alias("_u")] if dated else [none.alias("_c"), none.alias("_u")]))
+    both = old.join(new.select(key, v.alias("_v")), key, "full_outer")
+    was, now, state = F.coalesce(F.col("_f") < ts, F.lit(False)), F.col("_v").isNotNull(), F.coalesce("_v", "_o")
+    same = was & F.coalesce(F.col("_o").eqNullSafe(state) & (F.col("_d") == ~now), F.lit(False))
+    first = F.coalesce(F.col("_c"), F.to_date("_f"))
+    piece = lambda v, f, t, d, c, u: F.struct(v.alias("v"), f.alias("f"), t.alias("t"), d.alias("d"), c.alias("c"), u.alias("u"))
+    before = piece(F.col("_o"), F.col("_f"), F.when(same, end).otherwise(F.least("_t", ts - second)), F.col("_d"), first, F.col("_u"))
+    after = piece(state, ts, end, ~now, F.when(was, first).otherwise(F.to_date(ts)),
+                  F.when(was, F.when(~F.col("_o").eqNullSafe(state), F.to_date(ts)).otherwise(F.col("_u"))))
+    pieces = F.array(F.when(was, before), F.when((was | now) & ~same, after))
+    cut = both.select(key, F.explode(F.filter(pieces, lambda x: x.isNotNull())).alias("p"))
+    return cut.select(key, *[F.col(f"p.v.{a}").alias(a) for a in attrs], F.col("p.f").alias("effective_from"), F.col("p.t").alias("effective_to"),
+                      F.col("p.d").alias("deleted_flg"), *([F.col("p.c").alias("create_dt"), F.col("p.u").alias("update_dt")] if dated else []))
+
+
+def _insert_among(hist: DataFrame, new: DataFrame, key: str, attrs, run_ts, until_ts=None) -> DataFrame:
+    """``scd2_insert`` of a snapshot of one row a key, for any versions: one exchange by key."""
     ts, end, second = ts_lit(run_ts), ts_lit(OPEN_END), F.expr("INTERVAL 1 SECOND")
     until = ts_lit(until_ts) if until_ts is not None else None
     dated = "create_dt" in hist.columns
@@ -106,8 +142,8 @@ def scd2_insert(hist: DataFrame, snapshot: DataFrame, key: str, attrs, run_ts, u
 
     old = hist.select(key, *attrs, "effective_from", "effective_to", "deleted_flg",
                       *([F.col("create_dt").alias("_c"), F.col("update_dt").alias("_u")] if dated else [none.alias("_c"), none.alias("_u")]))
-    new = one_per_key(snapshot, key, attrs).select(key, *attrs, ts.alias("effective_from"), end.alias("effective_to"),
-                                                   F.lit(False).alias("deleted_flg"), none.alias("_c"), none.alias("_u"))
+    new = new.select(key, *attrs, ts.alias("effective_from"), end.alias("effective_to"), F.lit(False).alias("deleted_flg"),
+                     none.alias("_c"), none.alias("_u"))
     rows = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
     f, t, deleted, is_new = (F.col(c) for c in ("effective_from", "effective_to", "deleted_flg", "_new"))
     left = ~is_new & (f < ts)
